@@ -1,0 +1,34 @@
+"""Where tables and models that outlive a job go: the folder all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder.
+
+    Only a local session without one gets a temporary folder: there, the machine is
+    the cluster.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING)
+    if not folder:
+        folder = context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {SETTING} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="topiclens-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame once and go on from there: a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
