@@ -17,7 +17,7 @@ def hits_with_topic(hits: DataFrame, topics: DataFrame) -> DataFrame:
 
 
 def topic_rollup(
-    hits: DataFrame, topics: DataFrame, dims: list[str], **sums: Column
+    hits: DataFrame, topics: DataFrame, dims: list[str], /, **sums: Column
 ) -> DataFrame:
     """Aggregate hits by topic and `dims`, adding up the aggregates `sums`.
 
@@ -158,7 +158,7 @@ def topic_lifespan(hits: DataFrame, topics: DataFrame) -> DataFrame:
     return ages.groupBy("topic").agg(
         views.alias("views"),
         (F.sum(F.col("age_hours") * F.col("views")) / views).alias("mean_age"),
-        F.percentile("age_hours", 0.5, "views").alias("median_age"),
-        F.percentile("age_hours", 0.9, "views").alias("p90_age"),
+        F.percentile("age_hours", 0.5, F.col("views")).alias("median_age"),
+        F.percentile("age_hours", 0.9, F.col("views")).alias("p90_age"),
         F.max("age_hours").alias("last_age"),
     )

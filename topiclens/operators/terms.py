@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclens.functions.stemming import with_stem
+from topiclens.functions.text import singular
 
 # Vocabulary limits of the topic model.
 MIN_DF = 5
@@ -151,3 +152,12 @@ def term_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(
         F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_freq")
     )
+
+
+def plural_lemmas(counts: DataFrame) -> DataFrame:
+    """`term, lemma` for terms whose regular singular is itself a term of the corpus."""
+    known = distinct_terms(counts)
+    forms = known.select("term", singular(F.col("term")).alias("lemma"))
+    return forms.filter("term <> lemma").join(
+        known.withColumnRenamed("term", "lemma"), "lemma", "left_semi"
+    ).select("term", "lemma")

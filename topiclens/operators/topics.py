@@ -203,9 +203,10 @@ def nearest_centroid(vectors: DataFrame, centers: DataFrame) -> DataFrame:
         distance = squared_distance(center["center"], F.col("vector")).alias("distance")
         return F.struct(distance, center["topic"].alias("topic"))
 
-    nearest = F.array_min(F.transform(_all_centers(centers), candidate))
     kept = [c for c in vectors.columns if c not in ("topic", "distance")]
-    return vectors.select(*kept, nearest.alias("_nearest")).select(*kept, "_nearest.*")
+    nearest = F.array_min(F.transform("_centers", candidate)).alias("_nearest")
+    with_centers = vectors.withColumn("_centers", _all_centers(centers))
+    return with_centers.select(*kept, nearest).select(*kept, "_nearest.*")
 
 
 def clustering_cost(assigned: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a frame once and go on from there: a lost executor costs no recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a frame once and go on from the written table.
+
+    For what is costly and read more than once, such as parsed text: readers take only
+    the columns they need, and a lost executor costs no recomputation. The folder is
+    scratch space; the cluster's retention clears it.
+    """
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

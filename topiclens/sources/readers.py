@@ -18,9 +18,22 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_strings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; every column is a string. Quoted fields may hold line feeds."""
-    return spark.read.csv(path, header=True, multiLine=True, escape='"')
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Share a table of few file splits among all cores before costly per-row work.
+
+    A table with a split per core or more stays as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores, key)
+
+
+def read_strings_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV with a header; every column is a string.
+
+    `multi_line` is for quoted fields that hold line feeds; such files cannot be split,
+    and clean text has none.
+    """
+    return spark.read.csv(path, header=True, multiLine=multi_line, escape='"')
 
 
 def read_typed_csv(
