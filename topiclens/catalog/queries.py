@@ -85,7 +85,7 @@ def limit_n(spark, folder):
 
 @query
 def non_empty(spark, folder):
-    pages = testbed.crawl(spark, folder).select(
+    pages = testbed.pages(spark, folder).select(
         "post_id", text.clean_text(text.extract_text(F.col("html"))).alias("text")
     )
     return article_ops.non_empty(pages)
@@ -119,7 +119,7 @@ def page_status(spark, folder):
 @query
 def extract_paragraphs(spark, folder):
     html = F.col("html")
-    return testbed.crawl(spark, folder).select(
+    return testbed.pages(spark, folder).select(
         "post_id",
         F.size(text.extract_elements(html)).alias("paragraphs"),
         text.extract_text(html).alias("text"),
@@ -128,7 +128,7 @@ def extract_paragraphs(spark, folder):
 
 @query
 def page_title(spark, folder):
-    pages = testbed.crawl(spark, folder)
+    pages = testbed.pages(spark, folder)
     return pages.select("post_id", text.page_title(F.col("html")).alias("title"))
 
 
@@ -158,7 +158,7 @@ def tokenize(spark, folder):
 @query
 def tokenize_alpha(spark, folder):
     tokens = text.strip_punctuation(text.tokenize_alpha(F.col("html")))
-    return _token_rows(testbed.crawl(spark, folder), tokens)
+    return _token_rows(testbed.pages(spark, folder), tokens)
 
 
 def _clean_tokens() -> Column:
@@ -275,7 +275,7 @@ def text_to_topic(spark, folder):
 def classify_new(spark, folder):
     """Crawled pages put into the topics that were learnt from the articles."""
     model = articles_to_topics.learn_topics(testbed.texts(spark, folder))
-    pages = articles_to_topics.crawl_to_articles(testbed.crawl(spark, folder))
+    pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
     return articles_to_topics.label_articles(model, pages)
 
 

@@ -77,7 +77,7 @@ def crawl(spark: SparkSession, folder: str) -> DataFrame:
     """Crawled pages; the answer code and missing urls are made from the page id."""
     page = F.col("page_id")
     code = F.when(page % 10 == 0, 404).when(page % 10 == 1, 301).otherwise(200)
-    return spread(table(spark, folder, "pages"), "page_id").select(
+    return table(spark, folder, "pages").select(
         page.alias("post_id"),
         F.when(page % 50 != 7, F.col("url")).alias("post_url"),
         code.alias("status"),
@@ -85,6 +85,11 @@ def crawl(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The crawl, spread for work on its markup."""
+    return spread(crawl(spark, folder), "post_id")
+
+
 def interest(spark: SparkSession, folder: str) -> DataFrame:
     """Events per day and type as interest in a keyword, 100 on its best day."""
     daily = (
