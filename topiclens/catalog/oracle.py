@@ -299,7 +299,12 @@ def _least_squares() -> None:
 _least_squares()
 
 
-def porter() -> tuple[str, str]:
+ALPHA_TOKENS = f"""list_filter(string_split_regex(lower(
+    regexp_replace(text, '<[^\\n]+?>|[^a-zA-Z]', ' ', 'g')), ' +'),
+    lambda x: x <> '' AND x NOT IN {STOPS})"""
+
+
+def porter() -> str:
     """The stemmer, one expression per step, over (term, w)."""
     s = stemming
 
@@ -318,9 +323,7 @@ def porter() -> tuple[str, str]:
         return f"SELECT term, w, s, {cut('w', 'length(s)')} AS r FROM (SELECT *, {found} AS s FROM {source})"
 
     letters = f"""SELECT DISTINCT term, CASE WHEN term[1] = 'y' THEN 'Y' || substr(term, 2)
-        ELSE term END AS w FROM (SELECT unnest(list_filter(string_split_regex(lower(
-          regexp_replace(text, '<[^\\n]+?>|[^a-zA-Z]', ' ', 'g')), ' +'),
-          lambda x: x <> '' AND x NOT IN {STOPS})) AS term FROM documents)"""
+        ELSE term END AS w FROM (SELECT unnest({ALPHA_TOKENS}) AS term FROM documents)"""
     one_a = f"""SELECT term, CASE WHEN length(w) = 4 AND {ends("w", "ies$")} THEN {cut("w", 1)}
         WHEN {ends("w", "sses$")} OR {ends("w", "ies$")} THEN {cut("w", 2)}
         WHEN {ends("w", "ss$")} THEN w WHEN {ends("w", "s$")} AND w <> 's' THEN {cut("w", 1)}
@@ -436,11 +439,9 @@ oracle(
 TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
 oracle("page_title", f"SELECT page_id AS post_id, {decode(TITLE)} AS title FROM pages")
 oracle("clean_text", f"SELECT post_id, {clean('text')} AS text FROM {DOCS}")
-oracle(
-    "clean_text_delete",
-    f"""SELECT post_id, regexp_replace(replace(text, '&nbsp;', ' '),
-      '[^a-zA-Z0-9 \\t\\r\\x0B\\f]', '', 'g') AS text FROM {DOCS}""",
-)
+DELETED = """regexp_replace(replace(text, '&nbsp;', ' '),
+    '[^a-zA-Z0-9 \\t\\r\\x0B\\f]', '', 'g')"""
+oracle("clean_text_delete", f"SELECT post_id, {DELETED} AS text FROM {DOCS}")
 oracle("tokenize", token_rows(tokens_of("text"), DOCS))
 oracle(
     "tokenize_alpha",
@@ -471,6 +472,15 @@ oracle(
     "plain_counts",
 )
 ORACLE["stem_terms"] = porter()
+ORACLE["stemmed_counts"] = f"""SELECT post_id, stem AS term, count(*) AS tf
+    FROM (SELECT doc_id AS post_id, unnest({ALPHA_TOKENS}) AS term FROM documents)
+    JOIN ({porter()}) USING (term) GROUP BY 1, 2"""
+oracle(
+    "prepared_text",
+    f"""SELECT post_id, array_to_string(list_filter(list_transform(list_filter(
+      {tokens_of(DELETED)}, lambda x: x <> ''), lambda x: {singular("x")}),
+      lambda x: x NOT IN {STOPS}), ' ') AS text FROM {DOCS}""",
+)
 oracle(
     "ngrams",
     """SELECT term, count(*) AS corpus_count, count(DISTINCT post_id) AS doc_freq

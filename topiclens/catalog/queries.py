@@ -182,15 +182,25 @@ def lemmatize(spark, folder):
     return terms.lemmatize(counts, terms.plural_lemmas(counts))
 
 
+def _alpha_counts(spark, folder) -> DataFrame:
+    tokens = text.remove_stop_words(text.tokenize_alpha(F.col("text")))
+    return terms.term_counts(testbed.texts(spark, folder).select("post_id", tokens.alias("tokens")))
+
+
 @query
 def stem_terms(spark, folder):
-    docs = testbed.texts(spark, folder)
-    counts = terms.term_counts(docs.select("post_id", _alpha_tokens().alias("tokens")))
-    return terms.stem_terms(counts)
+    return terms.stem_terms(_alpha_counts(spark, folder))
+
+
+@query
+def stemmed_counts(spark, folder):
+    return terms.stem(storage.settle(_alpha_counts(spark, folder)))
 
 
-def _alpha_tokens() -> Column:
-    return text.remove_stop_words(text.tokenize_alpha(F.col("text")))
+@query
+def prepared_text(spark, folder):
+    docs = testbed.texts(spark, folder)
+    return docs.select("post_id", text.prepared_text(F.col("text")).alias("text"))
 
 
 @query

@@ -162,6 +162,7 @@ def ngrams(tokens: Column, n: int = 2) -> Column:
     return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 
-def article_tokens(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
-    """Cleaned text to the tokens the topic model reads."""
-    return remove_stop_words(drop_numeric(drop_empty(tokenize(text))), stop_words)
+def prepared_text(text: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
+    """One page's text, cleaned by deletion, in the singular, without stop words."""
+    words = drop_empty(tokenize(clean_text_delete(text)))
+    return F.array_join(remove_stop_words(F.transform(words, singular), stop_words), " ")

@@ -1,7 +1,7 @@
 """Least squares of a topic's daily revenue.
 
-A topic has at most one row per day of the study window, so a topic is one small
-group: the groups are spread by Spark, numpy solves each.
+A topic has one row per day of the study window, so a topic is one small group: the
+groups are spread by Spark, numpy solves each.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topiclens.functions import clock
+from topiclens.operators.series import study_window
+
 
 def _solve(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
     """Intercept and slopes; the shortest solution if columns depend on each other."""
@@ -29,7 +32,12 @@ def _r2(y: np.ndarray, fitted: np.ndarray) -> float:
     return float(1 - ((y - fitted) ** 2).sum() / total) if total else float("nan")
 
 
-def revenue_ols(df: DataFrame, regressors: list[str], target: str = "revenue") -> DataFrame:
+def revenue_ols(
+    df: DataFrame,
+    regressors: list[str],
+    target: str = "revenue",
+    last_day: int = clock.LAST_DAY,
+) -> DataFrame:
     """`topic, variable, coefficient, r2, days`: one fit per topic, with intercept."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -46,11 +54,15 @@ def revenue_ols(df: DataFrame, regressors: list[str], target: str = "revenue") -
         )
 
     schema = "topic int, variable string, coefficient double, r2 double, days long"
-    return _complete(df, regressors, target).groupBy("topic").applyInPandas(fit, schema)
+    rows = _window(df, regressors, target, last_day)
+    return rows.groupBy("topic").applyInPandas(fit, schema)
 
 
 def revenue_predicted(
-    df: DataFrame, regressors: list[str], target: str = "revenue"
+    df: DataFrame,
+    regressors: list[str],
+    target: str = "revenue",
+    last_day: int = clock.LAST_DAY,
 ) -> DataFrame:
     """`topic, day, actual, predicted, r2` of the fit above."""
 
@@ -69,12 +81,14 @@ def revenue_predicted(
         )
 
     schema = "topic int, day int, actual double, predicted double, r2 double"
-    return _complete(df, regressors, target).groupBy("topic").applyInPandas(predict, schema)
+    rows = _window(df, regressors, target, last_day)
+    return rows.groupBy("topic").applyInPandas(predict, schema)
 
 
-def _complete(df: DataFrame, regressors: list[str], target: str) -> DataFrame:
+def _window(df: DataFrame, regressors: list[str], target: str, last_day: int) -> DataFrame:
+    """Complete rows of the study window: at most `last_day` + 1 per topic."""
     columns = dict.fromkeys(["topic", "day", *regressors, target])
-    return df.select(*columns).dropna()
+    return study_window(df.select(*columns), last_day).dropna()
 
 
 def revenue_regr(df: DataFrame, x: str, y: str = "revenue") -> DataFrame:

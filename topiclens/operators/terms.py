@@ -147,6 +147,11 @@ def lemmatize(counts: DataFrame, lemma_table: DataFrame) -> DataFrame:
     return map_terms(counts, lemma_table, "lemma")
 
 
+def stem(counts: DataFrame) -> DataFrame:
+    """Terms to their stems. Each distinct term is stemmed once, then joined back."""
+    return map_terms(counts, stem_terms(counts), "stem")
+
+
 def term_totals(counts: DataFrame) -> DataFrame:
     """`term, corpus_count, doc_freq` over all articles."""
     return counts.groupBy("term").agg(

@@ -27,6 +27,8 @@ COST_UNIT = 1_000_000
 LDA_K = 5
 LDA_MAX_ITER = 20
 
+MAX_CENTERS = 4096
+
 
 def feature_stages(
     min_df: float = MIN_DF, min_tf: float = MIN_TF, vocab_size: int = VOCAB_SIZE
@@ -192,8 +194,15 @@ def dense_centers(vectors: DataFrame) -> DataFrame:
 
 
 def _all_centers(centers: DataFrame) -> Column:
-    """The k centres as one value: a scalar subquery, run once for the whole query."""
-    return centers.agg(F.sort_array(F.collect_list(F.struct("topic", "center")))).scalar()
+    """The k centres as one value: a scalar subquery, run once for the whole query.
+
+    k is a setting of the model, not something that grows with the articles; more than
+    `MAX_CENTERS` are refused, never cut off.
+    """
+    some = centers.limit(MAX_CENTERS + 1)
+    found = F.sort_array(F.collect_list(F.struct("topic", "center")))
+    too_many = F.raise_error(F.lit(f"more than {MAX_CENTERS} centres"))
+    return some.agg(F.when(F.count(F.lit(1)) <= MAX_CENTERS, found).otherwise(too_many)).scalar()
 
 
 def nearest_centroid(vectors: DataFrame, centers: DataFrame) -> DataFrame:
