@@ -541,12 +541,12 @@ oracle(
     "session_metrics_by_topic",
     """SELECT topic, count(*) AS sessions, round(sum(revenue), 6) AS revenue,
       CAST(sum(views) AS BIGINT) AS views,
-      round(sum(revenue) / count(*), 6) AS revenue_per_session FROM sessions GROUP BY topic""",
+      round(sum(revenue) / count(*), 9) AS revenue_per_session FROM sessions GROUP BY topic""",
     "sessions",
 )
 oracle(
     "avg_hit_by_topic",
-    "SELECT topic, round(avg(hit_revenue), 6) AS avg_hit FROM combined GROUP BY topic",
+    "SELECT topic, round(avg(hit_revenue), 9) AS avg_hit FROM combined GROUP BY topic",
     "combined",
 )
 oracle(
@@ -558,9 +558,9 @@ oracle(
 )
 oracle(
     "device_share",
-    """SELECT topic, round(avg(CASE WHEN device_type = 'smartphone' THEN 1.0 ELSE 0 END), 6)
+    """SELECT topic, round(avg(CASE WHEN device_type = 'smartphone' THEN 1.0 ELSE 0 END), 9)
       AS device_share,
-      round(avg(CASE WHEN device_type = 'smartphone' THEN 0.0 ELSE 1 END), 6) AS other_share
+      round(avg(CASE WHEN device_type = 'smartphone' THEN 0.0 ELSE 1 END), 9) AS other_share
     FROM combined GROUP BY topic""",
     "combined",
 )
@@ -582,9 +582,9 @@ oracle(
 )
 oracle(
     "topic_lifespan",
-    """SELECT topic, count(*) AS views, round(avg(age), 6) AS mean_age,
-      round(quantile_cont(age, 0.5), 6) AS median_age,
-      round(quantile_cont(age, 0.9), 6) AS p90_age, max(age) AS last_age
+    """SELECT topic, count(*) AS views, round(avg(age), 9) AS mean_age,
+      round(quantile_cont(age, 0.5), 9) AS median_age,
+      round(quantile_cont(age, 0.9), 9) AS p90_age, max(age) AS last_age
     FROM (SELECT topic, CAST(floor(date_diff('second', post_published,
             date_trunc('second', ts)) / 3600.0) AS BIGINT) AS age FROM combined)
     WHERE age >= 0 GROUP BY topic""",
@@ -642,13 +642,13 @@ oracle(
 )
 oracle(
     "revenue_per_view",
-    "SELECT topic, round(sum(revenue) / sum(views), 6) AS revenue_per_view FROM study "
+    "SELECT topic, round(sum(revenue) / sum(views), 9) AS revenue_per_view FROM study "
     "GROUP BY topic",
     "study",
 )
 oracle(
     "rpv_daily",
-    "SELECT topic, day, round(revenue / views, 6) AS revenue_per_view FROM daily",
+    "SELECT topic, day, round(revenue / views, 9) AS revenue_per_view FROM daily",
     "daily",
 )
 oracle(
