@@ -45,6 +45,11 @@ def test_filters(spark):
 def test_ranges_and_shards(spark):
     df = spark.range(100).withColumnRenamed("id", "post_id")
     assert rows(ops.row_range(df, "post_id", 10, 13), "post_id") == {(10,), (11,), (12,)}
+    placed = ops.with_position(df.orderBy(F.rand(1)), "post_id")
+    assert rows(placed, "post_id", "position") == {(i, i) for i in range(100)}
+    many = spark.range(0, 300_000, 1, 7).select((F.col("id") * 3).alias("post_id"))
+    far = ops.row_range(many, "post_id", 250_000, 250_003)
+    assert rows(far, "post_id") == {(750_000,), (750_003,), (750_006,)}
     assert rows(ops.first_rows(df, "post_id", 2), "post_id") == {(0,), (1,)}
     shards = [rows(ops.shard(df, "post_id", 7, i), "post_id") for i in range(7)]
     assert sum(len(s) for s in shards) == 100 and len(set.union(*shards)) == 100

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from topiclens import schemas
 from topiclens.operators import hits as hit_ops
-from topiclens.operators import terms
+from topiclens.operators import series, terms
 from topiclens.operators.articles import with_tokens
 from topiclens.plans import testbed
 
@@ -58,6 +59,15 @@ def test_scans_read_only_what_is_needed(spark, small, name, columns):
     assert f"ReadSchema: struct<{columns}>" in plan(queries()[name](spark, small))
 
 
+def test_study_window_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "hits")
+    spark.createDataFrame([], schemas.HITS).write.parquet(path)
+    topics = spark.createDataFrame([(1, 2)], schemas.TOPIC_MAP)
+    studied = series.study_hits(spark.read.parquet(path))
+    text = plan(series.after_cut(series.binned_metrics(studied, topics)))
+    assert "GreaterThanOrEqual(ts,2017-03-01" in text and "LessThan(ts,2017-05-01" in text
+
+
 def test_sessions_need_one_shuffle_after_a_broadcast(spark, small):
     text = plan(queries()["session_metrics"](spark, small))
     assert text.count("Exchange hashpartitioning") == 1
@@ -67,6 +77,7 @@ def test_sessions_need_one_shuffle_after_a_broadcast(spark, small):
 def test_tied_starts_are_pruned_before_the_shuffle(spark, small):
     text = plan(queries()["session_starts_ties"](spark, small))
     assert "WindowGroupLimit" in text and "Partial" in text
+    assert "HashAggregate(keys=[session_id" in text
 
 
 def test_counting_terms_needs_no_shuffle(spark, small):
@@ -86,11 +97,23 @@ def test_large_topic_map_is_not_broadcast(spark, small):
         assert df.count() > 0
 
 
-def test_a_hot_post_is_split(spark):
+@pytest.mark.parametrize(
+    "question",
+    [
+        lambda hits, topics: hit_ops.hits_with_topic(hits, topics),
+        lambda hits, topics: hit_ops.session_metrics(hit_ops.hits_with_topic(hits, topics)),
+        lambda hits, topics: hit_ops.session_starts(
+            hit_ops.hits_with_topic(hits, topics), ties="all"
+        ),
+    ],
+)
+def test_a_hot_post_is_split(spark, question):
     """A third of all hits on one post: AQE splits its partition of the join."""
     hits = spark.range(0, 400_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("post_id"),
         F.concat(F.lit("session-"), F.col("id")).alias("session_id"),
+        F.timestamp_seconds("id").alias("ts"),
+        F.lit(0.5).alias("hit_revenue"),
     )
     topics = spark.range(5000).select(
         F.col("id").alias("post_id"), (F.col("id") % 25).cast("int").alias("topic")
@@ -105,6 +128,6 @@ def test_a_hot_post_is_split(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         },
     ):
-        df = hit_ops.hits_with_topic(hits, topics)
+        df = question(hits, topics)
         assert len(df.collect()) == 400_000
         assert "skew=true" in plan(df)

@@ -34,6 +34,23 @@ def test_study_window_is_inclusive(spark):
     assert as_set(series.study_window(days), "day") == {(0,), (60,)}
 
 
+@pytest.mark.parametrize("width", [4, 5])
+def test_study_hits_lose_no_bin_of_the_window(spark, width):
+    hits = spark.range(-50, 200).select(
+        F.timestamp_seconds(F.unix_timestamp(F.lit("2017-03-01 00:00:00")) + F.col("id") * 1801)
+        .alias("ts"),
+        F.lit(1).cast("long").alias("post_id"),
+        F.lit(0.5).alias("hit_revenue"),
+    )
+    topics = spark.createDataFrame([(1, 9)], "post_id long, topic int")
+
+    def days(rows):
+        daily = series.topic_daily(series.after_cut(series.binned_metrics(rows, topics, width=width)))
+        return as_set(series.study_window(daily, 1), "day", "topic", "views", "revenue")
+
+    assert days(series.study_hits(hits, last_day=1, width=width)) == days(hits)
+
+
 def test_topic_series_of_some_topics(binned):
     assert series.topic_series(binned, [1]).count() == 3
     assert series.topic_series(binned).count() == 5

@@ -2,8 +2,7 @@ from datetime import date
 
 import pytest
 
-from topiclens import schemas
-from topiclens.plans import storage
+from topiclens import schemas, storage
 from topiclens.sources import readers, writers
 
 

@@ -6,8 +6,9 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from topiclens import storage
 from topiclens.operators import terms, topics
-from topiclens.plans import articles_to_topics, storage, testbed
+from topiclens.plans import articles_to_topics, testbed
 
 LIMITS = {"min_df": 2, "min_tf": 2, "vocab_size": 300}
 
@@ -64,6 +65,13 @@ def test_fraction_of_an_article(spark):
     df = spark.createDataFrame([(1, ["a", "a", "b", "c"])], "post_id long, tokens array<string>")
     kept = terms.keep_frequent(terms.term_counts(df), 0.5)
     assert [r.term for r in kept.collect()] == ["a"]
+    vocab = terms.vocabulary(terms.term_counts(df), 1, 10, 0.5).collect()
+    assert {(r.term, r.kept_docs) for r in vocab} == {("a", 1), ("b", 0), ("c", 0)}
+
+
+def test_kept_frames_of_the_caller_stay_kept(docs):
+    topics.fit_features(docs, **LIMITS)
+    assert docs.storageLevel.useMemory
 
 
 def test_long_form_equals_ml(docs):

@@ -12,12 +12,13 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topiclens import storage
 from topiclens.functions import clock, text
 from topiclens.operators import articles as article_ops
 from topiclens.operators import hits as hit_ops
 from topiclens.operators import interest as interest_ops
 from topiclens.operators import regression, series, terms, topics
-from topiclens.plans import articles_to_topics, session_report, storage, testbed, trend_report
+from topiclens.plans import articles_to_topics, session_report, testbed, trend_report
 from topiclens.session import tune
 from topiclens.streaming import incremental
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topiclens import storage
 from topiclens.functions import text as text_fn
 
 # Page classes.
@@ -12,6 +13,9 @@ OK, FAILED, REDIRECT = "ok", "failed", "redirect"
 KEYWORD_TOPIC = -1
 REDIRECT_MARK = "#REDIRECT"
 
+# Up to this place in the order, a row range is a top-n.
+TOP_ROWS = 100_000
+
 
 def project(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
@@ -25,10 +29,30 @@ def replace_column(df: DataFrame, old: str, new: str) -> DataFrame:
 def row_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     """Rows `start` to `stop` (exclusive) in the order of a unique key.
 
-    A top-`stop` plan: each task keeps at most `stop` rows. To split a whole table
-    among jobs use `shard`, which needs no order.
+    Near the start of the order, each task keeps at most `stop` rows. Further on, rows
+    are numbered where they are. To split a table among jobs in any order, `shard`
+    needs neither.
+    """
+    if stop <= TOP_ROWS:
+        return df.orderBy(key).offset(start).limit(stop - start)
+    position = F.col("position")
+    return with_position(df, key).filter((position >= start) & (position < stop)).drop("position")
+
+
+def with_position(df: DataFrame, key: str) -> DataFrame:
+    """Add `position`: the row's place, from 0, in the order of a unique key.
+
+    The sorted table is written; its parts are numbered from the sizes of the parts
+    before them. Nothing but one row per part meets in one task.
     """
-    return df.orderBy(key).offset(start).limit(stop - start)
+    # The id holds the number of the part, and in its low 33 bits the place within it.
+    rows = storage.settle(df.orderBy(key).withColumn("_id", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_part", F.shiftright("_id", 33))
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
+    starts = sizes.select("_part", before.alias("_start"))
+    position = F.col("_start") + F.pmod("_id", F.lit(1 << 33))
+    return rows.join(starts, "_part").select(*df.columns, position.alias("position"))
 
 
 def shard(df: DataFrame, key: str, shards: int, index: int) -> DataFrame:

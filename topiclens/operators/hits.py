@@ -57,12 +57,12 @@ def session_starts(combined: DataFrame, ties: str = "first") -> DataFrame:
     if ties == "first":
         starts = combined.groupBy("session_id").agg(_landing().alias("landing"))
         return starts.filter("landing IS NOT NULL").select("session_id", "landing.*")
-    # rank() <= 1 is pruned before the shuffle, so a long session sends few rows.
+    # However many hits share the first moment, one row per post is left of them; and
+    # rank() = 1 is pruned before the shuffle on the session.
+    posts = combined.groupBy("session_id", "post_id", "topic").agg(F.min("ts").alias("ts"))
     order = Window.partitionBy("session_id").orderBy("ts")
-    ranked = combined.filter(F.col("ts").isNotNull()).select(
-        "session_id", "post_id", "topic", F.rank().over(order).alias("_rank")
-    )
-    return ranked.filter("_rank = 1").drop("_rank").distinct()
+    ranked = posts.filter(F.col("ts").isNotNull()).withColumn("_rank", F.rank().over(order))
+    return ranked.filter("_rank = 1").select("session_id", "post_id", "topic")
 
 
 def session_metrics(combined: DataFrame, ties: str = "first") -> DataFrame:

@@ -17,7 +17,7 @@ SKIPPED_TOPICS = (1, 7)
 
 def interest_wide(interest: DataFrame, keywords: list[str]) -> DataFrame:
     """One column per keyword; only dates on which every keyword has a value."""
-    wide = interest.groupBy("date").pivot("keyword", keywords).agg(F.first("interest"))
+    wide = interest.groupBy("date").pivot("keyword", keywords).agg(F.max("interest"))
     return wide.dropna(subset=keywords)
 
 

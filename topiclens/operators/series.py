@@ -15,6 +15,22 @@ from topiclens.operators.hits import topic_rollup
 MEASURES = ["articles", "views", "revenue"]
 
 
+def study_hits(
+    hits: DataFrame,
+    cut: str = clock.CUT,
+    last_day: int = clock.LAST_DAY,
+    width: int = clock.BIN_HOURS,
+) -> DataFrame:
+    """Hits from the cut to the end of the last day's last bin.
+
+    Bins of other hits would be dropped later; here the condition reaches the scan.
+    """
+    start = F.lit(cut).cast("timestamp")
+    hours = -(-(last_day + 1) * 24 // width) * width
+    end = start + F.make_interval(hours=F.lit(hours))
+    return hits.filter((F.col("ts") >= start) & (F.col("ts") < end))
+
+
 def binned_metrics(
     hits: DataFrame, topics: DataFrame, cut: str = clock.CUT, width: int = clock.BIN_HOURS
 ) -> DataFrame:

@@ -58,10 +58,14 @@ def term_counts(articles: DataFrame) -> DataFrame:
 
 def keep_frequent(counts: DataFrame, min_tf: float) -> DataFrame:
     """Drop terms too rare in their article: below a count, or a fraction if `min_tf` < 1."""
+    return counts.withColumn("_kept", _is_frequent(min_tf)).filter("_kept").drop("_kept")
+
+
+def _is_frequent(min_tf: float) -> Column:
     if min_tf >= 1:
-        return counts.filter(F.col("tf") >= min_tf)
-    total = F.sum("tf").over(Window.partitionBy("post_id"))
-    return counts.withColumn("_n", total).filter(F.col("tf") >= F.col("_n") * min_tf).drop("_n")
+        return F.col("tf") >= min_tf
+    # An article's terms are one group.
+    return F.col("tf") >= min_tf * F.sum("tf").over(Window.partitionBy("post_id"))
 
 
 def vocabulary(
@@ -73,16 +77,15 @@ def vocabulary(
     """`term_id, term, corpus_count, doc_freq, kept_docs`: the commonest terms.
 
     `doc_freq` counts every article with the term; `kept_docs` only those in which it
-    reaches the count `min_tf`. Ties in `corpus_count` are ordered by term.
+    is frequent by `min_tf`. Ties in `corpus_count` are ordered by term.
     """
-    if min_tf < 1:
-        raise ValueError("a vocabulary needs min_tf as a count, not as a fraction")
     terms = (
-        counts.groupBy("term")
+        counts.withColumn("_kept", _is_frequent(min_tf))
+        .groupBy("term")
         .agg(
             F.sum("tf").alias("corpus_count"),
             F.count(F.lit(1)).alias("doc_freq"),
-            F.count_if(F.col("tf") >= min_tf).alias("kept_docs"),
+            F.count_if("_kept").alias("kept_docs"),
         )
         .filter(F.col("doc_freq") >= min_df)
         .orderBy(F.desc("corpus_count"), "term")

@@ -6,6 +6,8 @@ same steps as joins and aggregates, with an order for ties that ML does not prom
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, KMeans
@@ -43,13 +45,23 @@ def kmeans(k: int = K, max_iter: int = MAX_ITER, seed: int = SEED) -> KMeans:
     return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="tfidf", predictionCol="topic")
 
 
-def _fit(stages: list, tokens: DataFrame) -> PipelineModel:
-    """Fit on tokens that every stage reads again: kept, so that text is parsed once."""
-    kept = tokens.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def _kept(df: DataFrame):
+    """Keep a frame that is read several times; one the caller keeps already stays kept."""
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        yield df
+        return
+    df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Pipeline(stages=stages).fit(kept)
+        yield df
     finally:
-        kept.unpersist()
+        df.unpersist()
+
+
+def _fit(stages: list, tokens: DataFrame) -> PipelineModel:
+    """Fit on kept tokens: every stage reads them again, but text is parsed once."""
+    with _kept(tokens) as kept:
+        return Pipeline(stages=stages).fit(kept)
 
 
 def fit_features(tokens: DataFrame, **limits) -> PipelineModel:
@@ -104,12 +116,10 @@ def model_centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
 def k_sweep(tokens: DataFrame, ks: list[int], max_iter: int = MAX_ITER, **limits) -> DataFrame:
     """`k, cost, scaled_cost` for several k over one kept feature table."""
-    features = fit_features(tokens, **limits).transform(tokens).select("tfidf")
-    kept = features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        costs = [(k, kmeans(k, max_iter).fit(kept).summary.trainingCost) for k in ks]
-    finally:
-        kept.unpersist()
+    with _kept(tokens):
+        features = fit_features(tokens, **limits).transform(tokens).select("tfidf")
+        with _kept(features) as kept:
+            costs = [(k, kmeans(k, max_iter).fit(kept).summary.trainingCost) for k in ks]
     rows = [(k, cost, cost / COST_UNIT) for k, cost in costs]
     return tokens.sparkSession.createDataFrame(rows, "k int, cost double, scaled_cost double")
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
+from topiclens import storage
 from topiclens.operators import articles as article_ops
 from topiclens.operators import terms, topics
-from topiclens.plans import storage
 
 
 def crawl_to_articles(crawl: DataFrame) -> DataFrame:

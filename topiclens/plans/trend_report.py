@@ -18,7 +18,8 @@ def revenue_table(
     last_day: int = clock.LAST_DAY,
 ) -> DataFrame:
     """`day, topic, revenue` and one interest column per keyword."""
-    binned = series.after_cut(series.binned_metrics(hits, topics, cut))
+    studied = series.study_hits(hits, cut, last_day)
+    binned = series.after_cut(series.binned_metrics(studied, topics, cut))
     wide = interest_ops.interest_wide(interest, keywords)
     return interest_ops.revenue_with_interest(series.topic_daily(binned), wide, cut, last_day)
 

@@ -11,6 +11,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A post, session or term may hold a third of all rows: let AQE split it.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Also where what follows the join then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
