@@ -80,6 +80,16 @@ def test_drop_numeric(values):
     assert compat == [["125", "", "ab", "x1"]]
 
 
+def composed_words(x):
+    return text.drop_numeric(text.drop_empty(text.tokenize(text.clean_text(x))))
+
+
+def test_article_words_equal_the_steps(values):
+    every = [chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000]
+    texts = [*EDGES, "12.5 a.b . 7x '' x'1 &nb.sp", "".join(f"a{c}1 {c}9 " for c in every)]
+    assert values(texts, text.article_words) == values(texts, composed_words)
+
+
 def test_tokenize_alpha(values):
     texts = ["#REDIRECT x", "<b>Bold</b> it's 3 < 4", "a<b\nc>d", " <i> ", "Kelvin", "x<>y>z"]
     by_rule = [re.sub(r"<.+?>|[^a-zA-Z]", " ", t).lower().split() for t in texts]

@@ -20,9 +20,7 @@ def decode_entities(text: Column) -> Column:
     text = _decode_numeric(
         text, r"(?i)&#x([0-9a-f]{1,6});", lambda code: F.concat(F.lit("&#[xX]"), code), 16
     )
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+    return _replace_all(text, {f"&{name};": char for name, char in ENTITIES.items()})
 
 
 def _decode_numeric(text: Column, pattern: str, reference, base: int) -> Column:
@@ -70,7 +68,13 @@ def page_title(html: Column) -> Column:
 
 def straighten_apostrophes(text: Column) -> Column:
     """Typographic apostrophes to ', so that stop words such as isn't are found."""
-    return F.translate(text, "‘’ʼ", "'''")
+    return _replace_all(text, {"‘": "'", "’": "'", "ʼ": "'"})
+
+
+def _replace_all(text: Column, replacements: dict[str, str]) -> Column:
+    for old, new in replacements.items():
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -83,8 +87,7 @@ def clean_text(text: Column) -> Column:
 
     Line feeds are dropped, not turned into a space.
     """
-    text = F.replace(text, F.lit("\n"), F.lit(""))
-    text = F.replace(text, F.lit("&nbsp"), F.lit(" "))
+    text = _replace_all(text, {"\n": "", "&nbsp": " "})
     # Before lower(): some non-ASCII letters lower to ASCII ones.
     return F.lower(F.array_join(_pieces(text, "[a-zA-Z0-9'.]+"), " "))
 
@@ -127,6 +130,16 @@ def drop_numeric(tokens: Column, compat: bool = False) -> Column:
     return F.filter(bare, lambda token: (token != "") & ~token.rlike(NUMERIC_TOKEN))
 
 
+def article_words(text: Column) -> Column:
+    """`drop_numeric(drop_empty(tokenize(clean_text(text))))` in one pass over the text.
+
+    A word is a run of letters, digits and apostrophes that is not all digits.
+    """
+    # K (Kelvin) and dotted I are no ASCII letters, but lower() would make them such.
+    text = _replace_all(text, {"\n": "", "&nbsp": " ", ".": "", "\u212a": " ", "\u0130": " "})
+    return _pieces(F.lower(text), "[0-9]*[a-z'][a-z0-9']*")
+
+
 def remove_stop_words(tokens: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     """Drop the listed words, whatever their case."""
     words = sorted({word.lower() for word in stop_words})

@@ -117,8 +117,7 @@ def page_articles(crawl: DataFrame, tag: str = "p", sep: str = "") -> DataFrame:
 
 def with_tokens(articles: DataFrame, lemmas: bool = True) -> DataFrame:
     """`post_id, tokens`: clean text to the tokens the topic model reads."""
-    cleaned = text_fn.clean_text(text_fn.straighten_apostrophes(F.col("text")))
-    tokens = text_fn.drop_numeric(text_fn.drop_empty(text_fn.tokenize(cleaned)))
+    tokens = text_fn.article_words(text_fn.straighten_apostrophes(F.col("text")))
     if lemmas:
         tokens = F.transform(tokens, text_fn.singular)
     return articles.select("post_id", text_fn.remove_stop_words(tokens).alias("tokens"))
