@@ -32,7 +32,13 @@ def test_page_status_and_articles(spark):
 
 def test_filters(spark):
     df = spark.createDataFrame(
-        [(1, "#REDIRECT [[x]]"), (2, "a trump card"), (3, ""), (4, None), (5, "Kardashian #REDIRECT")],
+        [
+            (1, "#REDIRECT [[x]]"),
+            (2, "a trump card"),
+            (3, ""),
+            (4, None),
+            (5, "Kardashian #REDIRECT"),
+        ],
         "post_id long, text string",
     )
     assert rows(ops.non_empty(df), "post_id") == {(1,), (2,), (5,)}
@@ -58,7 +64,8 @@ def test_ranges_and_shards(spark):
 
 def test_tokens_of_an_article(spark):
     df = spark.createDataFrame(
-        [(1, "The 3 cats’ toys isn’t 12.5 U.S. <Getty> image"), (2, "")], "post_id long, text string"
+        [(1, "The 3 cats’ toys isn’t 12.5 U.S. <Getty> image"), (2, "")],
+        "post_id long, text string",
     )
     assert rows(ops.with_tokens(df).select("post_id", F.array_join("tokens", " ")), "*") == {
         (1, "cats' toy us"), (2, ""),

@@ -45,7 +45,8 @@ def test_study_hits_lose_no_bin_of_the_window(spark, width):
     topics = spark.createDataFrame([(1, 9)], "post_id long, topic int")
 
     def days(rows):
-        daily = series.topic_daily(series.after_cut(series.binned_metrics(rows, topics, width=width)))
+        binned = series.binned_metrics(rows, topics, width=width)
+        daily = series.topic_daily(series.after_cut(binned))
         return as_set(series.study_window(daily, 1), "day", "topic", "views", "revenue")
 
     assert days(series.study_hits(hits, last_day=1, width=width)) == days(hits)
@@ -112,7 +113,9 @@ def test_revenue_joins_on_the_day_not_the_row(spark, interest):
     )
     topics = spark.createDataFrame([(10, 17)], "post_id long, topic int")
     table = revenue_table(hits, topics, interest, ["kim"])
-    assert as_set(table, "topic", "day", "revenue", "kim") == {(17, 1, 2.0, 20.0), (17, 2, 3.0, 40.0)}
+    assert as_set(table, "topic", "day", "revenue", "kim") == {
+        (17, 1, 2.0, 20.0), (17, 2, 3.0, 40.0),
+    }
 
 
 def test_trendline_weighs_the_top_terms(spark, interest):
@@ -132,7 +135,8 @@ def test_exact_line_is_found(spark):
     df = spark.createDataFrame(rows, "topic int, day int, revenue double, kim double, flat double")
     fits = regression.revenue_ols(df, ["day", "kim", "flat"]).collect()
     found = {row.variable: row.coefficient for row in fits}
-    assert found == pytest.approx({"intercept": 3.0, "day": 2.0, "kim": -0.5, "flat": 0.0}, abs=1e-9)
+    expected = {"intercept": 3.0, "day": 2.0, "kim": -0.5, "flat": 0.0}
+    assert found == pytest.approx(expected, abs=1e-9)
     assert all(row.r2 == pytest.approx(1.0) and row.days == 10 for row in fits)
 
 

@@ -99,6 +99,7 @@ def test_register(spark):
 
 def test_spread_leaves_large_tables_alone(spark):
     assert readers.spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 16
+    assert readers.spread(spark.range(0, 10, 1, 2), "id").rdd.getNumPartitions() == 16
     assert readers.spread(spark.range(0, 10, 1, 9), "id").rdd.getNumPartitions() == 9
 
 

@@ -136,6 +136,8 @@ PAGES = [
     "<p>a &amp; b &lt;c&gt; &quot;d&quot; &copy; &middot; &amp;lt;</p>",
     "<pre>not a paragraph</pre><p>last",
     "<p></p><p>line\nfeed</p>",
+    "<p>a</p><script>no end <p>no</p>",
+    "<p>a</p><!-- no end <p>no</p>",
 ]
 
 
@@ -149,6 +151,8 @@ def test_paragraphs(values):
         ['a & b <c> "d" © · &lt;'],
         ["last"],
         ["", "line\nfeed"],
+        ["a"],
+        ["a"],
     ]
 
 

@@ -196,7 +196,7 @@ def test_lemma_table(spark):
     assert {r.stem for r in terms.stem_terms(counts).collect()} == {"cat", "dog", "mice"}
 
 
-def test_nearest_centroid(spark):
+def test_nearest_centroid(spark, monkeypatch):
     vectors = spark.createDataFrame(
         [(1, 0, [0.0, 0.0]), (2, 0, [2.0, 0.0]), (3, 1, [9.0, 9.0]), (4, 1, [2.0, 0.5])],
         "vec_id long, topic int, vector array<double>",
@@ -207,6 +207,10 @@ def test_nearest_centroid(spark):
     assert {(r.vec_id, r.topic) for r in nearest.collect()} == {(1, 0), (2, 0), (3, 1), (4, 0)}
     cost = topics.clustering_cost(nearest).first()
     assert cost.cost == pytest.approx(1 + 1 + 3.5**2 + 4.25**2 + 1 + 0.25)
+    with monkeypatch.context() as patch:
+        patch.setattr(topics, "MAX_CENTERS", 1)
+        with pytest.raises(Exception, match="more than 1 centres"):
+            topics.nearest_centroid(vectors, centers).collect()
     tied = spark.createDataFrame([(2, [1.0]), (1, [-1.0])], "topic int, center array<double>")
     zero = spark.createDataFrame([(1, [0.0])], "vec_id long, vector array<double>")
     assert topics.nearest_centroid(zero, tied).first().topic == 1

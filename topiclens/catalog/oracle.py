@@ -24,9 +24,9 @@ def words(values) -> str:
 STOPS = words(STOP_WORDS)
 SPACE = "[ \\t\\n\\x0B\\f\\r]"
 CUT_TS = f"TIMESTAMP '{CUT}'"
-HOURS = f"(date_diff('second', {CUT_TS}, date_trunc('second', ts)) / 3600.0)"
-# Distance of a time to the cut, in whole seconds below.
+# Distance of a time to the cut.
 SECONDS = f"date_diff('second', {CUT_TS}, date_trunc('second', ts))"
+HOURS = f"({SECONDS} / 3600.0)"
 
 
 def clean(column: str) -> str:
@@ -57,8 +57,10 @@ def singular(t: str) -> str:
 def paragraphs(column: str) -> str:
     """Mark each start and end of a paragraph, split there, keep what follows a start."""
     for pattern in (
-        "(?is)<script\\b.*?</script\\s*>", "(?is)<style\\b.*?</style\\s*>", "(?s)<!--.*?-->"
-    ):
+        "(?is)<script\\b.*?(?:</script\\s*>|\\z)",
+        "(?is)<style\\b.*?(?:</style\\s*>|\\z)",
+        "(?s)<!--.*?(?:-->|\\z)",
+    ):
         column = f"regexp_replace({column}, '{pattern}', '', 'g')"
     column = f"regexp_replace({column}, '(?i)<p(\\s[^>]*)?>', chr(1) || chr(2), 'g')"
     ends = "(?i)</p>|</article>|</div>|</body>|<footer"
@@ -320,7 +322,8 @@ def porter() -> str:
 
     def split(suffixes, source: str) -> str:
         found = f"regexp_extract(w, '({'|'.join(suffixes)})$', 1)"
-        return f"SELECT term, w, s, {cut('w', 'length(s)')} AS r FROM (SELECT *, {found} AS s FROM {source})"
+        rest = cut("w", "length(s)")
+        return f"SELECT term, w, s, {rest} AS r FROM (SELECT *, {found} AS s FROM {source})"
 
     letters = f"""SELECT DISTINCT term, CASE WHEN term[1] = 'y' THEN 'Y' || substr(term, 2)
         ELSE term END AS w FROM (SELECT unnest({ALPHA_TOKENS}) AS term FROM documents)"""

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from topiclens.functions.wordlists import ENTITIES, STOP_WORDS
 
-# Everything in a page that is never text.
-HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# Everything in a page that is never text; without an end it goes on to the page's end.
+HIDDEN = (
+    r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+)
 NUMERIC_TOKEN = r"^\p{N}+$"
 
 
@@ -158,12 +160,13 @@ def singular(token: Column) -> Column:
     def cut(count: int) -> Column:
         return F.substring(token, F.lit(1), F.length(token) - count)
 
+    man = F.when(F.length(token) > 3, F.concat(cut(2), F.lit("an"))).otherwise(token)
     return (
         F.when(~token.endswith("s") & ~token.endswith("men"), token)
         .when(ends("ss", "us", "is") | (F.length(token) < 3), token)
         .when(token.endswith("ies") & (F.length(token) > 4), F.concat(cut(3), F.lit("y")))
         .when(ends("ches", "shes", "sses", "xes", "zes"), cut(2))
-        .when(token.endswith("men"), F.when(F.length(token) > 3, F.concat(cut(2), F.lit("an"))).otherwise(token))
+        .when(token.endswith("men"), man)
         .otherwise(cut(1))
     )
 

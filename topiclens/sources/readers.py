@@ -21,10 +21,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Share a table of few file splits among all cores before costly per-row work.
 
-    A table with a split per core or more stays as it is, without a shuffle.
+    A table with a split per core or more stays as it is, without a shuffle. A small
+    one on a large cluster gets 16 parts per split, not one per core.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores, key)
+    splits = df.rdd.getNumPartitions()
+    return df if splits >= cores else df.repartition(min(2 * cores, 16 * splits), key)
 
 
 def read_strings_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
