@@ -13,7 +13,7 @@ from topiclens.operators.articles import with_tokens
 from topiclens.plans import testbed
 
 EAGER = {
-    "topics_kmeans", "text_to_topic", "classify_new", "model_roundtrip", "k_sweep",
+    "topics_kmeans", "text_to_topic", "stemmed_topics", "classify_new", "model_roundtrip", "k_sweep",
     "topics_lda", "synonyms", "stream_binned_metrics",
 }
 

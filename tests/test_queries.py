@@ -6,7 +6,7 @@ from compare import differences, duck
 from __spark_entry__ import entry, oracle_sql, queries
 
 MODELS = {
-    "topics_kmeans", "text_to_topic", "classify_new", "model_roundtrip", "k_sweep",
+    "topics_kmeans", "text_to_topic", "stemmed_topics", "classify_new", "model_roundtrip", "k_sweep",
     "topics_lda", "synonyms",
 }
 

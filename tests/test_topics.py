@@ -196,6 +196,24 @@ def test_lemma_table(spark):
     assert {r.stem for r in terms.stem_terms(counts).collect()} == {"cat", "dog", "mice"}
 
 
+def test_stemmed_topics(spark):
+    lines = spark.createDataFrame(
+        [
+            (1, "Cats and <b>dogs</b>: the cat's cats."),
+            (2, "#REDIRECT [[cat]]"),
+            (3, "relational operators operate"),
+            (4, "the 12"),
+        ],
+        "post_id long, text string",
+    )
+    bags = {r.post_id: sorted(r.tokens) for r in articles_to_topics.stemmed_tokens(lines).collect()}
+    assert bags == {1: ["cat", "cat", "cat", "dog"], 3: ["oper", "oper", "relat"], 4: []}
+    model = articles_to_topics.learn_stemmed_topics(lines, k=2)
+    assert sorted(topics.model_vocabulary(model)) == ["cat", "dog", "oper", "relat"]
+    weights = topics.model_centroids(spark, model)
+    assert {r.topic for r in weights.collect()} <= {0, 1}
+
+
 def test_nearest_centroid(spark, monkeypatch):
     vectors = spark.createDataFrame(
         [(1, 0, [0.0, 0.0]), (2, 0, [2.0, 0.0]), (3, 1, [9.0, 9.0]), (4, 1, [2.0, 0.5])],

@@ -288,6 +288,13 @@ def text_to_topic(spark, folder):
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
+@query
+def stemmed_topics(spark, folder):
+    """From raw text by word stems to three topics and their keywords."""
+    model = articles_to_topics.learn_stemmed_topics(testbed.texts(spark, folder))
+    return topics.topic_terms_table(topics.model_centroids(spark, model))
+
+
 @query
 def classify_new(spark, folder):
     """Crawled pages put into the topics that were learnt from the articles."""

@@ -155,6 +155,21 @@ def stem(counts: DataFrame) -> DataFrame:
     return map_terms(counts, stem_terms(counts), "stem")
 
 
+def bags(counts: DataFrame, articles: DataFrame) -> DataFrame:
+    """`post_id, tokens` from counts, each term as often as it counts; order is lost.
+
+    Every article stays, with no tokens if it has no counts. A group is one article.
+    """
+    repeated = F.flatten(F.collect_list(F.expr("array_repeat(term, CAST(tf AS INT))")))
+    tokens = counts.groupBy("post_id").agg(repeated.alias("tokens"))
+    none = F.array().cast("array<string>")
+    return (
+        articles.select("post_id")
+        .join(tokens, "post_id", "left")
+        .select("post_id", F.coalesce("tokens", none).alias("tokens"))
+    )
+
+
 def term_totals(counts: DataFrame) -> DataFrame:
     """`term, corpus_count, doc_freq` over all articles."""
     return counts.groupBy("term").agg(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, KMeans
@@ -103,13 +104,16 @@ def model_vocabulary(model: PipelineModel) -> list[str]:
     return model.stages[0].vocabulary
 
 
-def model_centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """`topic, term, weight` of the fitted centres: at most k x vocabulary size rows."""
-    terms = model_vocabulary(model)
+def model_centroids(
+    spark: SparkSession, model: PipelineModel, top_k: int = TOP_TERMS
+) -> DataFrame:
+    """`topic, term, weight` of the `top_k` strongest terms of each fitted centre."""
+    terms = np.array(model_vocabulary(model))
     rows = [
-        (topic, terms[i], float(center[i]))
+        (topic, str(terms[i]), float(center[i]))
         for topic, center in enumerate(model.stages[-1].clusterCenters())
-        for i in center.nonzero()[0]
+        for i in np.lexsort((terms, -center))[:top_k]
+        if center[i] > 0
     ]
     return spark.createDataFrame(rows, "topic int, term string, weight double")
 

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from topiclens import storage
+from topiclens.functions import text as text_fn
+from topiclens.functions.wordlists import STOP_WORDS
 from topiclens.operators import articles as article_ops
 from topiclens.operators import terms, topics
 
+# Fixed value: number of topics of stemmed raw text.
+STEMMED_K = 3
+
 
 def crawl_to_articles(crawl: DataFrame) -> DataFrame:
     """`post_id, text`: the clean text of every page that was fetched and has any."""
@@ -24,6 +30,24 @@ def label_articles(model: PipelineModel, articles: DataFrame) -> DataFrame:
     return topics.assign_topics(model, article_ops.with_tokens(articles))
 
 
+def stemmed_tokens(articles: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
+    """`post_id, tokens`: raw text, such as wiki lines, as a bag of word stems.
+
+    Redirect lines are dropped. Counts are written once, for the distinct terms to be
+    stemmed and for the stems to be put back.
+    """
+    lines = article_ops.not_redirect(articles)
+    words = text_fn.remove_stop_words(text_fn.tokenize_alpha(F.col("text")), stop_words)
+    counts = storage.settle(terms.term_counts(lines.select("post_id", words.alias("tokens"))))
+    return terms.bags(terms.stem(counts), lines)
+
+
+def learn_stemmed_topics(articles: DataFrame, k: int = STEMMED_K, **settings) -> PipelineModel:
+    """Topics of word stems; every term counts, however rare it is."""
+    limits = {"min_df": 1.0, "min_tf": 1.0, "vocab_size": 1 << 18, "max_iter": 20}
+    return topics.fit_topics(stemmed_tokens(articles), k=k, **{**limits, **settings})
+
+
 def weighted_terms(articles: DataFrame) -> DataFrame:
     """`post_id, term, tf, tfidf` in long form, from whole article texts.
 
