@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topiclens.llm import near_duplicates
+from topiclens.llm import byte_pairs, decontamination, near_duplicates, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,7 +21,35 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_winnowing(spark, folder):
+    """Benchmark passages in documents."""
+    return decontamination.contamination(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+@query
+def op3_credential_links(spark, folder):
+    """Secrets in documents."""
+    found = secrets.credentials(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 @query
 def op7_circulant_minhash(spark, folder):
     """Groups of near-duplicate documents."""
     return near_duplicates.duplicate_groups(table(spark, folder, "documents"))
+
+
+@query
+def op10_recursive_bpe(spark, folder):
+    """Token ids of documents, and what they decode to."""
+    import public_tokenizers
+
+    return byte_pairs.encoded(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        digests=True,
+    )
