@@ -5,8 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from topiclens.llm import byte_pairs, decontamination, near_duplicates, secrets
+from pyspark.sql import functions as F
+
+from topiclens.llm import (
+    byte_pairs,
+    decontamination,
+    languages,
+    near_duplicates,
+    quality,
+    secrets,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,12 +45,32 @@ def op3_credential_links(spark, folder):
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+@query
+def op4_string_kernel(spark, folder):
+    """Languages of documents."""
+    return languages.identify_held_out(table(spark, folder, "documents"))
+
+
+@query
+def op5_line_crf(spark, folder):
+    """Quality of documents."""
+    return quality.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op7_circulant_minhash(spark, folder):
     """Groups of near-duplicate documents."""
     return near_duplicates.duplicate_groups(table(spark, folder, "documents"))
 
 
+@query
+def op8_noisy_or(spark, folder):
+    """Toxicity of documents."""
+    return toxicity.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending")
+    )
+
+
 @query
 def op10_recursive_bpe(spark, folder):
     """Token ids of documents, and what they decode to."""
