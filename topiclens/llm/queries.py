@@ -14,6 +14,7 @@ from topiclens.llm import (
     near_duplicates,
     quality,
     secrets,
+    top_matches,
     toxicity,
 )
 
@@ -71,6 +72,13 @@ def op8_noisy_or(spark, folder):
     )
 
 
+@query
+def op9_segment_bounds(spark, folder):
+    """The ten best matches of every hundredth embedding."""
+    vectors = table(spark, folder, "embeddings")
+    return top_matches.top_matches(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op10_recursive_bpe(spark, folder):
     """Token ids of documents, and what they decode to."""
