@@ -11,11 +11,13 @@ from topiclens.llm import (
     byte_pairs,
     decontamination,
     languages,
+    main_text,
     near_duplicates,
     quality,
     secrets,
     top_matches,
     toxicity,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_line_blocks(spark, folder):
+    """Main texts of pages."""
+    return main_text.extracted(table(spark, folder, "pages"))
+
+
 @query
 def op2_winnowing(spark, folder):
     """Benchmark passages in documents."""
@@ -58,6 +66,12 @@ def op5_line_crf(spark, folder):
     return quality.score_held_out(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query
+def op6_warc_derivatives(spark, folder):
+    """Metadata and conversion records of pages."""
+    return warc.derivatives(warc.responses(table(spark, folder, "pages")), "page_id")
+
+
 @query
 def op7_circulant_minhash(spark, folder):
     """Groups of near-duplicate documents."""
