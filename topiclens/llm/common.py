@@ -75,3 +75,28 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(columns, names=fields.names)
 
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
+
+
+def with_results(
+    df: DataFrame, text: str, make: Callable[[], Callable[[list], list]], schema: str
+) -> DataFrame:
+    """df with added columns that Python computes from a text column; all others stay.
+
+    make() as in map_texts; its function takes the texts alone. The added columns must have
+    names that df has not.
+    """
+    added = to_arrow_schema(StructType.fromDDL(schema))
+    place = df.columns.index(text)
+    whole = StructType([*df.schema.fields, *StructType.fromDDL(schema).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for batch in batches:
+            for part in chunks(batch, place):
+                made = apply(part.column(place).to_pylist())
+                columns = [pa.array(v, type=f.type) for f, v in zip(added, made, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *columns], names=[*part.schema.names, *added.names]
+                )
+
+    return df.mapInArrow(run, whole)

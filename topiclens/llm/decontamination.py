@@ -104,7 +104,7 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= COPIED_ROWS else df
 
 
-def contamination(
+def passage_hits(
     docs: DataFrame,
     items: DataFrame,
     id: str = "doc_id",
@@ -114,14 +114,9 @@ def contamination(
     span: int = SPAN,
     gram: int = GRAM,
 ) -> DataFrame:
-    """(id, n_words, n_hit, n_items, items_sha256, contaminated), a row for each row of docs.
+    """(hit_id, hit_sum, n_hit, items): documents that hold a window, and the items' ids.
 
-    A window is `span` consecutive words of an item, or a shorter item as a whole. n_hit
-    counts the document's words inside any occurrence of a window, n_items the items whose
-    windows occur; items_sha256 is the SHA-256 of their ids, sorted as strings, joined by
-    commas. Null and empty texts have no words. Items with a null id are left out; an empty
-    table of items hits nothing. Windows count as equal if two 64-bit hashes of their words
-    are. Rows that repeat an id are judged each by its own text.
+    hit_sum is a hash of the text, so that rows that repeat an id are told apart.
     """
     key = [F.col(f"`{id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("sum")]
     tests = _hashed(items.where(F.col(f"`{item_id}`").isNotNull()), item_text, F.col(f"`{item_id}`").alias("item"))
@@ -186,18 +181,52 @@ def contamination(
     each = each.drop("owners").join(
         held, F.col("id").eqNullSafe(F.col("held_id")) & (F.col("sum") == F.col("held_sum"))
     ).drop("held_id", "held_sum")
-    each = each.withColumnsRenamed({"id": "hit_id", "sum": "hit_sum"})
-    counted = docs.select(*key, F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"))
+    return each.withColumnsRenamed({"id": "hit_id", "sum": "hit_sum"})
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    span: int = SPAN,
+    gram: int = GRAM,
+) -> DataFrame:
+    """(id, n_words, n_hit, n_items, items_sha256, contaminated), a row for each row of docs.
+
+    A window is `span` consecutive words of an item, or a shorter item as a whole. n_hit
+    counts the document's words inside any occurrence of a window, n_items the items whose
+    windows occur; items_sha256 is the SHA-256 of their ids, sorted as strings, joined by
+    commas. Null and empty texts have no words. Items with a null id are left out; an empty
+    table of items hits nothing. Windows count as equal if two 64-bit hashes of their words
+    are. Rows that repeat an id are judged each by its own text; other columns are not looked
+    at.
+    """
+    each = passage_hits(docs, items, id, text, item_id, item_text, span, gram)
+    counted = docs.select(
+        F.col(f"`{id}`").alias("id"),
+        F.xxhash64(F.col(f"`{text}`")).alias("sum"),
+        F.size(words_of(F.col(f"`{text}`"))).cast("long").alias("n_words"),
+    )
     out = counted.join(
         each, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("sum") == F.col("hit_sum")), "left"
     )
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    found_items = F.coalesce("items", F.array().cast("array<string>"))
+    found = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(
         F.col("id").alias(id),
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(found_items).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", found_items).cast("binary"), 256).alias("items_sha256"),
+        F.size(found).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", found).cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def without_passages(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that hold no window of an item; all columns stay."""
+    each = passage_hits(docs, items, id, text)
+    same = docs[id].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs[text]) == F.col("hit_sum"))
+    return docs.join(each, same, "left_anti")

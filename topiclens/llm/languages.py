@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topiclens.llm.common import map_texts
+from topiclens.llm.common import map_texts, with_results
 from topiclens.llm.fitting import bounded_sample, text_remainder
 
 #: Labelled rows to fit on, for each language, and passages of them.
@@ -181,6 +181,20 @@ def identified(docs: DataFrame, model: KernelModel, id: str = "doc_id", text: st
     return out.withColumnRenamed("id", id)
 
 
+def in_known_languages(docs: DataFrame, model: KernelModel, text: str = "text") -> DataFrame:
+    """The rows of docs whose text has a language; all columns stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        score = _scorer(shared.value)
+        return lambda texts: [score(texts)[0]]
+
+    # A name that no column has.
+    name = "lang_pred" + "_" * max((len(c) for c in docs.columns), default=0)
+    told = with_results(docs, text, make, f"{name} string")
+    return told.where(F.col(name) != NO_LANGUAGE).drop(name)
+
+
 def identify_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
     """(id, held_out, lang_pred, score): fitted on the rows that are not held out."""
     remainder = text_remainder(F.col(f"`{id}`"), 4)
