@@ -38,6 +38,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name that no column of df has."""
+    return name + "_" * max((len(c) for c in df.columns), default=0)
+
+
 def chunks(batch: pa.RecordBatch, column: int, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `most` bytes in a text column, and at least one row."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

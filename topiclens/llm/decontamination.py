@@ -228,5 +228,5 @@ def contamination(
 def without_passages(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that hold no window of an item; all columns stay."""
     each = passage_hits(docs, items, id, text)
-    same = docs[id].eqNullSafe(F.col("hit_id")) & (F.xxhash64(docs[text]) == F.col("hit_sum"))
+    same = docs[id].eqNullSafe(each["hit_id"]) & (F.xxhash64(docs[text]) == each["hit_sum"])
     return docs.join(each, same, "left_anti")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topiclens.llm.common import map_texts, with_results
+from topiclens.llm.common import free_name, map_texts, with_results
 from topiclens.llm.fitting import bounded_sample, text_remainder
 
 #: Labelled rows to fit on, for each language, and passages of them.
@@ -189,8 +189,7 @@ def in_known_languages(docs: DataFrame, model: KernelModel, text: str = "text")
         score = _scorer(shared.value)
         return lambda texts: [score(texts)[0]]
 
-    # A name that no column has.
-    name = "lang_pred" + "_" * max((len(c) for c in docs.columns), default=0)
+    name = free_name(docs, "lang_pred")
     told = with_results(docs, text, make, f"{name} string")
     return told.where(F.col(name) != NO_LANGUAGE).drop(name)
 

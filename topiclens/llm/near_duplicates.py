@@ -291,4 +291,5 @@ def duplicate_groups(
 def without_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are kept: one document of each group; all columns stay."""
     kept = duplicate_groups(docs, id, text).where("kept").select(F.col(f"`{id}`").alias("_kept"))
-    return docs.join(kept.distinct(), docs[id].eqNullSafe(F.col("_kept")), "left_semi")
+    kept = kept.distinct()
+    return docs.join(kept, docs[id].eqNullSafe(kept["_kept"]), "left_semi")

@@ -101,10 +101,11 @@ def with_neighbours(signs, owner):
     """A line's signs, and those of the lines before and after it in its text."""
     import numpy as np
 
-    same = np.append(False, owner[1:] == owner[:-1])[:, None]
-    before = np.where(same, np.roll(signs, 1, axis=0), 0)
-    after = np.where(np.append(same[1:], [[False]], axis=0), np.roll(signs, -1, axis=0), 0)
-    edge = 1.0 - same
+    before, after = np.zeros_like(signs), np.zeros_like(signs)
+    inner = np.flatnonzero(owner[1:] == owner[:-1]) + 1  # lines with one before them
+    before[inner], after[inner - 1] = signs[inner - 1], signs[inner]
+    edge = np.ones((len(signs), 1))
+    edge[inner] = 0
     return np.concatenate([signs, before, after, edge, np.ones((len(signs), 1))], axis=1)
 
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topiclens.llm.common import free_name
+
 SCOPE = 200
 
 
@@ -189,20 +191,19 @@ def redacted(docs: DataFrame, id: str = "doc_id", text: str = "text", mask: str
 
     Overlapping spans are replaced as one. Rows without a span are left as they are.
     """
+    hits = free_name(docs, "hits")
     each = (
         credential_spans(docs, id, text, scope)
-        .groupBy(F.col("id").alias("_hit_id"), F.col("sum").alias("_hit_sum"))
-        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_hits"))
+        .groupBy(F.col("id").alias("_id"), F.col("sum").alias("_sum"))
+        .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(hits))
     )
     joined = docs.join(
-        each,
-        docs[id].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[text]) == F.col("_hit_sum")),
-        "left",
-    )
+        each, docs[id].eqNullSafe(each["_id"]) & (F.xxhash64(docs[text]) == each["_sum"]), "left"
+    ).select(*[docs[c] for c in docs.columns], hits)
     body = F.col(f"`{text}`")
     # Kept pieces: from the furthest end so far to the next start.
     cleaned = F.aggregate(
-        "_hits",
+        hits,
         F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("kept")),
         lambda s, x: F.struct(
             F.greatest(s["at"], x["end"]).alias("at"),
@@ -214,4 +215,4 @@ def redacted(docs: DataFrame, id: str = "doc_id", text: str = "text", mask: str
             F.concat_ws(mask, s["kept"]), F.lit(mask), F.substring(body, (s["at"] + 1).cast("int"), F.char_length(body))
         ),
     )
-    return joined.withColumn(text, F.coalesce(cleaned, body)).drop("_hit_id", "_hit_sum", "_hits")
+    return joined.withColumn(text, F.coalesce(cleaned, body)).drop(hits)
