@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from topiclens.catalog.queries import QUERIES
 from topiclens import schemas
 from topiclens.operators import hits as hit_ops
 from topiclens.operators import series, terms
@@ -37,9 +37,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_cross_joins_and_no_row_at_a_time_python(spark, small, name):
-    text = plan(queries()[name](spark, small))
+    text = plan(QUERIES[name](spark, small))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
     if not name.startswith(("revenue_ols", "revenue_predicted")):
@@ -56,7 +56,7 @@ def test_no_cross_joins_and_no_row_at_a_time_python(spark, small, name):
     ],
 )
 def test_scans_read_only_what_is_needed(spark, small, name, columns):
-    assert f"ReadSchema: struct<{columns}>" in plan(queries()[name](spark, small))
+    assert f"ReadSchema: struct<{columns}>" in plan(QUERIES[name](spark, small))
 
 
 def test_study_window_reaches_the_scan(spark, tmp_path):
@@ -69,13 +69,13 @@ def test_study_window_reaches_the_scan(spark, tmp_path):
 
 
 def test_sessions_need_one_shuffle_after_a_broadcast(spark, small):
-    text = plan(queries()["session_metrics"](spark, small))
+    text = plan(QUERIES["session_metrics"](spark, small))
     assert text.count("Exchange hashpartitioning") == 1
     assert "Exchange hashpartitioning(session_id" in text
 
 
 def test_tied_starts_are_pruned_before_the_shuffle(spark, small):
-    text = plan(queries()["session_starts_ties"](spark, small))
+    text = plan(QUERIES["session_starts_ties"](spark, small))
     assert "WindowGroupLimit" in text and "Partial" in text
     assert "HashAggregate(keys=[session_id" in text
 
@@ -131,3 +131,48 @@ def test_a_hot_post_is_split(spark, question):
         df = question(hits, topics)
         assert len(df.collect()) == 400_000
         assert "skew=true" in plan(df)
+
+
+@pytest.mark.parametrize(
+    "name", ["session_metrics", "session_starts", "session_metrics_by_topic", "limit_n"]
+)
+def test_sessions_are_added_up_without_a_sort(spark, small, name):
+    df = QUERIES[name](spark, small)
+    df.collect()
+    assert "SortAggregate" not in plan(df) and "HashAggregate" in plan(df)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "after_cut", "topic_series", "timeframes", "base_series", "topic_daily",
+        "revenue_per_view", "rpv_daily", "study_window",
+    ],
+)
+def test_the_study_window_reaches_the_scan(spark, small, name):
+    assert "GreaterThanOrEqual(ts," in plan(QUERIES[name](spark, small))
+
+
+def test_a_hot_term_is_split(spark):
+    """The commonest term stands in every article: AQE splits its partition of the join."""
+    counts = spark.range(0, 400_000, 1, 8).select(
+        F.col("id").alias("post_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 5000)).alias("term"),
+        F.lit(1).cast("long").alias("tf"),
+    )
+    table = spark.range(5000).select(
+        F.concat(F.lit("t"), F.col("id")).alias("term"), F.lit("s").alias("lemma")
+    ).unionByName(spark.createDataFrame([("hot", "h")], "term string, lemma string"))
+    with settings(
+        spark,
+        **{
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        },
+    ):
+        df = terms.lemmatize(counts, table)
+        assert len(df.collect()) == 400_000
+        assert "skew=true" in plan(df)

@@ -3,7 +3,9 @@
 import pytest
 from compare import differences, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from topiclens.catalog.oracle import ORACLE
+from topiclens.catalog.queries import QUERIES
 
 MODELS = {
     "topics_kmeans", "text_to_topic", "stemmed_topics", "classify_new", "model_roundtrip", "k_sweep",
@@ -17,13 +19,13 @@ def con(small):
 
 
 def test_all_but_fitted_models_have_sql():
-    assert set(queries()) - set(oracle_sql()) == MODELS
-    assert not set(oracle_sql()) - set(queries())
+    assert set(QUERIES) - set(ORACLE) == MODELS
+    assert not set(ORACLE) - set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, small, con, name):
-    assert differences(queries()[name](spark, small), con, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, small), con, ORACLE[name]) is None
 
 
 def test_entry(spark, small):

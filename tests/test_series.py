@@ -123,7 +123,8 @@ def test_trendline_weighs_the_top_terms(spark, interest):
         [(2, "kim", 0.5), (2, "rob", 2.0), (2, "low", 0.1), (1, "kim", 1.0), (3, "kim", 1.0)],
         "topic int, term string, weight double",
     )
-    trend = interest_ops.topic_trendline(interest, weights, top_k=2)
+    assert interest_ops.topic_trendline(interest, weights, top_k=2).filter("topic = 1").count() == 3
+    trend = interest_ops.topic_trendline(interest, weights, top_k=2, exclude_topics=(1,))
     assert as_set(trend, "topic", "date", "trendline") == {
         (2, date(2017, 3, 1), 7.0), (2, date(2017, 3, 2), 10.0), (2, date(2017, 3, 3), 26.0),
         (3, date(2017, 3, 1), 10.0), (3, date(2017, 3, 2), 20.0), (3, date(2017, 3, 3), 40.0),

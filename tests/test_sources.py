@@ -57,8 +57,10 @@ def test_topic_map_roundtrip(spark, tmp_path):
 
 
 def test_lines(spark, tmp_path):
-    path = write(tmp_path / "wiki", "#REDIRECT a\nb c\n")
-    assert rows(readers.read_lines(spark, path)) == {("#REDIRECT a",), ("b c",)}
+    path = write(tmp_path / "wiki", "#REDIRECT a\nb c\nb c\n")
+    found = readers.read_lines(spark, path).collect()
+    assert sorted(r.text for r in found) == ["#REDIRECT a", "b c", "b c"]
+    assert len({r.post_id for r in found}) == 3
 
 
 def test_term_polarity(spark, tmp_path):
@@ -97,15 +99,22 @@ def test_register(spark):
     assert spark.sql("SELECT count(*) FROM three").first()[0] == 3
 
 
-def test_spread_leaves_large_tables_alone(spark):
-    assert readers.spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 16
-    assert readers.spread(spark.range(0, 10, 1, 2), "id").rdd.getNumPartitions() == 16
-    assert readers.spread(spark.range(0, 10, 1, 9), "id").rdd.getNumPartitions() == 9
+def test_tables_are_spread_only_if_asked(spark):
+    table = spark.range(0, 10, 1, 3)
+    assert readers.spread(table, "id") is table
+    assert readers.spread(table, "id", 5).rdd.getNumPartitions() == 5
 
 
 def test_settle_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert storage.shared_folder(spark) == folder
+    before = spark.sparkContext.getCheckpointDir()
     df = storage.settle(spark.range(5))
-    assert df.inputFiles()[0].startswith(f"file://{folder}/settled-")
-    assert df.count() == 5
+    assert df.count() == 5 and folder in df.rdd._jrdd.rdd().context().getCheckpointDir().get()
+    assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_removed_folders_are_gone(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/x")
+    storage.remove(spark, f"{tmp_path}/x")
+    assert not (tmp_path / "x").exists()

@@ -1,5 +1,7 @@
 """Text columns on hand-made edge rows."""
 
+import html
+import random
 import re
 import string
 
@@ -9,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
+from topiclens.functions.references import decode_references
 from topiclens.functions import text, wordlists
 from topiclens.functions.stemming import with_stem
 
@@ -165,16 +168,36 @@ def test_paragraph_arguments(values):
 
 
 def test_numeric_entities(values):
-    texts = ["it&#39;s &#8217; &#x2019; &#X41; &#36;1 &#92; &#0; &#xD800; &#9999999;", "none"]
-    assert values(texts, text.decode_entities) == [
-        "it's ’ ’ A $1 \\ &#0; &#xD800; &#9999999;",
-        "none",
-    ]
+    texts = [
+        "it&#39;s &#8217; &#x2019; &#X41; &#36;1 &#92; &#0; &#xD800; &#9999999;", "none", "", "&", "&;",
+        "&#38;lt;b", "&#38;#x41;", "&Eacute;t&eacute;", "&hearts; &zwnj;", "&eacute x", "&#0000000065;",
+        "&amp;amp;lt;", "&notit; &notin; &amp &am &ampx &unknown; &CounterClockwiseContourIntegral;",
+        "&#128; &#x80; &#13; &#x1; &#xFFFE; &#xFDD0; &#x1F600; &#99999999999999999999; &#xfffffffffffffffff;",
+        "a&b &lt&gt;&quot&copy2024 &#x; &#; &#65 &#x41g &amp;#65;",
+    ]
+    assert values(texts, decode_references) == [html.unescape(t) for t in texts]
+
+
+def test_any_references(values):
+    r = random.Random(5)
+    parts = [*"&#;xX0129aAfgl ", "amp", "lt;", "not", "&", "&#", "&#x", "eacute", "&copy"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(2000)]
+    assert values(texts, decode_references) == [html.unescape(t) for t in texts]
+
+
+def test_elements_within_one_another(values):
+    pages = ["<div>a<div>b</div>c</div><div class=x>d", "</div><p>x</p>", "<div>1</div>2<div>3</div>", "<DIV>&amp;</div>"]
+    found = values(pages, lambda x: text.extract_elements(x, "div"))
+    assert found == [["abc", "d"], [], ["1", "3"], ["&"]]
+    assert values(["<a.b>x</a.b><axb>y</axb>"], lambda x: text.extract_elements(x, "a.b")) == [["x"]]
 
 
 def test_title(values):
-    pages = ["<head><TITLE>\nA &amp; B</TITLE></head>", "<p>none</p>"]
-    assert values(pages, text.page_title) == ["\nA & B", ""]
+    pages = [
+        "<head><TITLE>\nA &amp; B</TITLE></head>", "<p>none</p>",
+        "<!--<title>x</title>--><title>real</title>", "<script>'<title>x</title>'</script><title>&Eacute;</title>",
+    ]
+    assert values(pages, text.page_title) == ["\nA & B", "", "real", "É"]
 
 
 # Published examples of the algorithm's steps, and the words its extensions are about.

@@ -54,7 +54,7 @@ def test_vocabulary_limits(spark):
     assert found == [(0, "a", 7, 3, 1), (1, "b", 6, 2, 1), (2, "d", 5, 2, 0)]
     tied = terms.vocabulary(terms.term_counts(df.filter("post_id = 3")), 1, 2, 1)
     assert [r.term for r in tied.orderBy("term_id").collect()] == ["a", "b"]
-    weights = terms.tfidf(counts, vocab, df, min_tf=5, vocab_size=3)
+    weights = terms.tfidf(counts, vocab, df, min_tf=5)
     assert {(r.post_id, r.term): r.tfidf for r in weights.collect()} == {
         (1, "a"): pytest.approx(5 * math.log(5 / 2)),
         (1, "b"): pytest.approx(5 * math.log(5 / 2)),
@@ -79,7 +79,7 @@ def test_long_form_equals_ml(docs):
     counts = terms.term_counts(docs)
     vocab = terms.vocabulary(counts, **LIMITS)
     border = vocab.agg(F.min("corpus_count")).first()[0]
-    mine = terms.tfidf(counts, vocab, docs, LIMITS["min_tf"], LIMITS["vocab_size"])
+    mine = terms.tfidf(counts, vocab, docs, LIMITS["min_tf"])
     shared = {r.term for r in vocab.filter(F.col("corpus_count") > border).collect()}
     features = topics.fit_features(docs, **LIMITS)
     words = topics.model_vocabulary(features)
@@ -214,7 +214,7 @@ def test_stemmed_topics(spark):
     assert {r.topic for r in weights.collect()} <= {0, 1}
 
 
-def test_nearest_centroid(spark, monkeypatch):
+def test_nearest_centroid(spark):
     vectors = spark.createDataFrame(
         [(1, 0, [0.0, 0.0]), (2, 0, [2.0, 0.0]), (3, 1, [9.0, 9.0]), (4, 1, [2.0, 0.5])],
         "vec_id long, topic int, vector array<double>",
@@ -225,10 +225,6 @@ def test_nearest_centroid(spark, monkeypatch):
     assert {(r.vec_id, r.topic) for r in nearest.collect()} == {(1, 0), (2, 0), (3, 1), (4, 0)}
     cost = topics.clustering_cost(nearest).first()
     assert cost.cost == pytest.approx(1 + 1 + 3.5**2 + 4.25**2 + 1 + 0.25)
-    with monkeypatch.context() as patch:
-        patch.setattr(topics, "MAX_CENTERS", 1)
-        with pytest.raises(Exception, match="more than 1 centres"):
-            topics.nearest_centroid(vectors, centers).collect()
     tied = spark.createDataFrame([(2, [1.0]), (1, [-1.0])], "topic int, center array<double>")
     zero = spark.createDataFrame([(1, [0.0])], "vec_id long, vector array<double>")
     assert topics.nearest_centroid(zero, tied).first().topic == 1

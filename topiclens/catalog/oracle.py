@@ -6,10 +6,12 @@ the rules are shared with the library, the logic is written anew.
 
 from __future__ import annotations
 
+from html import unescape
+from html.entities import html5
+
 from topiclens.catalog.queries import EXCLUDED, KEYWORD
 from topiclens.functions import stemming
-from topiclens.functions.wordlists import ENTITIES, STOP_WORDS
-from topiclens.operators.interest import SKIPPED_TOPICS
+from topiclens.functions.wordlists import STOP_WORDS
 from topiclens.plans.testbed import CUT, KEYWORDS, LAST_BIN, LAST_DAY
 
 
@@ -39,10 +41,41 @@ def tokens_of(column: str) -> str:
     return f"string_split_regex({trimmed}, '{SPACE}')"
 
 
+def lookup(values: dict, key: str) -> str:
+    """The value of a key in a constant map, or null."""
+    keys, found = ", ".join(text(str(k)) for k in values), ", ".join(text(v) for v in values.values())
+    return f"MAP([{keys}], [{found}])[{key}]"
+
+
+#: Of the public table: names with a semicolon, and those that are known without it, too.
+CLOSED = {name: chars for name, chars in html5.items() if name[-1] == ";"}
+OPEN = {name: chars for name, chars in html5.items() if name[-1] != ";"}
+LEGACY = "|".join(sorted(OPEN, key=len, reverse=True))
+#: What browsers make of numbers that are no character of their own.
+WINDOWS = {str(n): unescape(f"&#{n};") for n in range(160)}
+
+
 def decode(column: str) -> str:
-    for name, char in ENTITIES.items():
-        column = f"replace({column}, '&{name};', {text(char)})"
-    return column
+    """Cut the text before each reference; each part begins with one, but for the first."""
+    marked = f"regexp_replace({column}, '&(#[0-9]|#[xX][0-9a-fA-F]|[a-zA-Z])', chr(1) || '&\\1', 'g')"
+    digits = "regexp_extract(p, '^&#[xX]?0*([0-9a-fA-F]*)', 1)"
+    decimal = "regexp_extract(p, '^&#0*([0-9]*)', 1)"
+    number = f"""CASE WHEN regexp_matches(p, '^&#[xX]') THEN
+        CASE WHEN length({digits}) > 6 THEN 1114112 ELSE ('0x0' || {digits})::BIGINT END
+      WHEN length({decimal}) > 7 THEN 1114112 ELSE ('0' || {decimal})::BIGINT END"""
+    char = f"""CASE WHEN {number} < 160 THEN {lookup(WINDOWS, f"({number})::VARCHAR")}
+      WHEN {number} > 1114111 OR {number} BETWEEN 55296 AND 57343 THEN chr(65533)
+      WHEN {number} BETWEEN 64976 AND 65007 OR {number} % 65536 >= 65534 THEN ''
+      ELSE chr(({number})::INTEGER) END"""
+    name = "regexp_extract(p, '^&([a-zA-Z][a-zA-Z0-9]{0,31};)', 1)"
+    begun = f"regexp_extract(p, '^&({LEGACY})', 1)"
+    part = f"""CASE WHEN NOT starts_with(p, '&') THEN p
+      WHEN regexp_matches(p, '^&#') THEN {char} || regexp_replace(p, '^&#([xX][0-9a-fA-F]+|[0-9]+);?', '')
+      WHEN {lookup(CLOSED, name)} IS NOT NULL
+        THEN {lookup(CLOSED, name)} || substr(p, length({name}) + 2)
+      WHEN {begun} <> '' THEN {lookup(OPEN, begun)} || substr(p, length({begun}) + 2)
+      ELSE p END"""
+    return f"array_to_string(list_transform(string_split({marked}, chr(1)), lambda p: {part}), '')"
 
 
 def singular(t: str) -> str:
@@ -54,14 +87,19 @@ def singular(t: str) -> str:
         ELSE regexp_replace({t}, 's$', '') END"""
 
 
+def shown(column: str) -> str:
+    """A page without what is never text, in the order of the page."""
+    patterns = (
+        "<script\\b.*?(?:</script\\s*>|\\z)",
+        "<style\\b.*?(?:</style\\s*>|\\z)",
+        "<!--.*?(?:-->|\\z)",
+    )
+    return f"regexp_replace({column}, '(?is){'|'.join(patterns)}', '', 'g')"
+
+
 def paragraphs(column: str) -> str:
     """Mark each start and end of a paragraph, split there, keep what follows a start."""
-    for pattern in (
-        "(?is)<script\\b.*?(?:</script\\s*>|\\z)",
-        "(?is)<style\\b.*?(?:</style\\s*>|\\z)",
-        "(?s)<!--.*?(?:-->|\\z)",
-    ):
-        column = f"regexp_replace({column}, '{pattern}', '', 'g')"
+    column = shown(column)
     column = f"regexp_replace({column}, '(?i)<p(\\s[^>]*)?>', chr(1) || chr(2), 'g')"
     ends = "(?i)</p>|</article>|</div>|</body>|<footer"
     column = f"regexp_replace({column}, '{ends}', chr(1), 'g')"
@@ -203,7 +241,8 @@ cte(
 cte(
     "starts_ties",
     """SELECT DISTINCT session_id, post_id, topic FROM combined c
-    WHERE ts = (SELECT min(ts) FROM combined d WHERE d.session_id = c.session_id)""",
+    WHERE date_trunc('day', ts) =
+      (SELECT min(date_trunc('day', ts)) FROM combined d WHERE d.session_id = c.session_id)""",
     "combined",
 )
 for source, target in (("starts", "sessions"), ("starts_ties", "sessions_ties")):
@@ -395,7 +434,12 @@ oracle(
     "SELECT post_id, post_url, status FROM crawl ORDER BY post_id LIMIT 30 OFFSET 10",
     "crawl",
 )
-oracle("first_n", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 1000")
+oracle("first_n", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 100")
+oracle(
+    "row_range_far",
+    """SELECT doc_id, lang FROM documents d
+    WHERE (SELECT count(*) FROM documents e WHERE e.doc_id < d.doc_id) BETWEEN 110 AND 189""",
+)
 oracle("row_count", "SELECT count(*) AS articles FROM documents")
 oracle(
     "limit_n",
@@ -403,16 +447,18 @@ oracle(
     "ORDER BY session_id LIMIT 5",
     "sessions",
 )
+SOME_PLAIN = """(CASE WHEN post_id % 5 = 0
+      THEN regexp_replace(html, '<(/?)p>', '<\\1section>', 'g') ELSE html END)"""
 oracle(
     "non_empty",
     f"""SELECT * FROM (SELECT post_id, {clean("text")} AS text FROM (
-      SELECT post_id, array_to_string({paragraphs("html")}, '') AS text FROM crawl))
+      SELECT post_id, array_to_string({paragraphs(SOME_PLAIN)}, '') AS text FROM crawl))
     WHERE text <> ''""",
     "crawl",
 )
 oracle(
     "not_redirect",
-    f"SELECT post_id, text FROM {DOCS} WHERE NOT starts_with(text, '#REDIRECT')",
+    f"SELECT post_id, text FROM {DOCS} WHERE post_id % 7 <> 0 AND NOT starts_with(text, '#REDIRECT')",
 )
 oracle(
     "keyword_articles",
@@ -439,7 +485,7 @@ oracle(
     FROM (SELECT post_id, {paragraphs("html")} AS p FROM crawl)""",
     "crawl",
 )
-TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+TITLE = f"regexp_extract({shown('html')}, '(?is)<title[^>]*>(.*?)</title>', 1)"
 oracle("page_title", f"SELECT page_id AS post_id, {decode(TITLE)} AS title FROM pages")
 oracle("clean_text", f"SELECT post_id, {clean('text')} AS text FROM {DOCS}")
 DELETED = """regexp_replace(replace(text, '&nbsp;', ' '),
@@ -691,7 +737,7 @@ oracle(
     FROM interest JOIN (
       SELECT topic, keyword, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY topic) AS weight
       FROM combined GROUP BY topic, keyword) USING (keyword)
-    WHERE topic NOT IN {SKIPPED_TOPICS} GROUP BY topic, date""",
+    GROUP BY topic, date""",
     "interest",
     "combined",
 )
@@ -714,3 +760,112 @@ oracle(
       round(regr_r2(revenue, "view"), 6) AS r2 FROM revenue_rows GROUP BY topic""",
     "revenue_rows",
 )
+
+# Polarity, transitions, shares -----------------------------------------------------------
+
+WORDS_OF = """list_filter(string_split_regex(lower(
+    regexp_replace(text, '<[^\\n]+?>|[^a-zA-Z]', ' ', 'g')), ' +'), lambda x: x <> '')"""
+cte(
+    "grams",
+    f"""SELECT post_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS term
+    FROM (SELECT *, unnest(range(1, len(w) + 2 - n)) AS i
+      FROM (SELECT doc_id AS post_id, {WORDS_OF} AS w, unnest([1, 2, 3, 4]) AS n FROM documents))""",
+)
+cte(
+    "lexicon",
+    """SELECT * FROM (SELECT term, (20 * sum(quality) + count(*)) // (2 * count(*)) - 5 AS polarity
+      FROM (SELECT DISTINCT post_id, term FROM grams WHERE n <= 2)
+      JOIN labels ON doc_id = post_id GROUP BY term HAVING count(*) >= 5) WHERE polarity <> 0""",
+    "grams",
+)
+cte("matches", "SELECT * FROM grams JOIN lexicon USING (term)", "grams", "lexicon")
+cte(
+    "polarities",
+    """SELECT post_id, coalesce(sum(polarity), 0)::BIGINT AS polarity, count(polarity) AS matches
+    FROM (SELECT doc_id AS post_id FROM documents) LEFT JOIN (
+      SELECT * FROM matches m WHERE NOT EXISTS (FROM matches x WHERE x.post_id = m.post_id
+        AND x.n > m.n AND x.i <= m.i AND x.i + x.n >= m.i + m.n)) USING (post_id)
+    GROUP BY post_id""",
+    "matches",
+)
+oracle("polarity", "SELECT * FROM polarities", "polarities")
+oracle(
+    "metrics_by_polarity",
+    """SELECT sign(polarity)::INTEGER AS bucket, count(DISTINCT post_id) AS articles,
+      count(*) AS views, round(sum(hit_revenue), 6) AS revenue
+    FROM hits JOIN polarities USING (post_id) GROUP BY 1""",
+    "hits",
+    "polarities",
+)
+oracle(
+    "event_transitions",
+    """SELECT event, next_event, count(*) AS transitions,
+      round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY event), 9) AS probability
+    FROM (SELECT keyword AS event, lead(keyword) OVER (PARTITION BY session_id
+            ORDER BY ts, event_id) AS next_event FROM hits)
+    WHERE next_event IS NOT NULL GROUP BY event, next_event""",
+    "hits",
+)
+oracle(
+    "top_decile_share",
+    """SELECT count(*) AS users, count(*) FILTER (top) AS top_users,
+      round(sum(revenue), 6) AS revenue, round(sum(revenue) FILTER (top), 6) AS top_revenue,
+      round(sum(revenue) FILTER (top) / sum(revenue), 9) AS top_share
+    FROM (SELECT revenue, row_number() OVER (ORDER BY revenue DESC, uuid)
+            <= ceil(count(*) OVER () / 10) AS top
+          FROM (SELECT uuid, sum(hit_revenue) AS revenue FROM hits GROUP BY uuid))""",
+    "hits",
+)
+oracle(
+    "stream_keyword_views",
+    f"SELECT strftime(date_trunc('day', ts), {STAMP}) AS start, event_type AS keyword, "
+    "count(*) AS views FROM events GROUP BY ALL",
+)
+
+# Files written and read again ---------------------------------------------------------------
+
+oracle(
+    "hits_file",
+    f"""SELECT uuid, session_id, strftime(ts, {STAMP}) AS ts, post_id,
+      'http://example.com/a,b' AS post_url, device_type, round(hit_revenue, 6) AS hit_revenue
+    FROM hits""",
+    "hits",
+)
+oracle(
+    "articles_file",
+    f"SELECT * FROM (SELECT post_id, {clean('text')} AS text FROM {DOCS}) WHERE text <> ''",
+)
+for name in ("topic_map_file", "by_topic_files"):
+    oracle(name, "SELECT post_id, topic FROM topics", "topics")
+ORACLE["pages_by_status_files"] = ORACLE["page_status"]
+oracle(
+    "text_lines_file",
+    "SELECT DISTINCT translate(text, chr(13) || chr(10), '  ') AS text, 1::BIGINT AS ids FROM documents",
+)
+# What must be true of fitted models -------------------------------------------------------
+
+oracle("model_roundtrip_same", "SELECT doc_id AS post_id, 1 AS same FROM documents")
+oracle("kmeans_gap", "SELECT doc_id AS post_id, 0.0::DOUBLE AS gap FROM documents")
+oracle(
+    "k_sweep_falls",
+    "SELECT * FROM (VALUES (3, 10, 1), (10, 25, 1)) steps(fewer, k, falls)",
+)
+oracle(
+    "lda_known_terms",
+    "SELECT CAST(topic AS INTEGER) AS topic, (SELECT count(*) FROM (FROM vocab LIMIT 10)) AS terms "
+    "FROM range(5) r(topic)",
+    "vocab",
+)
+oracle(
+    "classified_pages",
+    f"""SELECT post_id, 1 AS known FROM (
+      SELECT post_id, array_to_string({paragraphs("html")}, '') AS text FROM crawl
+      WHERE post_url IS NOT NULL AND status = 200) WHERE {clean("text")} <> ''""",
+    "crawl",
+)
+oracle(
+    "synonyms_known",
+    "SELECT least(10, count(*)) AS synonyms FROM (SELECT term FROM counts GROUP BY term "
+    f"HAVING sum(tf) >= 5) WHERE term <> '{KEYWORD}'",
+    "counts",
+)

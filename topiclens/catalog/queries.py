@@ -9,17 +9,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topiclens import storage
+from topiclens import schemas, storage
 from topiclens.functions import clock, text
+from topiclens.functions.vectors import squared_distance
 from topiclens.operators import articles as article_ops
+from topiclens.operators import extras
 from topiclens.operators import hits as hit_ops
 from topiclens.operators import interest as interest_ops
 from topiclens.operators import regression, series, terms, topics
 from topiclens.plans import articles_to_topics, session_report, testbed, trend_report
-from topiclens.session import tune
+from topiclens.session import in_utc
+from topiclens.sources import readers, writers
 from topiclens.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,13 +33,15 @@ KEYWORD = "thing"
 EXCLUDED = ["worthless", "stanea"]
 PLACES = 6
 RATIO_PLACES = 9
+# Parts that fits deal their articles into, so that they give the same on every cluster.
+FIT_PARTS = 16
 
 
 def query(function: Query) -> Query:
     """Register a function under its own name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return function(tune(spark), folder.rstrip("/"))
+        return function(in_utc(spark), folder.rstrip("/"))
 
     QUERIES[function.__name__] = run
     return function
@@ -76,7 +82,13 @@ def row_range(spark, folder):
 @query
 def first_n(spark, folder):
     lines = testbed.table(spark, folder, "documents").select("doc_id", "lang", "text")
-    return article_ops.first_rows(lines, "doc_id", 1000)
+    return article_ops.first_rows(lines, "doc_id", 100)
+
+
+@query
+def row_range_far(spark, folder):
+    lines = testbed.table(spark, folder, "documents").select("doc_id", "lang")
+    return article_ops.row_range(lines, "doc_id", 110, 190)
 
 
 @query
@@ -92,15 +104,16 @@ def limit_n(spark, folder):
 
 @query
 def non_empty(spark, folder):
+    html = testbed.some_without_paragraphs(F.col("html"), F.col("post_id"))
     pages = testbed.pages(spark, folder).select(
-        "post_id", text.clean_text(text.extract_text(F.col("html"))).alias("text")
+        "post_id", text.clean_text(text.extract_text(html)).alias("text")
     )
     return article_ops.non_empty(pages)
 
 
 @query
 def not_redirect(spark, folder):
-    return article_ops.not_redirect(testbed.articles(spark, folder))
+    return article_ops.not_redirect(testbed.wiki_lines(spark, folder))
 
 
 @query
@@ -278,27 +291,29 @@ def clustering_cost(spark, folder):
 def topics_kmeans(spark, folder):
     """Sizes of the fitted topics."""
     docs = testbed.tokens(spark, folder)
-    return topics.topic_sizes(topics.assign_topics(topics.fit_topics(docs), docs))
+    model = topics.fit_topics(docs, partitions=FIT_PARTS)
+    return topics.topic_sizes(topics.assign_topics(model, docs))
 
 
 @query
 def text_to_topic(spark, folder):
     """All the way from article text to the fitted topics' keywords."""
-    model = articles_to_topics.learn_topics(testbed.texts(spark, folder))
+    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
 @query
 def stemmed_topics(spark, folder):
     """From raw text by word stems to three topics and their keywords."""
-    model = articles_to_topics.learn_stemmed_topics(testbed.texts(spark, folder))
+    docs = testbed.texts(spark, folder)
+    model = articles_to_topics.learn_stemmed_topics(docs, partitions=FIT_PARTS)
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
 @query
 def classify_new(spark, folder):
     """Crawled pages put into the topics that were learnt from the articles."""
-    model = articles_to_topics.learn_topics(testbed.texts(spark, folder))
+    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
     pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
     return articles_to_topics.label_articles(model, pages)
 
@@ -308,18 +323,20 @@ def model_roundtrip(spark, folder):
     """Topics given by a model that was written and read again."""
     docs = testbed.texts(spark, folder)
     path = f"{storage.shared_folder(spark)}/model-{uuid4().hex}"
-    topics.save_model(articles_to_topics.learn_topics(docs), path)
-    return articles_to_topics.label_articles(topics.load_model(path), docs)
+    topics.save_model(articles_to_topics.learn_topics(docs, partitions=FIT_PARTS), path)
+    model = topics.load_model(path)
+    storage.remove(spark, path)
+    return articles_to_topics.label_articles(model, docs)
 
 
 @query
 def k_sweep(spark, folder):
-    return topics.k_sweep(testbed.tokens(spark, folder), [3, 10, 25])
+    return topics.k_sweep(testbed.tokens(spark, folder), [3, 10, 25], partitions=FIT_PARTS)
 
 
 @query
 def topics_lda(spark, folder):
-    return topics.lda_topics(testbed.tokens(spark, folder))
+    return topics.lda_topics(testbed.tokens(spark, folder), partitions=FIT_PARTS)
 
 
 @query
@@ -337,6 +354,11 @@ def _combined(spark, folder) -> DataFrame:
     )
 
 
+def _tied(spark, folder) -> DataFrame:
+    """Hits known to the day only, so that a session's first hits share a moment."""
+    return _combined(spark, folder).withColumn("ts", F.date_trunc("day", "ts"))
+
+
 def _hits_and_topics(spark, folder) -> tuple[DataFrame, DataFrame]:
     return testbed.hits(spark, folder), testbed.post_topics(spark, folder)
 
@@ -365,7 +387,7 @@ def session_starts(spark, folder):
 
 @query
 def session_starts_ties(spark, folder):
-    return hit_ops.session_starts(_combined(spark, folder), ties="all")
+    return hit_ops.session_starts(_tied(spark, folder), ties="all")
 
 
 @query
@@ -375,7 +397,7 @@ def session_metrics(spark, folder):
 
 @query
 def session_metrics_ties(spark, folder):
-    return rounded(hit_ops.session_metrics(_combined(spark, folder), ties="all"), "revenue")
+    return rounded(hit_ops.session_metrics(_tied(spark, folder), ties="all"), "revenue")
 
 
 @query
@@ -469,7 +491,9 @@ def _binned(spark, folder) -> DataFrame:
 
 
 def _study(spark, folder) -> DataFrame:
-    return series.after_cut(_binned(spark, folder))
+    hits, topic_map = _hits_and_topics(spark, folder)
+    recent = series.hits_from_cut(hits, testbed.CUT)
+    return series.after_cut(series.binned_metrics(recent, topic_map, testbed.CUT))
 
 
 @query
@@ -484,7 +508,9 @@ def after_cut(spark, folder):
 
 @query
 def study_window(spark, folder):
-    daily = series.topic_daily(_binned(spark, folder))
+    hits, topic_map = _hits_and_topics(spark, folder)
+    chosen = series.study_hits(hits, testbed.CUT, testbed.LAST_DAY)
+    daily = series.topic_daily(series.binned_metrics(chosen, topic_map, testbed.CUT))
     return rounded(series.study_window(daily, testbed.LAST_DAY), "revenue")
 
 
@@ -538,7 +564,8 @@ def stream_binned_metrics(spark, folder):
     files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
     stream = testbed.as_hits(files.parquet(folder))
     incremental.follow_hits(stream, f"{run}/sums", f"{run}/log", testbed.CUT).awaitTermination()
-    partials = spark.read.parquet(f"{run}/sums")
+    partials = storage.settle(spark.read.parquet(f"{run}/sums"))
+    storage.remove(spark, run)
     return rounded(incremental.binned_so_far(partials, topic_map), "revenue")
 
 
@@ -594,3 +621,219 @@ def revenue_predicted(spark, folder):
 def revenue_regr(spark, folder):
     fits = regression.revenue_regr(_revenue_table(spark, folder), "view")
     return rounded(fits, "slope", "intercept", "r2")
+
+
+# Polarity, transitions, shares -----------------------------------------------------------
+
+
+def _polarity(spark, folder) -> DataFrame:
+    lexicon = testbed.lexicon(spark, folder)
+    return extras.polarity(testbed.alpha_tokens(spark, folder), lexicon)
+
+
+@query
+def polarity(spark, folder):
+    return _polarity(spark, folder)
+
+
+@query
+def metrics_by_polarity(spark, folder):
+    metrics = extras.metrics_by_polarity(testbed.hits(spark, folder), _polarity(spark, folder))
+    return rounded(metrics, "revenue")
+
+
+@query
+def event_transitions(spark, folder):
+    return ratios(extras.event_transitions(testbed.hits(spark, folder)), "probability")
+
+
+@query
+def top_decile_share(spark, folder):
+    shares = extras.top_share(testbed.hits(spark, folder))
+    return ratios(rounded(shares, "revenue", "top_revenue"), "top_share")
+
+
+@query
+def stream_keyword_views(spark, folder):
+    """Views per day and keyword of a stream of hit files, after all of them have arrived."""
+    run = f"{storage.shared_folder(spark)}/keywords-{uuid4().hex}"
+    events = testbed.table(spark, folder, "events")
+    files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
+    stream = testbed.as_hits(files.parquet(folder))
+    incremental.follow_keywords(stream, f"{run}/counts", f"{run}/log").awaitTermination()
+    updates = storage.settle(spark.read.parquet(f"{run}/counts"))
+    storage.remove(spark, run)
+    views = incremental.keyword_views(updates)
+    return views.withColumn("start", moment(F.col("start")))
+
+
+# Files written and read again ---------------------------------------------------------------
+
+
+def _through_files(spark, write, read) -> DataFrame:
+    """What is read of files that were written; the files are gone when it is returned."""
+    path = f"{storage.shared_folder(spark)}/files-{uuid4().hex}"
+    write(path)
+    found = storage.settle(read(path))
+    storage.remove(spark, path)
+    return found
+
+
+@query
+def hits_file(spark, folder):
+    """Hits as CSV, read again by position with their types."""
+    hits = testbed.hits(spark, folder).withColumn("post_url", F.lit("http://example.com/a,b"))
+    rows = hits.select(
+        *[
+            moment(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "timestamp" else f.name
+            for f in schemas.HITS.fields
+        ]
+    )
+    read = _through_files(
+        spark,
+        lambda path: rows.write.csv(path, header=True),
+        lambda path: readers.read_hits(spark, path),
+    )
+    return read.select(
+        "uuid",
+        "session_id",
+        moment(F.col("ts")).alias("ts"),
+        "post_id",
+        "post_url",
+        "device_type",
+        F.round("hit_revenue", PLACES).alias("hit_revenue"),
+    )
+
+
+@query
+def articles_file(spark, folder):
+    docs = testbed.articles(spark, folder).select(
+        "post_id", text.clean_text(F.col("text")).alias("text")
+    )
+    return _through_files(
+        spark,
+        lambda path: writers.write_articles_csv(docs, path),
+        lambda path: readers.read_articles(spark, path),
+    )
+
+
+@query
+def topic_map_file(spark, folder):
+    topic_map = testbed.post_topics(spark, folder)
+    return _through_files(
+        spark,
+        lambda path: writers.write_topic_map(topic_map, path),
+        lambda path: readers.read_table(spark, path),
+    )
+
+
+@query
+def by_topic_files(spark, folder):
+    topic_map = testbed.post_topics(spark, folder)
+    return _through_files(
+        spark,
+        lambda path: writers.write_by_topic(topic_map, path),
+        lambda path: readers.read_table(spark, path),
+    )
+
+
+@query
+def pages_by_status_files(spark, folder):
+    pages = testbed.crawl(spark, folder).select("post_id", "post_url", "status")
+    return _through_files(
+        spark,
+        lambda path: writers.write_pages_by_status(pages, path),
+        lambda path: readers.read_table(spark, path),
+    )
+
+
+@query
+def text_lines_file(spark, folder):
+    """Texts as lines, read again as articles with an id of their own."""
+    lines = testbed.articles(spark, folder).select(F.translate("text", "\r\n", "  ").alias("value"))
+
+    def write(path):
+        lines.distinct().write.text(path)
+
+    read = _through_files(spark, write, lambda path: readers.read_lines(spark, path))
+    return read.groupBy("text").agg(F.countDistinct("post_id").alias("ids"))
+
+
+# What must be true of fitted models -------------------------------------------------------
+
+
+@query
+def model_roundtrip_same(spark, folder):
+    """Whether each article has the same topic before and after the model was written."""
+    docs = testbed.tokens(spark, folder)
+    model = topics.fit_topics(docs, partitions=FIT_PARTS)
+    path = f"{storage.shared_folder(spark)}/model-{uuid4().hex}"
+    topics.save_model(model, path)
+    again = topics.load_model(path)
+    storage.remove(spark, path)
+    before = topics.assign_topics(model, docs).withColumnRenamed("topic", "before")
+    return topics.assign_topics(again, docs).join(before, "post_id").select(
+        "post_id", (F.col("topic") == F.col("before")).cast("int").alias("same")
+    )
+
+
+@query
+def kmeans_gap(spark, folder):
+    """How much farther each article's centre is than its nearest one."""
+    docs = testbed.tokens(spark, folder)
+    model = topics.fit_topics(docs, partitions=FIT_PARTS)
+    centers = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[-1].clusterCenters())],
+        "topic int, center array<double>",
+    )
+    vectors = model.transform(docs).select(
+        "post_id", F.col("topic").alias("given"), vector_to_array("tfidf").alias("vector")
+    )
+    nearest = topics.nearest_centroid(vectors, centers)
+    own = centers.select(F.col("topic").alias("given"), F.col("center").alias("own"))
+    gap = squared_distance(F.col("own"), F.col("vector")) - F.col("distance")
+    return nearest.join(F.broadcast(own), "given").select("post_id", F.round(gap, 6).alias("gap"))
+
+
+@query
+def k_sweep_falls(spark, folder):
+    """Whether more topics cost less."""
+    ks = [3, 10, 25]
+    costs = topics.k_sweep(testbed.tokens(spark, folder), ks, partitions=FIT_PARTS)
+    wide = costs.groupBy().pivot("k", ks).agg(F.first("cost"))
+    steps = [
+        F.struct(
+            F.lit(a).alias("fewer"), F.lit(b).alias("k"), (F.col(str(b)) < F.col(str(a))).cast("int").alias("falls")
+        )
+        for a, b in zip(ks, ks[1:])
+    ]
+    return wide.select(F.inline(F.array(*steps)))
+
+
+@query
+def lda_known_terms(spark, folder):
+    """Terms of each LDA topic that are in the vocabulary."""
+    docs = testbed.tokens(spark, folder)
+    found = topics.lda_topics(docs, partitions=FIT_PARTS)
+    known = terms.vocabulary(terms.term_counts(docs)).select("term")
+    return found.join(known, "term").groupBy("topic").agg(F.count(F.lit(1)).alias("terms"))
+
+
+@query
+def classified_pages(spark, folder):
+    """Pages that were given one of the learnt topics."""
+    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
+    pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
+    found = articles_to_topics.label_articles(model, pages)
+    return found.select("post_id", F.col("topic").between(0, topics.K - 1).cast("int").alias("known"))
+
+
+@query
+def synonyms_known(spark, folder):
+    """Synonyms that are frequent terms of the corpus, other than the word itself."""
+    docs = testbed.tokens(spark, folder)
+    found = topics.synonyms(docs, KEYWORD).filter(F.col("word") != KEYWORD)
+    totals = terms.term_totals(terms.term_counts(docs)).withColumnRenamed("term", "word")
+    return found.join(totals.filter(F.col("corpus_count") >= terms.MIN_DF), "word").agg(
+        F.count(F.lit(1)).alias("synonyms")
+    )

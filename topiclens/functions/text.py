@@ -2,61 +2,71 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from topiclens.functions.wordlists import ENTITIES, STOP_WORDS
+from topiclens.functions.references import decode_references
+from topiclens.functions.wordlists import STOP_WORDS
 
 # Everything in a page that is never text; without an end it goes on to the page's end.
 HIDDEN = (
     r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 )
+# Elements that cannot hold one of their own kind.
+FLAT = ("p", "li", "dt", "dd", "tr", "td", "th", "option", "a", "title", *(f"h{n}" for n in range(1, 7)))
 NUMERIC_TOKEN = r"^\p{N}+$"
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode numeric character references and the common named ones."""
-    text = _decode_numeric(text, r"&#([0-9]{1,7});", lambda code: F.concat(F.lit("&#"), code), 10)
-    text = _decode_numeric(
-        text, r"(?i)&#x([0-9a-f]{1,6});", lambda code: F.concat(F.lit("&#[xX]"), code), 16
-    )
-    return _replace_all(text, {f"&{name};": char for name, char in ENTITIES.items()})
+def _ends(tag: str) -> str:
+    """Where an element ends at the latest: its end, a new one, or the end of its block."""
+    return rf"(?=</{tag}>|<{tag}[\s>]|</article>|</div>|</body>|<footer|\z)"
 
 
-def _decode_numeric(text: Column, pattern: str, reference, base: int) -> Column:
-    """Replace each distinct reference of the text by its character."""
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+def _flat_elements(html: Column, tag: str) -> Column:
+    """Content of elements that do not nest, such as paragraphs: a new one ends the open one."""
+    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?){_ends(tag)}"
+    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
 
-    def replace(done: Column, code: Column) -> Column:
-        number = F.conv(code, base, 10).cast("long")
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        # In a replacement text, backslash and dollar are special.
-        safe = F.when(char == "\\", F.lit("\\\\")).when(char == "$", F.lit("\\$")).otherwise(char)
-        whole = F.concat(reference(code), F.lit(";"))
-        return F.when(valid, F.regexp_replace(done, whole, safe)).otherwise(done)
 
-    return F.when(text.rlike(pattern), F.aggregate(codes, text, replace)).otherwise(text)
+def _nested_elements(html: Column, tag: str) -> Column:
+    """Content of the outermost elements, with that of the elements within in its place."""
+    mark = rf"(?is)</?{tag}(?:\s[^>]*)?>"
+    marks = F.regexp_extract_all(html, F.lit(mark), F.lit(0))
+    after = F.split(html, mark, -1)
+    steps = F.arrays_zip(marks.alias("mark"), F.slice(after, 2, F.size(marks)).alias("text"))
+    none = F.array().cast("array<string>")
 
+    def step(state: Column, x: Column) -> Column:
+        opens = ~x["mark"].startswith("</")
+        depth = F.when(opens, state["depth"] + 1).otherwise(F.greatest(state["depth"] - 1, F.lit(0)))
+        ends = (state["depth"] == 1) & (depth == 0)
+        kept = F.when(depth == 0, F.lit("")).otherwise(F.concat(state["open"], x["text"]))
+        done = F.when(ends, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"])
+        return F.struct(depth.alias("depth"), kept.alias("open"), done.alias("done"))
 
-def tag_pattern(tag: str) -> str:
-    """Content of each `tag` element; a new one, or the end of its block, ends the open one."""
-    return (
-        rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)"
-        rf"(?=</{tag}>|<{tag}[\s>]|</article>|</div>|</body>|<footer|\z)"
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), none.alias("done"))
+    return F.aggregate(
+        steps,
+        start,
+        step,
+        lambda s: F.when(s["depth"] > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]),
     )
 
 
 def extract_elements(html: Column, tag: str = "p", text: bool = True) -> Column:
-    """The elements of a page as an array: their text, or their markup if not `text`."""
-    found = F.regexp_extract_all(
-        F.regexp_replace(html, HIDDEN, ""), F.lit(tag_pattern(tag)), F.lit(1)
-    )
+    """The elements of a page as an array: their text, or their markup if not `text`.
+
+    Of elements within one another, such as blocks, the outermost are given, whole.
+    """
+    shown = F.regexp_replace(html, HIDDEN, "")
+    name = re.escape(tag)
+    found = _flat_elements(shown, name) if tag.lower() in FLAT else _nested_elements(shown, name)
     if not text:
         return found
-    return F.transform(found, lambda part: decode_entities(F.regexp_replace(part, "<[^>]*>", "")))
+    return F.transform(found, lambda part: decode_references(F.regexp_replace(part, "<[^>]*>", "")))
 
 
 def extract_text(html: Column, tag: str = "p", sep: str = "") -> Column:
@@ -65,7 +75,9 @@ def extract_text(html: Column, tag: str = "p", sep: str = "") -> Column:
 
 
 def page_title(html: Column) -> Column:
-    return decode_entities(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
+    """The title; one in a script or a comment is none."""
+    shown = F.regexp_replace(html, HIDDEN, "")
+    return decode_references(F.regexp_extract(shown, r"(?is)<title[^>]*>(.*?)</title>", 1))
 
 
 def straighten_apostrophes(text: Column) -> Column:

@@ -22,41 +22,3 @@ ENGLISH_STOP_WORDS = (
 NEWS_STOP_WORDS = ["ha", "wa", "getty", "image", "ap", "pictwittercom"]
 
 STOP_WORDS = sorted({*ENGLISH_STOP_WORDS, *string.ascii_lowercase, *NEWS_STOP_WORDS})
-
-# Named character references that are decoded; `amp` must come last.
-ENTITIES = {
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": " ",
-    "copy": "©",
-    "reg": "®",
-    "trade": "™",
-    "middot": "·",
-    "bull": "•",
-    "hellip": "…",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "laquo": "«",
-    "raquo": "»",
-    "pound": "£",
-    "euro": "€",
-    "cent": "¢",
-    "deg": "°",
-    "frac12": "½",
-    "times": "×",
-    "eacute": "é",
-    "egrave": "è",
-    "ccedil": "ç",
-    "agrave": "à",
-    "ouml": "ö",
-    "uuml": "ü",
-    "auml": "ä",
-    "ntilde": "ñ",
-    "amp": "&",
-}

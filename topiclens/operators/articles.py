@@ -13,9 +13,6 @@ OK, FAILED, REDIRECT = "ok", "failed", "redirect"
 KEYWORD_TOPIC = -1
 REDIRECT_MARK = "#REDIRECT"
 
-# Up to this place in the order, a row range is a top-n.
-TOP_ROWS = 100_000
-
 
 def project(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns)
@@ -29,24 +26,21 @@ def replace_column(df: DataFrame, old: str, new: str) -> DataFrame:
 def row_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
     """Rows `start` to `stop` (exclusive) in the order of a unique key.
 
-    Near the start of the order, each task keeps at most `stop` rows. Further on, rows
-    are numbered where they are. To split a table among jobs in any order, `shard`
-    needs neither.
+    Rows are numbered where they are, so that no range meets in one task. To split a table
+    among jobs in any order, `shard` needs no numbers.
     """
-    if stop <= TOP_ROWS:
-        return df.orderBy(key).offset(start).limit(stop - start)
     position = F.col("position")
     return with_position(df, key).filter((position >= start) & (position < stop)).drop("position")
 
 
-def with_position(df: DataFrame, key: str) -> DataFrame:
-    """Add `position`: the row's place, from 0, in the order of a unique key.
+def with_position(df: DataFrame, *order: str | Column) -> DataFrame:
+    """Add `position`: the row's place, from 0, in an order without ties.
 
-    The sorted table is written; its parts are numbered from the sizes of the parts
-    before them. Nothing but one row per part meets in one task.
+    The sorted table is settled; its parts are numbered from the sizes of the parts before
+    them. Nothing but one row per part meets in one task.
     """
     # The id holds the number of the part, and in its low 33 bits the place within it.
-    rows = storage.settle(df.orderBy(key).withColumn("_id", F.monotonically_increasing_id()))
+    rows = storage.settle(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
     rows = rows.withColumn("_part", F.shiftright("_id", 33))
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
@@ -61,8 +55,8 @@ def shard(df: DataFrame, key: str, shards: int, index: int) -> DataFrame:
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first `n` rows by key: a sample that is the same in every run."""
-    return df.orderBy(key).limit(n)
+    """The first `n` rows by a unique key: a sample that is the same in every run."""
+    return row_range(df, key, 0, n)
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:

@@ -7,6 +7,8 @@ topic map while it is small and otherwise shuffles, where AQE splits hot posts.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,16 +39,30 @@ def topic_rollup(
     )
 
 
-
-
 def session_first_ts(hits: DataFrame) -> DataFrame:
     return hits.groupBy("session_id").agg(F.min("ts").alias("first_ts"))
 
 
-def _landing() -> Column:
+# More than twice the largest id, so that ids of the same moment keep their order.
+MOMENT = Decimal(2**65)
+
+
+def _moment() -> Column:
+    """Orders hits by time, then by post, as one number of fixed width.
+
+    Aggregates of numbers update their buffers in place, so hits need no sort.
+    """
+    micros = F.unix_micros("ts").cast("decimal(18,0)")
+    return micros * F.lit(MOMENT) + F.col("post_id").cast("decimal(20,0)")
+
+
+def _landing() -> dict[str, Column]:
     """Post and topic of the first hit; hits at the same time are ordered by post."""
-    first = F.when(F.col("ts").isNotNull(), F.struct("ts", "post_id"))
-    return F.min_by(F.struct("post_id", "topic"), first)
+    return {
+        "first_moment": F.min(_moment()),
+        "post_id": F.min_by("post_id", _moment()),
+        "topic": F.min_by("topic", _moment()),
+    }
 
 
 def session_starts(combined: DataFrame, ties: str = "first") -> DataFrame:
@@ -55,8 +71,9 @@ def session_starts(combined: DataFrame, ties: str = "first") -> DataFrame:
     `ties="all"` keeps every distinct post that shares the first moment.
     """
     if ties == "first":
-        starts = combined.groupBy("session_id").agg(_landing().alias("landing"))
-        return starts.filter("landing IS NOT NULL").select("session_id", "landing.*")
+        landing = [column.alias(name) for name, column in _landing().items()]
+        starts = combined.groupBy("session_id").agg(*landing)
+        return starts.filter("first_moment IS NOT NULL").drop("first_moment")
     # However many hits share the first moment, one row per post is left of them; and
     # rank() = 1 is pruned before the shuffle on the session.
     posts = combined.groupBy("session_id", "post_id", "topic").agg(F.min("ts").alias("ts"))
@@ -73,9 +90,10 @@ def session_metrics(combined: DataFrame, ties: str = "first") -> DataFrame:
     """
     sums = [F.sum("hit_revenue").alias("revenue"), F.count("post_id").alias("views")]
     if ties == "first":
-        sessions = combined.groupBy("session_id").agg(_landing().alias("landing"), *sums)
-        return sessions.filter("landing IS NOT NULL").select(
-            "session_id", "landing.topic", "revenue", "views"
+        landing = [column.alias(name) for name, column in _landing().items()]
+        sessions = combined.groupBy("session_id").agg(*landing, *sums)
+        return sessions.filter("first_moment IS NOT NULL").select(
+            "session_id", "topic", "revenue", "views"
         )
     starts = session_starts(combined, ties).groupBy("session_id", "topic").count()
     totals = combined.groupBy("session_id").agg(*sums)

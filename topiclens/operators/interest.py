@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from topiclens.functions import clock
 from topiclens.operators.topics import TOP_TERMS, top_terms
 
-# Topics whose keywords name no subject.
-SKIPPED_TOPICS = (1, 7)
-
 
 def interest_wide(interest: DataFrame, keywords: list[str]) -> DataFrame:
     """One column per keyword; only dates on which every keyword has a value."""
@@ -34,11 +31,12 @@ def topic_trendline(
     interest: DataFrame,
     weights: DataFrame,
     top_k: int = TOP_TERMS,
-    exclude_topics: tuple[int, ...] = SKIPPED_TOPICS,
+    exclude_topics: tuple[int, ...] = (),
 ) -> DataFrame:
     """`topic, date, trendline`: interest in the topic's strongest terms, by weight.
 
-    `weights` has topic, term, weight.
+    `weights` has topic, term, weight. Topics of a fitted model whose keywords name no
+    subject may be left out by their numbers.
     """
     chosen = top_terms(weights, top_k).filter(~F.col("topic").isin(list(exclude_topics)))
     return (

@@ -1,12 +1,13 @@
 """Least squares of a topic's daily revenue.
 
-A topic has one row per day of the study window, so a topic is one small group: the
-groups are spread by Spark, numpy solves each.
+Sums of products are added up per topic by one aggregate that combines before the shuffle,
+however many rows a topic has. One small system of equations per topic is left to solve.
 """
 
 from __future__ import annotations
 
-import numpy as np
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,21 +16,41 @@ from topiclens.functions import clock
 from topiclens.operators.series import study_window
 
 
-def _solve(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Intercept and slopes; the shortest solution if columns depend on each other."""
-    x_mean, y_mean = x.mean(axis=0), y.mean()
-    slopes = np.linalg.lstsq(x - x_mean, y - y_mean, rcond=None)[0]
-    return float(y_mean - x_mean @ slopes), slopes
-
-
-def _matrix(rows: pd.DataFrame, regressors: list[str], target: str):
-    rows = rows.sort_values("day")
-    return rows, rows[regressors].to_numpy(float), rows[target].to_numpy(float)
-
-
-def _r2(y: np.ndarray, fitted: np.ndarray) -> float:
-    total = ((y - y.mean()) ** 2).sum()
-    return float(1 - ((y - fitted) ** 2).sum() / total) if total else float("nan")
+def _fits(rows: DataFrame, regressors: list[str], target: str) -> DataFrame:
+    """`topic, intercept, slopes, r2, days`: one row per topic."""
+    names = [*regressors, target]
+    columns = [F.col(n).cast("double") for n in names]
+    products = [F.sum(x * y) for i, x in enumerate(columns) for y in columns[i:]]
+    sums = rows.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.array(*[F.sum(x) for x in columns]).alias("sums"),
+        F.array(*products).alias("products"),
+    )
+    k = len(regressors)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        above = np.triu_indices(k + 1)
+        for batch in batches:
+            made = []
+            for topic, n, total, product in batch.itertuples(index=False):
+                mean = np.asarray(total) / n
+                cross = np.zeros((k + 1, k + 1))
+                cross[above] = product
+                cross = cross + np.triu(cross, 1).T - n * np.outer(mean, mean)
+                # The shortest solution if regressors depend on each other.
+                scale = np.sqrt(np.maximum(np.diag(cross)[:k], 0))
+                scale[scale < 1e-6] = np.inf
+                scaled = cross[:k, :k] / np.outer(scale, scale)
+                slopes = np.linalg.pinv(scaled, rcond=1e-10, hermitian=True) @ (cross[:k, k] / scale) / scale
+                whole = cross[k, k]
+                r2 = float(slopes @ cross[:k, k] / whole) if whole > 1e-12 else float("nan")
+                made.append((topic, float(mean[k] - slopes @ mean[:k]), slopes.tolist(), r2, n))
+            yield pd.DataFrame(made, columns=["topic", "intercept", "slopes", "r2", "days"])
+
+    schema = "topic int, intercept double, slopes array<double>, r2 double, days long"
+    return sums.select("topic", "days", "sums", "products").mapInPandas(solve, schema)
 
 
 def revenue_ols(
@@ -39,23 +60,13 @@ def revenue_ols(
     last_day: int = clock.LAST_DAY,
 ) -> DataFrame:
     """`topic, variable, coefficient, r2, days`: one fit per topic, with intercept."""
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, x, y = _matrix(rows, regressors, target)
-        intercept, slopes = _solve(x, y)
-        return pd.DataFrame(
-            {
-                "topic": rows["topic"].iloc[0],
-                "variable": ["intercept", *regressors],
-                "coefficient": [intercept, *slopes],
-                "r2": _r2(y, intercept + x @ slopes),
-                "days": len(rows),
-            }
-        )
-
-    schema = "topic int, variable string, coefficient double, r2 double, days long"
-    rows = _window(df, regressors, target, last_day)
-    return rows.groupBy("topic").applyInPandas(fit, schema)
+    fits = _fits(_window(df, regressors, target, last_day), regressors, target)
+    values = F.concat(F.array("intercept"), "slopes")
+    named = F.arrays_zip(
+        F.array(*[F.lit(n) for n in ("intercept", *regressors)]).alias("variable"),
+        values.alias("coefficient"),
+    )
+    return fits.select("topic", F.inline(named), "r2", "days")
 
 
 def revenue_predicted(
@@ -65,28 +76,17 @@ def revenue_predicted(
     last_day: int = clock.LAST_DAY,
 ) -> DataFrame:
     """`topic, day, actual, predicted, r2` of the fit above."""
-
-    def predict(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, x, y = _matrix(rows, regressors, target)
-        intercept, slopes = _solve(x, y)
-        fitted = intercept + x @ slopes
-        return pd.DataFrame(
-            {
-                "topic": rows["topic"],
-                "day": rows["day"],
-                "actual": y,
-                "predicted": fitted,
-                "r2": _r2(y, fitted),
-            }
-        )
-
-    schema = "topic int, day int, actual double, predicted double, r2 double"
     rows = _window(df, regressors, target, last_day)
-    return rows.groupBy("topic").applyInPandas(predict, schema)
+    fitted = F.col("intercept")
+    for i, name in enumerate(regressors):
+        fitted = fitted + F.get("slopes", F.lit(i)) * F.col(name)
+    return rows.join(_fits(rows, regressors, target), "topic").select(
+        "topic", "day", F.col(target).alias("actual"), fitted.alias("predicted"), "r2"
+    )
 
 
 def _window(df: DataFrame, regressors: list[str], target: str, last_day: int) -> DataFrame:
-    """Complete rows of the study window: at most `last_day` + 1 per topic."""
+    """Complete rows of the study window."""
     columns = dict.fromkeys(["topic", "day", *regressors, target])
     return study_window(df.select(*columns), last_day).dropna()
 

@@ -31,6 +31,11 @@ def study_hits(
     return hits.filter((F.col("ts") >= start) & (F.col("ts") < end))
 
 
+def hits_from_cut(hits: DataFrame, cut: str = clock.CUT) -> DataFrame:
+    """Hits from the cut on: those whose bin is 0 or later; the condition reaches the scan."""
+    return hits.filter(F.col("ts") >= F.lit(cut).cast("timestamp"))
+
+
 def binned_metrics(
     hits: DataFrame, topics: DataFrame, cut: str = clock.CUT, width: int = clock.BIN_HOURS
 ) -> DataFrame:

@@ -17,9 +17,6 @@ MIN_DF = 5
 MIN_TF = 5
 VOCAB_SIZE = 2000
 
-# A vocabulary up to this many terms (some 20 MB) is sent to every executor.
-BROADCAST_TERMS = 1 << 18
-
 
 def _runs(tokens: Column) -> Column:
     """Distinct tokens of one article with their counts: run lengths of the sorted array.
@@ -96,28 +93,22 @@ def vocabulary(
     return terms.select((F.row_number().over(order) - 1).alias("term_id"), "*")
 
 
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table of at most `rows` rows for broadcasting, if that is few enough."""
-    return F.broadcast(df) if rows <= BROADCAST_TERMS else df
-
-
 def tfidf(
     counts: DataFrame,
     vocab: DataFrame,
     articles: DataFrame,
     min_tf: float = MIN_TF,
-    vocab_size: int = VOCAB_SIZE,
 ) -> DataFrame:
     """`post_id, term, tf, tfidf` with idf = ln((N + 1) / (kept_docs + 1)).
 
-    N counts all articles, also those without a term left. `vocab_size` is the limit
-    `vocab` was made with.
+    N counts all articles, also those without a term left. The planner broadcasts the
+    vocabulary if it is small.
     """
     n = articles.agg(F.count(F.lit(1)).alias("n")).scalar()
     weights = vocab.select("term", F.log((n + 1) / (F.col("kept_docs") + 1)).alias("idf"))
     return (
         keep_frequent(counts, min_tf)
-        .join(bounded(weights, vocab_size), "term")
+        .join(weights, "term")
         .select("post_id", "term", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     )
 

@@ -13,7 +13,8 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA, KMeans
 from pyspark.ml.feature import IDF, CountVectorizer, Word2Vec
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +31,6 @@ COST_UNIT = 1_000_000
 LDA_K = 5
 LDA_MAX_ITER = 20
 
-MAX_CENTERS = 4096
-
 
 def feature_stages(
     min_df: float = MIN_DF, min_tf: float = MIN_TF, vocab_size: int = VOCAB_SIZE
@@ -59,9 +58,20 @@ def _kept(df: DataFrame):
         df.unpersist()
 
 
-def _fit(stages: list, tokens: DataFrame) -> PipelineModel:
+def dealt(tokens: DataFrame, partitions: int | None) -> DataFrame:
+    """The articles in `partitions` parts, by id and in its order.
+
+    Fits start from random articles of each part and add up in the order of the parts; dealt
+    out like this, they give the same on every cluster. None: the parts the table has.
+    """
+    if partitions is None:
+        return tokens
+    return tokens.repartition(partitions, "post_id").sortWithinPartitions("post_id")
+
+
+def _fit(stages: list, tokens: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit on kept tokens: every stage reads them again, but text is parsed once."""
-    with _kept(tokens) as kept:
+    with _kept(dealt(tokens, partitions)) as kept:
         return Pipeline(stages=stages).fit(kept)
 
 
@@ -71,10 +81,15 @@ def fit_features(tokens: DataFrame, **limits) -> PipelineModel:
 
 
 def fit_topics(
-    tokens: DataFrame, k: int = K, max_iter: int = MAX_ITER, seed: int = SEED, **limits
+    tokens: DataFrame,
+    k: int = K,
+    max_iter: int = MAX_ITER,
+    seed: int = SEED,
+    partitions: int | None = None,
+    **limits,
 ) -> PipelineModel:
     """Tokens to counts, TF-IDF and k-means topics, as one model that can be saved."""
-    return _fit([*feature_stages(**limits), kmeans(k, max_iter, seed)], tokens)
+    return _fit([*feature_stages(**limits), kmeans(k, max_iter, seed)], tokens, partitions)
 
 
 def assign_topics(model: PipelineModel, tokens: DataFrame) -> DataFrame:
@@ -107,20 +122,28 @@ def model_vocabulary(model: PipelineModel) -> list[str]:
 def model_centroids(
     spark: SparkSession, model: PipelineModel, top_k: int = TOP_TERMS
 ) -> DataFrame:
-    """`topic, term, weight` of the `top_k` strongest terms of each fitted centre."""
+    """`topic, term, weight` of the `top_k` strongest terms of each fitted centre.
+
+    Always `top_k` of them, if the vocabulary has as many; some may weigh nothing.
+    """
     terms = np.array(model_vocabulary(model))
     rows = [
         (topic, str(terms[i]), float(center[i]))
         for topic, center in enumerate(model.stages[-1].clusterCenters())
         for i in np.lexsort((terms, -center))[:top_k]
-        if center[i] > 0
     ]
     return spark.createDataFrame(rows, "topic int, term string, weight double")
 
 
-def k_sweep(tokens: DataFrame, ks: list[int], max_iter: int = MAX_ITER, **limits) -> DataFrame:
+def k_sweep(
+    tokens: DataFrame,
+    ks: list[int],
+    max_iter: int = MAX_ITER,
+    partitions: int | None = None,
+    **limits,
+) -> DataFrame:
     """`k, cost, scaled_cost` for several k over one kept feature table."""
-    with _kept(tokens):
+    with _kept(dealt(tokens, partitions)) as tokens:
         features = fit_features(tokens, **limits).transform(tokens).select("tfidf")
         with _kept(features) as kept:
             costs = [(k, kmeans(k, max_iter).fit(kept).summary.trainingCost) for k in ks]
@@ -134,11 +157,13 @@ def lda_topics(
     max_iter: int = LDA_MAX_ITER,
     top_k: int = TOP_TERMS,
     seed: int = SEED,
+    partitions: int | None = None,
     **limits,
 ) -> DataFrame:
     """`topic, term, weight, rank`: the strongest terms of each LDA topic."""
-    lda = LDA(k=k, maxIter=max_iter, featuresCol="tfidf", seed=seed)
-    model = _fit([*feature_stages(**limits), lda], tokens)
+    # Each iteration sees every article, not a sample of them.
+    lda = LDA(k=k, maxIter=max_iter, featuresCol="tfidf", seed=seed, subsamplingRate=1.0)
+    model = _fit([*feature_stages(**limits), lda], tokens, partitions)
     words = F.array(*[F.lit(word) for word in model_vocabulary(model)])
     described = model.stages[-1].describeTopics(top_k)
     pairs = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "pair")
@@ -156,12 +181,14 @@ def synonyms(
     n: int = TOP_TERMS,
     vector_size: int = 50,
     min_count: int = MIN_DF,
-    partitions: int = 8,
+    partitions: int = 1,
     seed: int = SEED,
 ) -> DataFrame:
     """`word, similarity`: the words nearest to `word` by Word2Vec.
 
-    `partitions` parts of the text are trained side by side and averaged.
+    `partitions` parts of the text are trained side by side and averaged; choose as many as
+    the table's size asks for. The driver holds `vector_size` values for each word that
+    occurs at least `min_count` times.
     """
     model = Word2Vec(
         inputCol="tokens",
@@ -197,26 +224,17 @@ def top_terms(weights: DataFrame, top_k: int = TOP_TERMS) -> DataFrame:
 
 def dense_centers(vectors: DataFrame) -> DataFrame:
     """`topic, center` as arrays: the mean of `topic, vector` at each position."""
-    positions = vectors.select("topic", F.posexplode("vector").alias("pos", "x"))
-    means = positions.groupBy("topic", "pos").agg(F.avg("x").alias("x"))
-    # One entry per dimension.
-    return means.groupBy("topic").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("pos", "x"))), lambda item: item["x"]
-        ).alias("center")
-    )
+    means = vectors.groupBy("topic").agg(Summarizer.mean(array_to_vector("vector")).alias("mean"))
+    return means.select("topic", vector_to_array("mean").alias("center"))
 
 
 def _all_centers(centers: DataFrame) -> Column:
     """The k centres as one value: a scalar subquery, run once for the whole query.
 
-    k is a setting of the model, not something that grows with the articles; more than
-    `MAX_CENTERS` are refused, never cut off.
+    k is a setting of the model, not something that grows with the articles: k times the
+    vector's length is what every executor holds, as it does for a fitted model too.
     """
-    some = centers.limit(MAX_CENTERS + 1)
-    found = F.sort_array(F.collect_list(F.struct("topic", "center")))
-    too_many = F.raise_error(F.lit(f"more than {MAX_CENTERS} centres"))
-    return some.agg(F.when(F.count(F.lit(1)) <= MAX_CENTERS, found).otherwise(too_many)).scalar()
+    return centers.agg(F.sort_array(F.collect_list(F.struct("topic", "center")))).scalar()
 
 
 def nearest_centroid(vectors: DataFrame, centers: DataFrame) -> DataFrame:

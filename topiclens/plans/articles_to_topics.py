@@ -43,7 +43,11 @@ def stemmed_tokens(articles: DataFrame, stop_words: list[str] = STOP_WORDS) -> D
 
 
 def learn_stemmed_topics(articles: DataFrame, k: int = STEMMED_K, **settings) -> PipelineModel:
-    """Topics of word stems; every term counts, however rare it is."""
+    """Topics of word stems.
+
+    Every term counts, however rare it is, up to the `vocab_size` commonest (262,144 by
+    default).
+    """
     limits = {"min_df": 1.0, "min_tf": 1.0, "vocab_size": 1 << 18, "max_iter": 20}
     return topics.fit_topics(stemmed_tokens(articles), k=k, **{**limits, **settings})
 

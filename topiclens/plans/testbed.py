@@ -5,23 +5,30 @@ Each is a column-wise mapping or an aggregate of a whole table, so it grows with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topiclens.functions import text as text_fn
 from topiclens.operators.articles import with_tokens
 from topiclens.operators.hits import topic_rollup
-from topiclens.session import tune
 from topiclens.sources.readers import spread
 
 # The study window of the test data. It starts inside the data, so some hits precede it.
 CUT = "2024-01-08 00:00:00"
 LAST_DAY = 14
 LAST_BIN = (LAST_DAY + 1) * 24 - 4
+# Parts to share small tables among before work on their text, if the session asks for it.
+PARTS = "topiclens.parts"
 KEYWORDS = ["click", "error", "purchase", "signup", "view"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def _parts(spark: SparkSession) -> int | None:
+    asked = spark.conf.get(PARTS, None)
+    return int(asked) if asked else None
 
 
 def hits(spark: SparkSession, folder: str) -> DataFrame:
@@ -64,9 +71,21 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(F.col("doc_id").alias("post_id"), "text")
 
 
+def wiki_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The articles, every seventh of them only pointing to another one."""
+    mark = F.when(F.col("post_id") % 7 == 0, F.lit("#REDIRECT ")).otherwise(F.lit(""))
+    return articles(spark, folder).select("post_id", F.concat(mark, "text").alias("text"))
+
+
+def some_without_paragraphs(html: Column, post_id: Column) -> Column:
+    """Every fifth page's paragraphs as blocks of another kind."""
+    plain = F.regexp_replace(html, r"<(/?)p>", "<$1section>")
+    return F.when(post_id % 5 == 0, plain).otherwise(html)
+
+
 def texts(spark: SparkSession, folder: str) -> DataFrame:
-    """The articles, spread for work on their text."""
-    return spread(articles(spark, folder), "post_id")
+    """The articles, for work on their text."""
+    return spread(articles(spark, folder), "post_id", _parts(spark))
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,8 +105,8 @@ def crawl(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The crawl, spread for work on its markup."""
-    return spread(crawl(spark, folder), "post_id")
+    """The crawl, for work on its markup."""
+    return spread(crawl(spark, folder), "post_id", _parts(spark))
 
 
 def interest(spark: SparkSession, folder: str) -> DataFrame:
@@ -119,3 +138,26 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
         F.col("label").alias("topic"),
         F.col("embedding").cast("array<double>").alias("vector"),
     )
+
+
+def alpha_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """`post_id, tokens`: the articles' words in their order."""
+    words = text_fn.tokenize_alpha(F.col("text"))
+    return texts(spark, folder).select("post_id", words.alias("tokens"))
+
+
+def lexicon(spark: SparkSession, folder: str) -> DataFrame:
+    """`term, polarity` of words and pairs of words, from the articles' quality labels.
+
+    A term of at least five labelled articles is as positive, from -5 to 5, as more of them
+    are good; terms in the middle are left out.
+    """
+    tokens = F.col("tokens")
+    both = F.array_distinct(F.concat(tokens, text_fn.ngrams(tokens, 2)))
+    terms = alpha_tokens(spark, folder).select("post_id", F.explode(both).alias("term"))
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("post_id"), "quality")
+    rated = terms.join(labels, "post_id").groupBy("term").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good")
+    )
+    value = F.expr("CAST((20 * good + n) DIV (2 * n) AS LONG) - 5")
+    return rated.filter("n >= 5").select("term", value.alias("polarity")).filter("polarity != 0")

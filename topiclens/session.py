@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Runtime SQL settings, safe to apply to a session somebody else has built.
+# Runtime SQL settings.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
+# Settings of the context, which must be known when it starts.
+STARTING = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
 
 
 def build_session(
@@ -29,13 +31,13 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**RUNTIME, **STARTING, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
-    for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
+def in_utc(spark: SparkSession) -> SparkSession:
+    """The session, its times in UTC, as the tables' are; no other setting is touched."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

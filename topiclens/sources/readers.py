@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,21 +12,21 @@ from topiclens import schemas
 INTEREST_FILES = "topic_*_trends.csv"
 INTEREST_FILE_TOPIC = r"topic_(\d+)_trends\.csv$"
 NOT_A_KEYWORD = "isPartial"
+# A cell with the comma before it; a quoted one may hold commas and doubled quotes.
+CELL = r',("(?:[^"]|"")*"|[^,]*)'
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a table of few file splits among all cores before costly per-row work.
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Share a table of few file splits among `parts` tasks before costly per-row work.
 
-    A table with a split per core or more stays as it is, without a shuffle. A small
-    one on a large cluster gets 16 parts per split, not one per core.
+    Only if the caller asks for it, and alike on every cluster: large tables have splits
+    enough, and need no shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df if splits >= cores else df.repartition(min(2 * cores, 16 * splits), key)
+    return df if parts is None else df.repartition(parts, key)
 
 
 def read_strings_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -69,8 +69,10 @@ def read_topic_map(spark: SparkSession, path: str, column: str = "topic_k25") ->
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One article per line, in the column `text`."""
-    return spark.read.text(path).withColumnRenamed("value", "text")
+    """`post_id, text`: one article per line; its id is its place among the files' splits."""
+    return spark.read.text(path).select(
+        F.monotonically_increasing_id().alias("post_id"), F.col("value").alias("text")
+    )
 
 
 def read_term_polarity(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +80,11 @@ def read_term_polarity(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, schema=schemas.TERM_POLARITY, sep="\t", quote="", encoding="UTF-8")
 
 
+def _unquoted(cell: Column) -> Column:
+    inside = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+    return F.when(cell.startswith('"'), inside).otherwise(cell)
+
+
 def read_interest_files(spark: SparkSession, folder: str) -> DataFrame:
     """`topic, date, keyword, interest` from one wide CSV per topic, all read at once.
 
@@ -87,7 +94,9 @@ def read_interest_files(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_extract(F.col("_metadata.file_name"), INTEREST_FILE_TOPIC, 1)
         .cast("int")
         .alias("topic"),
-        F.split("value", ",").alias("cells"),
+        F.transform(
+            F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(CELL), F.lit(1)), _unquoted
+        ).alias("cells"),
     )
     is_header = F.get("cells", F.lit(0)) == "date"
     headers = lines.filter(is_header).select("topic", F.col("cells").alias("names"))

@@ -1,41 +1,31 @@
-"""Where tables and models that outlive a job go: the folder all executors share."""
+"""What outlives a job: the folder all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder.
-
-    Only a local session without one gets a temporary folder: there, the machine is
-    the cluster.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(SETTING, None) or context.getConf().get(SETTING)
-    if not folder:
-        folder = context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="topiclens-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    """The session's checkpoint folder, or else one beside its tables."""
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a frame once and go on from the written table.
+    """Compute a frame once and go on from its copy in the shared folder.
 
-    For what is costly and read more than once, such as parsed text: readers take only
-    the columns they need, and a lost executor costs no recomputation. The folder is
-    scratch space; the cluster's retention clears it.
+    For what is costly and read more than once, such as parsed text: a lost executor costs
+    no second parse. Spark's cleaner removes the copy when nothing refers to it any more.
     """
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that was written for one use, wherever it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

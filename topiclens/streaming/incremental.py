@@ -67,3 +67,34 @@ def follow_articles(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def follow_keywords(
+    hits: DataFrame, out: str, checkpoint: str, window: str = "1 day", late: str = "2 days"
+) -> StreamingQuery:
+    """Views per keyword and window of time, as one folder per batch of what has changed.
+
+    State is kept until `late` after a window's end.
+    """
+    counts = (
+        hits.withWatermark("ts", late)
+        .groupBy(F.window("ts", window).alias("window"), "keyword")
+        .agg(F.count(F.lit(1)).alias("views"))
+    )
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(F.col("window.start").alias("start"), "keyword", "views")
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return (
+        counts.writeStream.outputMode("update")
+        .foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def keyword_views(updates: DataFrame) -> DataFrame:
+    """`start, keyword, views`: the latest count of each window."""
+    return updates.groupBy("start", "keyword").agg(F.max_by("views", "batch").alias("views"))
