@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 
 from topiclens.llm.common import map_texts
 
-#: Chunks and words whose ids a task remembers; when there are more, it starts anew.
-REMEMBERED = 400_000
+#: Words whose ids a task remembers; when there are more, it starts anew.
+REMEMBERED = 600_000
 #: Words of more bytes contract all places of a pair in one step, where the order allows it.
 LONG = 200
 
@@ -75,10 +75,12 @@ SELECT word, toks FROM state WHERE done
 """
 
 _DECODE = """
-SELECT word, count(*) AS n, string_agg(tok::VARCHAR, ' ' ORDER BY i) AS ids,
-  unhex(string_agg(hex, '' ORDER BY i)) AS bytes
-FROM (SELECT word, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS i FROM found)
-JOIN vocabulary ON id = tok GROUP BY word ORDER BY word
+SELECT len(toks), array_to_string(toks, ' '), unhex(bytes)
+FROM found JOIN (
+  SELECT word, string_agg(hex, '' ORDER BY i) AS bytes
+  FROM (SELECT word, unnest(toks) AS tok, unnest(range(1, len(toks) + 1)) AS i FROM found)
+  JOIN vocabulary ON id = tok GROUP BY word
+) USING (word) ORDER BY word
 """
 
 
@@ -155,41 +157,30 @@ def _word_encoder(ranks: dict[bytes, int]) -> Callable[[list[str]], list[tuple[i
             contracted(short, [raw[i] for i in short], _STEPS)
         if long:
             contracted(long, [raw[i] for i in long], _LONG_STEPS)
-        made = con.execute(_DECODE).fetchall()
-        return [(n, ids, bytes(decoded)) for _, n, ids, decoded in made]
+        return con.execute(_DECODE).fetchall()
 
     return encode
 
 
 def _text_encoder(ranks: dict[bytes, int], pattern: str):
     """A function from texts to (number of ids, ids as text, decoded bytes) of each."""
-    import re
-
     import regex
 
     encode = _word_encoder(ranks)
     words_in = regex.compile(pattern).findall
-    # A word never runs on over a single space between other characters.
-    chunks_of = re.compile(r"(?<=\S)(?= \S)").split
     known: dict[str, tuple[int, str, bytes]] = {}
-    chunks: dict[str, tuple[int, str, bytes]] = {}
 
     def apply(texts: list[str | None]) -> list[tuple[int, str, bytes]]:
-        split = [chunks_of(t) if t else [] for t in texts]
-        if len(known) > REMEMBERED or len(chunks) > REMEMBERED:
+        split = [words_in(t) if t else [] for t in texts]
+        if len(known) > REMEMBERED:
             known.clear()
-            chunks.clear()
-        parts = {c: words_in(c) for t in split for c in t if c not in chunks}
-        new = list({w for ws in parts.values() for w in ws if w not in known})
+        new = list(set().union(*split).difference(known))
         if new:
             known.update(zip(new, encode(new), strict=True))
-        for c, ws in parts.items():
-            each = [known[w] for w in ws]
-            chunks[c] = (sum(e[0] for e in each), " ".join([e[1] for e in each]), b"".join([e[2] for e in each]))
         out = []
-        for t in split:
-            each = [chunks[c] for c in t]
-            out.append((sum([e[0] for e in each]), " ".join([e[1] for e in each]), b"".join([e[2] for e in each])))
+        for words in split:
+            counts, ids, decoded = zip(*map(known.__getitem__, words)) if words else ((), (), ())
+            out.append((sum(counts), " ".join(ids), b"".join(decoded)))
         return out
 
     return apply
@@ -200,9 +191,8 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, id: str = "doc_id",
 
     With `digests`: (id, n_tokens, ids_sha256, decoded_sha256), where ids_sha256 is of the
     decimal ids joined by spaces, and decoded_sha256 of the decoded bytes, both in lower-case
-    hex. Null and empty texts have no ids. Special tokens are ordinary text. The pattern must
-    not let a word run on over a single space between two other characters, as is so with all
-    public patterns of this kind. The rank file is read once, by the driver.
+    hex. Null and empty texts have no ids. Special tokens are ordinary text. The rank file is
+    read once, by the driver; its size bounds what is copied to the executors.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     kind = docs.schema[id].dataType.simpleString()
