@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from topiclens.functions import text
+from topiclens.plans import articles_to_topics
 from topiclens.operators import articles as ops
 
 
@@ -68,10 +69,21 @@ def test_tokens_of_an_article(spark):
         "post_id long, text string",
     )
     assert rows(ops.with_tokens(df).select("post_id", F.array_join("tokens", " ")), "*") == {
-        (1, "cats' toy us"), (2, ""),
+        (1, "cats' toys us"), (2, ""),
     }
-    plain = ops.with_tokens(df, lemmas=False).filter("post_id = 1").first().tokens
-    assert plain == ["cats'", "toys", "us"]
+    lemmas = spark.createDataFrame([("toys", "toy"), ("cats", "cat")], "term string, lemma string")
+    found = {r.post_id: r.tokens for r in ops.with_tokens(df, lemmas).collect()}
+    assert found == {1: ["cats'", "toy", "us"], 2: []}
+
+
+def test_only_plurals_with_a_known_singular_change(spark):
+    texts = {1: "movies movie lens gas series", 2: "movies news movies", 3: ""}
+    df = spark.createDataFrame(list(texts.items()), "post_id long, text string")
+    found = {r.post_id: r.tokens for r in articles_to_topics.lemma_tokens(df).collect()}
+    assert found == {1: ["movies", "movie", "lens", "gas", "series"], 2: ["movies", "news", "movies"], 3: []}
+    more = df.unionByName(spark.createDataFrame([(4, "movy cars car")], "post_id long, text string"))
+    found = {r.post_id: r.tokens for r in articles_to_topics.lemma_tokens(more).collect()}
+    assert found[2] == ["movy", "news", "movy"] and found[4] == ["movy", "car", "car"]
 
 
 def test_any_column_function_is_a_step(spark):

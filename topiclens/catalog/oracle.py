@@ -163,23 +163,34 @@ cte(
           FROM events GROUP BY ALL)""",
 )
 cte(
-    "tokens",
-    f"""SELECT post_id, list_filter(list_transform(list_filter(list_transform(
-          {tokens_of(clean("translate(text, '‘’ʼ', '''''''')"))},
+    "plain",
+    f"""SELECT doc_id AS post_id, list_filter(list_transform(
+          {tokens_of(clean("translate(text, '‘’ʼ', '')"))},
           lambda x: replace(x, '.', '')),
-          lambda x: x <> '' AND NOT regexp_matches(x, '^\\pN+$')),
-          lambda x: {singular("x")}),
-          lambda x: x NOT IN {STOPS}) AS tokens
-    FROM (SELECT doc_id AS post_id, text FROM documents)""",
+          lambda x: x <> '' AND NOT regexp_matches(x, '^\\pN+$') AND x NOT IN {STOPS}) AS words
+    FROM documents""",
 )
 cte(
     "plain_counts",
-    f"""SELECT post_id, term, count(*) AS tf FROM (
-      SELECT doc_id AS post_id, unnest(list_filter(list_transform(
-          {tokens_of(clean("translate(text, '‘’ʼ', '''''''')"))},
-          lambda x: replace(x, '.', '')),
-          lambda x: x <> '' AND NOT regexp_matches(x, '^\\pN+$') AND x NOT IN {STOPS})) AS term
-      FROM documents) GROUP BY ALL""",
+    "SELECT post_id, term, count(*) AS tf FROM (SELECT post_id, unnest(words) AS term FROM plain) "
+    "GROUP BY ALL",
+    "plain",
+)
+# A regular plural gives way to its singular if that is a term, too.
+cte(
+    "lemmas",
+    f"""SELECT term, s FROM (SELECT term, {singular("term")} AS s
+      FROM (SELECT DISTINCT term FROM plain_counts))
+    WHERE s <> term AND s IN (SELECT term FROM plain_counts)""",
+    "plain_counts",
+)
+cte(
+    "tokens",
+    """SELECT post_id, coalesce(list(coalesce(s, term) ORDER BY i) FILTER (term IS NOT NULL), []) AS tokens
+    FROM (SELECT post_id, unnest(words) AS term, generate_subscripts(words, 1) AS i FROM plain)
+    LEFT JOIN lemmas USING (term) RIGHT JOIN plain USING (post_id) GROUP BY post_id""",
+    "plain",
+    "lemmas",
 )
 cte(
     "counts",
@@ -515,10 +526,10 @@ oracle(
 )
 oracle(
     "lemmatize",
-    f"""SELECT post_id, CASE WHEN s IN (SELECT term FROM plain_counts) THEN s ELSE term END
-      AS term, CAST(sum(tf) AS BIGINT) AS tf
-    FROM (SELECT *, {singular("term")} AS s FROM plain_counts) GROUP BY 1, 2""",
+    """SELECT post_id, coalesce(s, term) AS term, CAST(sum(tf) AS BIGINT) AS tf
+    FROM plain_counts LEFT JOIN lemmas USING (term) GROUP BY 1, 2""",
     "plain_counts",
+    "lemmas",
 )
 ORACLE["stem_terms"] = porter()
 ORACLE["stemmed_counts"] = f"""SELECT post_id, stem AS term, count(*) AS tf

@@ -197,9 +197,9 @@ def remove_stopwords(spark, folder):
 
 @query
 def lemmatize(spark, folder):
-    docs = article_ops.with_tokens(testbed.texts(spark, folder), lemmas=False)
+    docs = article_ops.with_tokens(testbed.texts(spark, folder))
     counts = storage.settle(terms.term_counts(docs))
-    return terms.lemmatize(counts, terms.plural_lemmas(counts))
+    return terms.lemmatize(counts, storage.settle(terms.plural_lemmas(counts)))
 
 
 def _alpha_counts(spark, folder) -> DataFrame:
@@ -298,7 +298,7 @@ def topics_kmeans(spark, folder):
 @query
 def text_to_topic(spark, folder):
     """All the way from article text to the fitted topics' keywords."""
-    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
+    model = topics.fit_topics(testbed.tokens(spark, folder), partitions=FIT_PARTS)
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
@@ -313,20 +313,26 @@ def stemmed_topics(spark, folder):
 @query
 def classify_new(spark, folder):
     """Crawled pages put into the topics that were learnt from the articles."""
-    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
+    return _labelled_pages(spark, folder)
+
+
+def _labelled_pages(spark, folder) -> DataFrame:
+    lemmas = testbed.lemmas(spark, folder)
+    docs = testbed.texts(spark, folder)
+    model = articles_to_topics.learn_topics(docs, lemmas, partitions=FIT_PARTS)
     pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
-    return articles_to_topics.label_articles(model, pages)
+    return articles_to_topics.label_articles(model, pages, lemmas)
 
 
 @query
 def model_roundtrip(spark, folder):
     """Topics given by a model that was written and read again."""
-    docs = testbed.texts(spark, folder)
+    docs = testbed.tokens(spark, folder)
     path = f"{storage.shared_folder(spark)}/model-{uuid4().hex}"
-    topics.save_model(articles_to_topics.learn_topics(docs, partitions=FIT_PARTS), path)
+    topics.save_model(topics.fit_topics(docs, partitions=FIT_PARTS), path)
     model = topics.load_model(path)
     storage.remove(spark, path)
-    return articles_to_topics.label_articles(model, docs)
+    return topics.assign_topics(model, docs)
 
 
 @query
@@ -822,9 +828,7 @@ def lda_known_terms(spark, folder):
 @query
 def classified_pages(spark, folder):
     """Pages that were given one of the learnt topics."""
-    model = articles_to_topics.learn_topics(testbed.texts(spark, folder), partitions=FIT_PARTS)
-    pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
-    found = articles_to_topics.label_articles(model, pages)
+    found = _labelled_pages(spark, folder)
     return found.select("post_id", F.col("topic").between(0, topics.K - 1).cast("int").alias("known"))
 
 

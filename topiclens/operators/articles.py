@@ -109,9 +109,30 @@ def page_articles(crawl: DataFrame, tag: str = "p", sep: str = "") -> DataFrame:
     return non_empty(fetched.select("post_id", text.alias("text")))
 
 
-def with_tokens(articles: DataFrame, lemmas: bool = True) -> DataFrame:
-    """`post_id, tokens`: clean text to the tokens the topic model reads."""
-    tokens = text_fn.article_words(text_fn.straighten_apostrophes(F.col("text")))
-    if lemmas:
-        tokens = F.transform(tokens, text_fn.singular)
-    return articles.select("post_id", text_fn.remove_stop_words(tokens).alias("tokens"))
+def with_tokens(articles: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
+    """`post_id, tokens`: clean text to the tokens the topic model reads.
+
+    `lemmas` is a table (term, lemma), as of `articles_to_topics.corpus_lemmas` or of a
+    dictionary; other terms stay as they are.
+    """
+    words = text_fn.article_words(text_fn.straighten_apostrophes(F.col("text")))
+    tokens = articles.select("post_id", text_fn.remove_stop_words(words).alias("tokens"))
+    return tokens if lemmas is None else with_lemmas(tokens, lemmas)
+
+
+def with_lemmas(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """`post_id, tokens` with terms replaced inside each article's own array.
+
+    What is looked up are an article's distinct terms; it gets back a map of those that
+    change, so neither its tokens nor its counts are taken apart and put together again.
+    """
+    terms = tokens.select("post_id", F.explode(F.array_distinct("tokens")).alias("term"))
+    changed = (
+        terms.join(lemmas.select("term", "lemma"), "term")
+        .groupBy("post_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "lemma"))).alias("_changed"))
+    )
+    replaced = F.transform("tokens", lambda t: F.coalesce(F.try_element_at("_changed", t), t))
+    return tokens.join(changed, "post_id", "left").select(
+        "post_id", F.when(F.col("_changed").isNull(), F.col("tokens")).otherwise(replaced).alias("tokens")
+    )

@@ -21,13 +21,32 @@ def crawl_to_articles(crawl: DataFrame) -> DataFrame:
     return article_ops.page_articles(crawl)
 
 
-def learn_topics(articles: DataFrame, **settings) -> PipelineModel:
-    return topics.fit_topics(article_ops.with_tokens(articles), **settings)
+def corpus_lemmas(tokens: DataFrame) -> DataFrame:
+    """`term, lemma` of the regular plurals whose singular is itself a term of the articles."""
+    terms_of = tokens.select(F.explode(F.array_distinct("tokens")).alias("term"))
+    return terms.plural_lemmas(terms_of)
 
 
-def label_articles(model: PipelineModel, articles: DataFrame) -> DataFrame:
-    """`post_id, topic` for old or new articles."""
-    return topics.assign_topics(model, article_ops.with_tokens(articles))
+def lemma_tokens(articles: DataFrame) -> DataFrame:
+    """`post_id, tokens` in dictionary form, as far as the articles themselves tell it.
+
+    Text is parsed once, for the terms and for the tokens.
+    """
+    tokens = storage.settle(article_ops.with_tokens(articles))
+    return article_ops.with_lemmas(tokens, corpus_lemmas(tokens))
+
+
+def learn_topics(
+    articles: DataFrame, lemmas: DataFrame | None = None, **settings
+) -> PipelineModel:
+    return topics.fit_topics(article_ops.with_tokens(articles, lemmas), **settings)
+
+
+def label_articles(
+    model: PipelineModel, articles: DataFrame, lemmas: DataFrame | None = None
+) -> DataFrame:
+    """`post_id, topic` for old or new articles, with the lemmas the model was learnt with."""
+    return topics.assign_topics(model, article_ops.with_tokens(articles, lemmas))
 
 
 def stemmed_tokens(articles: DataFrame, stop_words: list[str] = STOP_WORDS) -> DataFrame:
@@ -56,9 +75,9 @@ def weighted_terms(articles: DataFrame) -> DataFrame:
     """`post_id, term, tf, tfidf` in long form, from whole article texts.
 
     The counts are read twice, for the vocabulary and for the weights, so they are
-    written once: text is parsed a single time.
+    settled: text is parsed a single time.
     """
-    counts = storage.settle(terms.term_counts(article_ops.with_tokens(articles)))
+    counts = storage.settle(terms.term_counts(lemma_tokens(articles)))
     return terms.tfidf(counts, terms.vocabulary(counts), articles)
 
 

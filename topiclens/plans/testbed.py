@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from topiclens.functions import text as text_fn
 from topiclens.operators.articles import with_tokens
 from topiclens.operators.hits import topic_rollup
+from topiclens.plans.articles_to_topics import corpus_lemmas, lemma_tokens
 from topiclens.sources.readers import spread
+from topiclens.storage import settle
 
 # The study window of the test data. It starts inside the data, so some hits precede it.
 CUT = "2024-01-08 00:00:00"
@@ -89,7 +91,13 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return with_tokens(texts(spark, folder))
+    """The articles' tokens in dictionary form, as far as the articles tell it."""
+    return lemma_tokens(texts(spark, folder))
+
+
+def lemmas(spark: SparkSession, folder: str) -> DataFrame:
+    """The table behind it."""
+    return settle(corpus_lemmas(with_tokens(texts(spark, folder))))
 
 
 def crawl(spark: SparkSession, folder: str) -> DataFrame:

@@ -56,13 +56,20 @@ def binned_so_far(partials: DataFrame, topics: DataFrame) -> DataFrame:
 
 
 def follow_articles(
-    model: PipelineModel, articles: DataFrame, out: str, checkpoint: str
+    model: PipelineModel,
+    articles: DataFrame,
+    out: str,
+    checkpoint: str,
+    lemmas: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Give each new article a topic of a fitted model and append it to the topic map."""
+    """Give each new article a topic of a fitted model, one folder of the map per batch."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        labelled = label_articles(model, batch, lemmas)
+        labelled.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
     return (
-        label_articles(model, articles)
-        .writeStream.format("parquet")
-        .option("path", out)
+        articles.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
