@@ -19,6 +19,8 @@ from topiclens.llm.fitting import bounded_sample, text_remainder
 #: Labelled rows to fit on, for each label.
 FIT_ROWS = 2000
 ROUNDS = 250
+#: Characters whose lines are measured together.
+SEGMENT = 1 << 19
 PENALTY = 1e-3
 #: Most that a change or a stay between lines may weigh.
 HOLD = 1.5
@@ -35,23 +37,41 @@ class ChainModel:
 
 
 def line_signs(texts: list[str]):
-    """Of all lines with a character: signs, length and the number of their text."""
+    """Of all lines with a character: their signs, their length and the number of their text."""
     import numpy as np
 
     joined = "\n".join(texts) + "\n"
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    breaks = codes == 10
-    ends = np.flatnonzero(breaks)
+    owner = np.repeat(np.arange(len(texts)), [t.count("\n") + 1 for t in texts])
+    signs, marks, start = [], [], 0
+    while start < len(joined):
+        # Some lines at a time, as the work on a line takes many times its size.
+        stop = joined.find("\n", start + SEGMENT) + 1 or len(joined)
+        made = _signs_of(joined[start:stop])
+        signs.append(made[0])
+        marks.append(made[1])
+        start = stop
+    signs, marks = np.concatenate(signs), np.concatenate(marks)
+    marks ^= owner.astype(np.uint64) << np.uint64(40)
+    _, back, times = np.unique(marks, return_inverse=True, return_counts=True)
+    solid = signs[:, 0]
+    kept = solid > 0
+    again = (times[back] > 1).astype(float)[:, None]
+    return np.concatenate([signs[:, 1:], again], axis=1)[kept], solid[kept], owner[kept]
+
+
+def _signs_of(lines: str):
+    """Of each line: its number of solid characters, its signs, and a hash of its text."""
+    import numpy as np
+
+    codes = np.frombuffer(lines.encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.flatnonzero(codes == 10)
     starts = np.append(0, ends[:-1] + 1)
-    lines_of = np.array([t.count("\n") + 1 for t in texts], np.int64)
-    owner = np.repeat(np.arange(len(texts)), lines_of)
 
     def total(mask):
-        run = np.append(0, np.cumsum(mask, dtype=np.int64))
+        run = np.append(0, np.cumsum(mask, dtype=np.int32))
         return (run[ends] - run[starts]).astype(np.float64)
 
-    ascii_upper = (codes >= 65) & (codes <= 90)
-    upper = ascii_upper | ((codes >= 0xC0) & (codes <= 0xDE) & (codes != 0xD7))
+    upper = ((codes >= 65) & (codes <= 90)) | ((codes >= 0xC0) & (codes <= 0xDE) & (codes != 0xD7))
     lower = ((codes >= 97) & (codes <= 122)) | ((codes >= 0xDF) & (codes != 0xF7))
     digit = (codes >= 48) & (codes <= 57)
     space = (codes == 32) | ((codes >= 9) & (codes <= 13)) | (codes == 0xA0)
@@ -65,23 +85,20 @@ def line_signs(texts: list[str]):
     mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     repeated = _repeated(begins, space, mixed)
     size = (ends - starts).astype(np.float64)
-    solid = size - total(space & ~breaks)
+    solid = size - total(space & (codes != 10))
     words = total(begins)
     # A line is told from others by a sum of its mixed characters and their places.
     place = (np.arange(len(codes)) - np.repeat(starts, ends - starts + 1)).astype(np.uint64)
-    run = np.append(np.uint64(0), np.cumsum(mixed * (place * np.uint64(2) + np.uint64(1)), dtype=np.uint64))
-    marks = (run[ends] - run[starts]) ^ (owner.astype(np.uint64) << np.uint64(40))
-    _, back, times = np.unique(marks, return_inverse=True, return_counts=True)
-    kept = solid > 0
-    n = np.maximum(solid, 1)
-    wide = np.maximum(words, 1)
+    mixed *= place * np.uint64(2) + np.uint64(1)
+    run = np.append(np.uint64(0), np.cumsum(mixed, dtype=np.uint64))
+    n, wide = np.maximum(solid, 1), np.maximum(words, 1)
     signs = np.stack([
-        np.log1p(size), np.log1p(words), solid / wide,
+        solid, np.log1p(size), np.log1p(words), solid / wide,
         total(upper) / n, total(digit) / n, total(point) / n, total(loud) / n, total(bar) / n,
         total(other) / n, total(other) / wide, total(bar) / wide, total(loud) / wide,
-        total(again) / n, total(repeated) / wide, (times[back] > 1).astype(float), (words < 3).astype(float),
-    ], axis=1)[kept]
-    return signs, n[kept], owner[kept]
+        total(again) / n, total(repeated) / wide, (words < 3).astype(float),
+    ], axis=1)
+    return signs, run[ends] - run[starts]
 
 
 def _repeated(begins, space, mixed):
