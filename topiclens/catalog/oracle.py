@@ -1,7 +1,7 @@
 """The same questions as plain SQL (DuckDB dialect), to check the queries against.
 
-Common table expressions are put together by name; word lists and the fixed values of
-the rules are shared with the library, the logic is written anew.
+Common table expressions are put together by name; word lists and tables of suffixes are
+shared with the library, patterns and logic are written anew.
 """
 
 from __future__ import annotations
@@ -179,9 +179,11 @@ cte(
 # A regular plural gives way to its singular if that is a term, too.
 cte(
     "lemmas",
-    f"""SELECT term, s FROM (SELECT term, {singular("term")} AS s
+    f"""SELECT term, CASE WHEN one IN (SELECT term FROM plain_counts) THEN one ELSE two END AS s
+    FROM (SELECT term, {singular("term")} AS one, regexp_replace(term, 's$', '') AS two
       FROM (SELECT DISTINCT term FROM plain_counts))
-    WHERE s <> term AND s IN (SELECT term FROM plain_counts)""",
+    WHERE one <> term AND (one IN (SELECT term FROM plain_counts)
+      OR (ends_with(term, 's') AND two IN (SELECT term FROM plain_counts)))""",
     "plain_counts",
 )
 cte(
@@ -366,6 +368,28 @@ def porter() -> str:
     def cut(word: str, n: str | int) -> str:
         return f"substr({word}, 1, length({word}) - {n})"
 
+    def shape(word: str) -> str:
+        """A word as C and V; y is a vowel after a consonant."""
+        vowel_y = f"regexp_replace({word}, '([^aeiou])y', '\\1V', 'g')"
+        vowels = f"regexp_replace({vowel_y}, '[aeiouV]', 'V', 'g')"
+        return f"regexp_replace({vowels}, '[^V]', 'C', 'g')"
+
+    def above_0(word: str) -> str:
+        return f"contains({shape(word)}, 'VC')"
+
+    def above_1(word: str) -> str:
+        return ends(shape(word), "^C*V+C+V+C")
+
+    def is_1(word: str) -> str:
+        return ends(shape(word), "^C*V+C+V*$")
+
+    def short(word: str) -> str:
+        three = f"{ends(shape(word), '^C+VC$')} AND NOT {ends(word, '[wxyY]$')}"
+        return f"({three} OR {ends(word, '^[aeiou][^aeiou]$')})"
+
+    def doubled(word: str) -> str:
+        return f"({word}[-1] = {word}[-2] AND {ends(word, '[bcdfghjkmnpqrtvwx]$')})"
+
     def table(values: dict[str, str], key: str) -> str:
         whens = " ".join(f"WHEN {text(a)} THEN {text(b)}" for a, b in values.items())
         return f"CASE {key} {whens} END"
@@ -382,12 +406,12 @@ def porter() -> str:
         WHEN {ends("w", "ss$")} THEN w WHEN {ends("w", "s$")} AND w <> 's' THEN {cut("w", 1)}
         ELSE w END AS w FROM letters"""
     mended = f"""CASE WHEN {ends("r", "(at|bl|iz)$")} THEN r || 'e'
-        WHEN {ends("r", s.DOUBLED)} THEN {cut("r", 1)}
+        WHEN {doubled("r")} THEN {cut("r", 1)}
         WHEN {ends("r", "(ll|ss|zz)$")} THEN r
-        WHEN {ends("r", s.M_IS_1)} AND {ends("r", s.SHORT)} THEN r || 'e' ELSE r END"""
+        WHEN {is_1("r")} AND {short("r")} THEN r || 'e' ELSE r END"""
     one_b = f"""SELECT term, CASE
         WHEN s = 'ied' THEN CASE WHEN length(w) = 4 THEN {cut("w", 1)} ELSE {cut("w", 2)} END
-        WHEN s = 'eed' THEN CASE WHEN {ends("r", s.M_ABOVE_0)} THEN r || 'ee' ELSE w END
+        WHEN s = 'eed' THEN CASE WHEN {above_0("r")} THEN r || 'ee' ELSE w END
         WHEN s <> '' AND {ends("r", "[aeiouy]")} THEN {mended} ELSE w END AS w
         FROM ({split(["eed", "ied", "ed", "ing"], "one_a")})"""
     one_c = f"""SELECT term, CASE WHEN {ends("w", "^.+[^aeiouy]y$")} THEN {cut("w", 1)} || 'i'
@@ -395,17 +419,17 @@ def porter() -> str:
 
     def replace_step(values: dict[str, str], source: str) -> str:
         measured = "CASE WHEN s = 'logi' THEN r || 'l' ELSE r END"
-        return f"""SELECT term, CASE WHEN s <> '' AND {ends(measured, s.M_ABOVE_0)}
+        return f"""SELECT term, CASE WHEN s <> '' AND {above_0("(" + measured + ")")}
             THEN r || {table(values, "s")} ELSE w END AS w FROM ({split(values, source)})"""
 
-    four = f"""SELECT term, CASE WHEN s <> '' AND {ends("r", s.M_ABOVE_1)}
+    four = f"""SELECT term, CASE WHEN s <> '' AND {above_1("r")}
         AND (s <> 'ion' OR {ends("r", "[st]$")}) THEN r ELSE w END AS w
         FROM ({split(s.STEP_4, "three")})"""
     stem = cut("w", 1)
-    five_a = f"""SELECT term, CASE WHEN {ends("w", "e$")} AND ({ends(stem, s.M_ABOVE_1)}
-        OR ({ends(stem, s.M_IS_1)} AND NOT {ends(stem, s.SHORT)})) THEN {stem} ELSE w END AS w
+    five_a = f"""SELECT term, CASE WHEN {ends("w", "e$")} AND ({above_1(stem)}
+        OR ({is_1(stem)} AND NOT {short(stem)})) THEN {stem} ELSE w END AS w
         FROM four"""
-    five_b = f"""SELECT term, CASE WHEN {ends("w", "ll$")} AND {ends(stem, s.M_ABOVE_1)}
+    five_b = f"""SELECT term, CASE WHEN {ends("w", "ll$")} AND {above_1(stem)}
         THEN {stem} ELSE w END AS w FROM five_a"""
     steps = {
         "letters": letters, "one_a": one_a, "one_b": one_b, "one_c": one_c,

@@ -183,6 +183,14 @@ def singular(token: Column) -> Column:
     )
 
 
+def singulars(token: Column) -> Column:
+    """What a plural may be the plural of, the likelier first: sizes may come from siz or size."""
+    first = singular(token)
+    bare = F.substring(token, F.lit(1), F.length(token) - 1)
+    both = F.array_distinct(F.array(first, F.when(token.endswith("s"), bare).otherwise(first)))
+    return F.when(first != token, both).otherwise(F.array().cast("array<string>"))
+
+
 def ngrams(tokens: Column, n: int = 2) -> Column:
     """Runs of `n` neighbouring tokens, joined by a space."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(1)))

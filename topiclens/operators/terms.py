@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topiclens.functions.stemming import with_stem
-from topiclens.functions.text import singular
+from topiclens.functions.text import singulars
 
 # Vocabulary limits of the topic model.
 MIN_DF = 5
@@ -184,9 +184,12 @@ def term_totals(counts: DataFrame) -> DataFrame:
 
 
 def plural_lemmas(counts: DataFrame) -> DataFrame:
-    """`term, lemma` for terms whose regular singular is itself a term of the corpus."""
+    """`term, lemma` for terms whose regular singular is itself a term of the corpus.
+
+    Of two singulars that are terms, the likelier counts.
+    """
     known = distinct_terms(counts)
-    forms = known.select("term", singular(F.col("term")).alias("lemma"))
-    return forms.filter("term <> lemma").join(
-        known.withColumnRenamed("term", "lemma"), "lemma", "left_semi"
-    ).select("term", "lemma")
+    forms = known.select("term", F.posexplode(singulars(F.col("term"))).alias("place", "lemma"))
+    found = forms.join(known.withColumnRenamed("term", "lemma"), "lemma", "left_semi")
+    first = F.min(F.struct("place", "lemma"))
+    return found.groupBy("term").agg(first.alias("first")).select("term", "first.lemma")
