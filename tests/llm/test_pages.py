@@ -37,6 +37,30 @@ def test_main_text(html, text):
     assert main_text.main_text(html) == text
 
 
+STORY = "".join(f"<p>{LONG} {i}</p>" for i in range(6))
+STORY_TEXT = "\n".join(f"{LONG} {i}" for i in range(6))
+TEASER = "<article><h3><a href=/t>Another story</a></h3><p>A short teaser.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # Teasers are marked, the story is not.
+        (f"{TEASER}<div class=story>{STORY}</div>{TEASER}{TEASER}", STORY_TEXT),
+        (f"<div class=story>{STORY}</div><div><article><p>{LONG}</p></article></div>", f"{STORY_TEXT}\n{LONG}"),
+        # The longest window is marked, most of the text is not: both are kept.
+        (f"<article><p>{LONG * 4}</p></article><div>{STORY}</div>", f"{LONG * 4}\n{STORY_TEXT}"),
+        # Nothing is marked.
+        (f"<div><a href='/'>Home</a></div><ul><li>x</li></ul><nav>m</nav><nav>n</nav><nav>o</nav><div>{STORY}</div>"
+         "<footer>f</footer><div class=cookie-notice>c</div><div class=share>s</div><div>(c) Us</div>", STORY_TEXT),
+        # The story is marked.
+        (f"<div>Hello</div><article><a href='/'>A</a>{STORY}</article><div><p>{LONG}</p></div>", f"A\n{STORY_TEXT}"),
+    ],
+)
+def test_marks_are_believed_where_the_text_is(html, text):
+    assert main_text.main_text(html) == text
+
+
 def test_surges_and_dives():
     assert stretches([0, 0, 0, 5, 0, 7, 0, 0, 0, 9, 0, 0], window=3) == [(3, 6, 12), (9, 10, 9)]
     assert stretches([], window=3) == [] and stretches([0, 0], window=3) == []

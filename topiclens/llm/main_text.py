@@ -3,7 +3,8 @@
 A page without its markup is a list of lines; lines of menus, notices and the like count as
 empty. The length of the text in a window of lines, taken at each line, is near nothing
 outside the article. It surges where the article begins and dives where it ends; the lines
-between are kept. Pages that mark their article are read inside it.
+between are kept. Marks (`article`, `main`) are believed where the text is: only if what they
+hold has the page's longest window and at least half of its text, is the page read inside them.
 """
 
 from __future__ import annotations
@@ -18,21 +19,35 @@ from topiclens.llm.html_lines import Line, read_page
 WINDOW = 3
 #: A stretch of lines is kept if its longest window has this share of the page's longest.
 SHARE = 0.2
-#: A line of which more is links is no text, unless the page marks it as its article's.
+#: A line of which more is links is no text, unless it is in the article that the page marks.
 MOST_LINKED = 0.6
 
 
 def line_lengths(lines: list[Line], named: bool) -> list[int]:
     """Length of each line's text, 0 for those that are no part of an article."""
-    marked = any(x.body and not x.outside and not (named and x.named) for x in lines)
     lengths = []
     for x in lines:
-        out = x.outside or (named and x.named) or (marked and not x.body)
-        listed = not x.body and x.links > MOST_LINKED * len(x.text)
+        out = x.outside or (named and x.named)
+        listed = x.links > MOST_LINKED * len(x.text)
         lengths.append(0 if out or listed else len(x.text))
     return lengths
 
 
+def marked_lengths(lines: list[Line], lengths: list[int], named: bool) -> list[int] | None:
+    """Lengths of the lines that the page marks as its article's; None if its text is elsewhere.
+
+    The lines marked must have the longest window and at least half of all text. Of these
+    lines, those that are mostly links count too.
+    """
+    inside = [
+        len(x.text) if x.body and not x.outside and not (named and x.named) else 0 for x in lines
+    ]
+    beside = [0 if x.body else n for n, x in zip(lengths, lines)]
+    most_inside = max((m for _, _, m in stretches(inside)), default=0)
+    most_beside = max((m for _, _, m in stretches(beside)), default=0)
+    return inside if most_inside >= max(1, most_beside) and sum(inside) >= sum(beside) else None
+
+
 def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int]]:
     """From each surge to its dive: first line, line after the last, and the longest window.
 
@@ -60,22 +75,34 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     lines = read_page(html).lines
-    lengths = line_lengths(lines, named=True)
-    if not any(lengths):
-        # All was named as something else: the names say nothing here.
-        lengths = line_lengths(lines, named=False)
-    marked = any(n and x.body for n, x in zip(lengths, lines))
-    found = stretches(lengths)
+    # If all was named as something else, the names say nothing.
+    for named in (True, False):
+        lengths = line_lengths(lines, named)
+        inside = marked_lengths(lines, lengths, named)
+        if inside or any(lengths):
+            break
+    if inside:
+        return "\n".join(x.text for n, x in zip(inside, lines) if n)
+    found = []
+    # Marked parts and the text around them are judged each by itself.
+    for first, last in _parts(lines):
+        found += [(first + a, first + b, m) for a, b, m in stretches(lengths[first:last])]
     most = max((m for _, _, m in found), default=0)
     return "\n".join(
         lines[i].text
         for first, last, longest in found
-        if marked or longest >= SHARE * most
+        if longest >= SHARE * most
         for i in range(first, last)
         if lengths[i]
     )
 
 
+def _parts(lines: list[Line]) -> list[tuple[int, int]]:
+    """First line and line after the last, from one change of the marked part to the next."""
+    ends = [i for i in range(1, len(lines)) if lines[i].body != lines[i - 1].body]
+    return list(zip([0, *ends], [*ends, len(lines)]))
+
+
 def extracted(pages: DataFrame, id: str = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """(id, kept columns, text, n_chars), a row for each row of pages.
 
