@@ -61,6 +61,33 @@ def test_marks_are_believed_where_the_text_is(html, text):
     assert main_text.main_text(html) == text
 
 
+ADS = "<div class=ad>a</div>" * 3
+LINKED = f"<p>See <a href='/a'>{LONG}</a></p>"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        # A long paragraph, adverts inside the story, an ending: lengths 60, 5000, 0, 0, 0, 300, 250.
+        (f"<div><h1>{'t' * 60}</h1><p>{'x' * 5000}</p>{ADS}<p>{'y' * 300}</p><p>{'z' * 250}</p></div>",
+         f"{'t' * 60}\n{'x' * 5000}\n{'y' * 300}\n{'z' * 250}"),
+        (f"<div><h1>T</h1><p>{'x' * 5000}</p>{ADS}<p>The end.</p></div><nav>m</nav><div>(c) Us</div>",
+         f"T\n{'x' * 5000}\nThe end."),
+        (f"<h1>T</h1><p>{'x' * 5000}</p>{ADS}<p>The end.</p>", f"T\n{'x' * 5000}\nThe end."),
+        (f"<div><div><p>{'x' * 5000}</p></div>{ADS}<div><p>The end.</p></div></div>", f"{'x' * 5000}\nThe end."),
+        (f"<div><p>{'x' * 5000}</p></div>{ADS}<div><p>{'y' * 300}</p></div>", f"{'x' * 5000}\n{'y' * 300}"),
+        # A paragraph that is mostly a link stays, lists of links go.
+        (f"<div>{STORY}{LINKED}</div>", f"{STORY_TEXT}\nSee {LONG}"),
+        (f"<div>{STORY}<ul><li><a href='/1'>one</a><li><a href='/2'>two</a></ul></div>", STORY_TEXT),
+        (f"<div>{STORY}{LINKED.replace(LONG, LONG * 2) * 2}</div>", "\n".join([STORY_TEXT, *[f"See {LONG * 2}"] * 2])),
+        # Short text elsewhere goes.
+        (f"<div>Motto</div>{ADS}<div>{STORY}</div>{ADS}<div>(c) Us</div>", STORY_TEXT),
+    ],
+)
+def test_a_long_paragraph_does_not_raise_the_bar(html, text):
+    assert main_text.main_text(html) == text
+
+
 def test_surges_and_dives():
     assert stretches([0, 0, 0, 5, 0, 7, 0, 0, 0, 9, 0, 0], window=3) == [(3, 6, 12), (9, 10, 9)]
     assert stretches([], window=3) == [] and stretches([0, 0], window=3) == []

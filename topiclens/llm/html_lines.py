@@ -40,13 +40,17 @@ _NOT_NAMES = frozenset("no with without has have hide free".split())
 
 @dataclass
 class Line:
-    """Text of a block; `outside` of any article by its elements; `named` so; in a `body`."""
+    """Text of a block; `outside` of any article by its elements; `named` so; in a `body`.
+
+    place: numbers of the block elements around it, the outermost first.
+    """
 
     text: str
     links: int
     outside: bool
     named: bool
     body: int
+    place: tuple[int, ...] = ()
 
 
 @dataclass
@@ -84,7 +88,7 @@ def _is_named(name: str, attrs: dict[str, str], in_body: bool) -> bool:
 def read_page(html: str) -> Page:
     """The page's lines, in order; white space in a line is one space."""
     page, parts, linked = Page(), [], 0
-    open_: list[tuple[str, bool, bool, bool]] = []  # name, outside, named, body
+    open_: list[tuple[str, bool, bool, bool, tuple[int, ...]]] = []  # name, outside, named, body, place
     closes: dict[str, int] = {}
     tokens = list(_TOKEN.finditer(html))
     for m in tokens:
@@ -97,13 +101,14 @@ def read_page(html: str) -> Page:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            page.lines.append(Line(text, linked, outside > 0, named > 0, number if body else 0))
+            place = open_[-1][4] if open_ else ()
+            page.lines.append(Line(text, linked, outside > 0, named > 0, number if body else 0, place))
         parts.clear()
         linked = 0
 
     def drop(entry) -> None:
         nonlocal outside, named, body, links
-        name, is_outside, is_named, is_body = entry
+        name, is_outside, is_named, is_body, _ = entry
         outside -= is_outside
         named -= is_named
         body -= is_body
@@ -167,7 +172,10 @@ def read_page(html: str) -> Page:
         if is_body and not body:
             bodies += 1
             number = bodies
-        open_.append((name, is_outside, is_named, is_body))
+        place = open_[-1][4] if open_ else ()
+        if name in _BLOCKS:
+            place = (*place, m.start())
+        open_.append((name, is_outside, is_named, is_body, place))
         outside += is_outside
         named += is_named
         body += is_body

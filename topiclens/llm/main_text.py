@@ -9,6 +9,9 @@ hold has the page's longest window and at least half of its text, is the page re
 
 from __future__ import annotations
 
+from collections import Counter
+from os.path import commonprefix
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,19 +20,29 @@ from topiclens.llm.html_lines import Line, read_page
 
 #: Lines in a window.
 WINDOW = 3
-#: A stretch of lines is kept if its longest window has this share of the page's longest.
+#: A stretch of lines is kept if its longest window has this share of the page's longest,
+#: or so many letters, however long others are.
 SHARE = 0.2
-#: A line of which more is links is no text, unless it is in the article that the page marks.
+DENSE = 80
+#: Link lines in a row that are a list of links, if they have fewer letters than this on average.
+LISTED = 2
+LONG_LINK = 120
+#: A line of which more is links is a link line.
 MOST_LINKED = 0.6
 
 
 def line_lengths(lines: list[Line], named: bool) -> list[int]:
     """Length of each line's text, 0 for those that are no part of an article."""
-    lengths = []
-    for x in lines:
-        out = x.outside or (named and x.named)
-        listed = x.links > MOST_LINKED * len(x.text)
-        lengths.append(0 if out or listed else len(x.text))
+    lengths = [0 if x.outside or (named and x.named) else len(x.text) for x in lines]
+    at = 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and lengths[end] and lines[end].links > MOST_LINKED * lengths[end]:
+            end += 1
+        # A link line by itself, or long ones, may be a paragraph that quotes.
+        if end - at >= LISTED and sum(lengths[at:end]) < LONG_LINK * (end - at):
+            lengths[at:end] = [0] * (end - at)
+        at = max(end, at + 1)
     return lengths
 
 
@@ -87,14 +100,40 @@ def main_text(html: str | None) -> str:
     # Marked parts and the text around them are judged each by itself.
     for first, last in _parts(lines):
         found += [(first + a, first + b, m) for a, b, m in stretches(lengths[first:last])]
-    most = max((m for _, _, m in found), default=0)
-    return "\n".join(
-        lines[i].text
+    kept = _kept(lines, lengths, found)
+    return "\n".join(lines[i].text for first, last in kept for i in range(first, last) if lengths[i])
+
+
+def _kept(lines: list[Line], lengths: list[int], found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The stretches of an article: dense ones, and lines of others that are in their element.
+
+    What cuts a short ending off from its article is then inside the article's element, such
+    as adverts between its paragraphs. A line alone in its element counts as the outer one's.
+    """
+    bar = min(DENSE, SHARE * max((m for _, _, m in found), default=0))
+    alone = Counter(x.place for n, x in zip(lengths, lines) if n)
+
+    def place(i: int) -> tuple[int, ...]:
+        own = lines[i].place
+        return own[:-1] if len(own) > 1 and alone[own] == 1 else own
+
+    around = {
+        (lines[first].body, tuple(commonprefix([place(i) for i in range(first, last) if lengths[i]])))
         for first, last, longest in found
-        if longest >= SHARE * most
-        for i in range(first, last)
-        if lengths[i]
-    )
+        if longest >= bar
+    }
+
+    def within(i: int) -> bool:
+        # Without an element around the dense ones, only lines that have none either.
+        own = place(i)
+        return any(b == lines[i].body and (own[: len(p)] == p if p else not own) for b, p in around)
+
+    kept = []
+    for first, last, longest in found:
+        inside = [i for i in range(first, last) if lengths[i] and (longest >= bar or within(i))]
+        if inside:
+            kept.append((inside[0], inside[-1] + 1))
+    return kept
 
 
 def _parts(lines: list[Line]) -> list[tuple[int, int]]:
