@@ -119,6 +119,15 @@ def test_toxicity_edges_and_offending_sentences(spark):
     assert all(r.score < 0.5 for r in toxicity.scored(docs, alike).collect())
 
 
+def test_rare_toxic_words_are_learned():
+    toxic = [prose(i, 60) + (" A zorvexian." if i < 10 else " You vile thing.") for i in range(300)]
+    model = toxicity._fit(toxic + [prose(300 + i, 60) for i in range(300)], [1] * 300 + [0] * 300)
+    clean = [prose(700 + i, 60) for i in range(20)]
+    scores, found = toxicity._scorer(model)([*clean, *(t + " What a zorvexian." for t in clean)])
+    assert all(x < 0.5 for x in scores[:20]) and all(x >= 0.5 for x in scores[20:])
+    assert all(len(x) == 1 for x in found[20:])
+
+
 def test_toxicity_query(spark, small):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{MEDIUM}/labels.parquet").collect()}
     got = QUERIES["op8_noisy_or"](spark, MEDIUM).collect()

@@ -22,8 +22,12 @@ from topiclens.llm.fitting import bounded_sample, text_remainder
 FIT_ROWS = 2000
 #: Lengths of the beginnings of words that count besides whole words.
 BEGINNINGS = (3, 4, 5, 6, 7)
-#: Only words and beginnings that toxic documents have more often than others, by so many standard errors.
-LEAST_ERRORS = 4.5
+#: Words and beginnings that toxic documents have more often than others count. By fewer standard
+#: errors than this, the penalty of their weights rises with the power of what is missing.
+SURE_ERRORS = 4.5
+DOUBT = 4
+#: Below so many standard errors, it rises no more.
+FEWEST_ERRORS = 0.3
 ROUNDS = 400
 PENALTY = 1e-4
 OFFENDING = 0.5
@@ -71,8 +75,8 @@ def _bags(text: str, known: _Known):
             yield *m.span(), frozenset().union(*signs) if signs else frozenset()
 
 
-def _telling(texts: list[str], y) -> dict[str, int]:
-    """Numbers of the signs whose share of toxic documents stands out."""
+def _telling(texts: list[str], y) -> dict[str, float]:
+    """The signs that toxic documents have more often than others, and by how many standard errors."""
     counts: dict[str, list[int]] = {}
     for text, label in zip(texts, y):
         for x in {x for w in set(_WORD.findall(text)) for x in _signs(w)}:
@@ -83,7 +87,7 @@ def _telling(texts: list[str], y) -> dict[str, int]:
         whole = (n[0] + n[1]) / (toxic + clean)
         return (n[1] / toxic - n[0] / clean) / ((whole * (1 - whole) + 1e-12) * (1 / toxic + 1 / clean)) ** 0.5
 
-    return {x: i for i, x in enumerate(sorted(x for x, n in counts.items() if errors(n) >= LEAST_ERRORS))}
+    return {x: e for x, n in sorted(counts.items()) if (e := errors(n)) > 0}
 
 
 def _fit(texts: list[str], labels: list[int], toxic_share: float | None = None) -> BagModel:
@@ -94,7 +98,10 @@ def _fit(texts: list[str], labels: list[int], toxic_share: float | None = None)
     y = np.array([k for _, k in pairs], np.float64)
     if not len(y) or y.min() == y.max():
         return BagModel(8.0 if len(y) and y[0] == 1 else -8.0, {})
-    number = _telling([t for t, _ in pairs], y)
+    telling = _telling([t for t, _ in pairs], y)
+    number = {x: i for i, x in enumerate(telling)}
+    sure = np.clip(np.array([*telling.values()], np.float64), FEWEST_ERRORS, SURE_ERRORS)
+    penalty = PENALTY * (SURE_ERRORS / sure) ** DOUBT
     known = _Known(number)
     owner, at, feature = [], [], []
     for k, (t, _) in enumerate(pairs):
@@ -117,7 +124,7 @@ def _fit(texts: list[str], labels: list[int], toxic_share: float | None = None)
         some = np.maximum(-np.expm1(none), 1e-9)
         slope = (heavy * np.where(y == 1, -np.exp(none) / some, 1.0))[owner] * p / len(y)
         g = np.append(np.bincount(feature, weights=slope[at], minlength=len(number)), slope.sum())
-        g[:-1] += PENALTY * w[:-1]
+        g[:-1] += penalty * w[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return BagModel(float(w[-1]), {x: float(w[i]) for x, i in number.items()})
