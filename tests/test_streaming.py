@@ -1,5 +1,7 @@
 import shutil
+from pathlib import Path
 
+from topiclens.catalog.queries import QUERIES
 from topiclens.operators import series
 from topiclens.operators.topics import fit_topics
 from topiclens.plans import testbed
@@ -50,6 +52,19 @@ def test_hits_in_several_batches(spark, small, tmp_path):
     assert equal(incremental.binned_so_far(again, topics).select(columns), batch.select(columns))
 
 
+def test_streams_of_part_files(spark, small, tmp_path):
+    """A table of several part files gives what a single file gives."""
+    for file in Path(small).iterdir():
+        if file.name != "events.parquet":
+            (tmp_path / file.name).symlink_to(file)
+    events = testbed.table(spark, small, "events")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert len(list((tmp_path / "events.parquet").glob("part-*.parquet"))) == 3
+    for name in ("stream_binned_metrics", "stream_keyword_views"):
+        found = QUERIES[name](spark, str(tmp_path))
+        assert not found.isEmpty() and equal(found, QUERIES[name](spark, small))
+
+
 def test_new_articles_get_topics(spark, small, tmp_path):
     articles = testbed.articles(spark, small)
     model = fit_topics(testbed.tokens(spark, small), k=3, min_df=2, min_tf=2, vocab_size=200)

@@ -561,14 +561,18 @@ def standardized_series(spark, folder):
     return rounded(series.standardized_series(_study(spark, folder)), *series.MEASURES)
 
 
+def _arriving(spark, folder, schema) -> DataFrame:
+    """The events' files as a stream: a single file, or a folder of part files, as the glob finds both."""
+    return spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+
+
 @query
 def stream_binned_metrics(spark, folder):
     """The binned metrics of a stream of hit files, after all of them have arrived."""
     run = f"{storage.shared_folder(spark)}/hits-{uuid4().hex}"
     topic_map = testbed.post_topics(spark, folder)
     events = testbed.table(spark, folder, "events")
-    files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-    stream = testbed.as_hits(files.parquet(folder))
+    stream = testbed.as_hits(_arriving(spark, folder, events.schema))
     incremental.follow_hits(stream, f"{run}/sums", f"{run}/log", testbed.CUT).awaitTermination()
     partials = storage.settle(spark.read.parquet(f"{run}/sums"))
     storage.remove(spark, run)
@@ -664,8 +668,7 @@ def stream_keyword_views(spark, folder):
     """Views per day and keyword of a stream of hit files, after all of them have arrived."""
     run = f"{storage.shared_folder(spark)}/keywords-{uuid4().hex}"
     events = testbed.table(spark, folder, "events")
-    files = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-    stream = testbed.as_hits(files.parquet(folder))
+    stream = testbed.as_hits(_arriving(spark, folder, events.schema))
     incremental.follow_keywords(stream, f"{run}/counts", f"{run}/log").awaitTermination()
     updates = storage.settle(spark.read.parquet(f"{run}/counts"))
     storage.remove(spark, run)
