@@ -17,7 +17,7 @@ from topiclens.llm.common import shared_folder
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that their labels name; without a letter, none."""
+    """Documents with a letter, which are in a language; predictions reject none of them."""
     return languages.in_known_languages(docs, languages.fit(docs))
 
 

@@ -45,6 +45,13 @@ def test_language_edges(spark):
     assert rows_of(languages.identified(documents(spark, [(1, "abc")]), nothing)) == [(1, "und", 0.0)]
 
 
+def test_without_labels_texts_with_a_letter_stay(spark):
+    rows = [(1, "abc", None), (2, "12 !?", None), (3, None, None), (4, "", None), (5, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = languages.in_known_languages(docs, languages.fit(docs))
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
+
+
 def test_presences_do_not_span_passages():
     together, _ = languages.presences(["ab", "cd"])
     alone = np.concatenate([languages.presences([p])[0] for p in ("ab", "cd")])

@@ -182,10 +182,15 @@ def identified(docs: DataFrame, model: KernelModel, id: str = "doc_id", text: st
 
 
 def in_known_languages(docs: DataFrame, model: KernelModel, text: str = "text") -> DataFrame:
-    """The rows of docs whose text has a language; all columns stay as they are."""
+    """The rows of docs whose text has a letter; all columns stay as they are.
+
+    The prediction rejects no text with a letter, also if the model knows no language.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
+        if not shared.value.languages:
+            return lambda texts: [["" if t and passages(t) else NO_LANGUAGE for t in texts]]
         score = _scorer(shared.value)
         return lambda texts: [score(texts)[0]]
 
