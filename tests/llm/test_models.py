@@ -52,6 +52,19 @@ def test_without_labels_texts_with_a_letter_stay(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
 
 
+def test_passages_to_fit_on_are_bounded(spark, monkeypatch):
+    rows = [(i, prose(i, 2000), "xx") for i in range(7)] + [(9, "äöü ", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = sum(len(languages.passages(t)) for _, t, x in rows if x == "xx")
+    seen = []
+    kernel = languages._kernel
+    monkeypatch.setattr(languages, "_kernel", lambda parts, landmarks: seen.extend(parts) or kernel(parts, landmarks))
+    # A whole step would let all of them through.
+    languages.fit(docs, most_passages=whole - 2)
+    assert len(seen) == whole - 2 + 1
+    assert languages._spread([1, 2, 3], 3) == [1, 2, 3] and languages._spread([*range(7)], 3) == [0, 2, 4]
+
+
 def test_presences_do_not_span_passages():
     together, _ = languages.presences(["ab", "cd"])
     alone = np.concatenate([languages.presences([p])[0] for p in ("ab", "cd")])

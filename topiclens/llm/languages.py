@@ -1,7 +1,8 @@
 """Languages of texts by a string kernel.
 
-The kernel of two passages is the number of character n-grams of 1 to 4 letters that both
-have (a blended spectrum of presences), over the root of the product of their sizes. A
+The kernel of two passages is the number of hash places (8,192) of character n-grams of 1 to
+4 letters that both have (a blended spectrum of presences, in which n-grams that share a place
+count as one), over the root of the product of their sizes. A
 sample of passages serves as Nystroem landmarks; one kernel ridge regression for each
 language tells it from the rest. Passages are scored in batches by matrix products, and a
 text's score is the mean of its passages', weighted by length, so whole texts count and
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from topiclens.llm.common import free_name, map_texts, with_results
 from topiclens.llm.fitting import bounded_sample, text_remainder
 
-#: Labelled rows to fit on, for each language, and passages of them.
+#: Labelled rows to fit on, for each language, and the most passages of them.
 FIT_ROWS = 400
 FIT_PASSAGES = 1500
 LANDMARKS = 128
@@ -81,16 +82,20 @@ def _kernel(parts: list[str], landmarks):
     return (rows @ landmarks) / roots
 
 
-def _fit(texts: list[str], langs: list[str]) -> KernelModel:
+def _spread(items: list, most: int) -> list:
+    """All items, or `most` of them at even distances: all texts of the sample are drawn from."""
+    n = len(items)
+    return items if n <= most else [items[i * n // most] for i in range(most)]
+
+
+def _fit(texts: list[str], langs: list[str], most_passages: int = FIT_PASSAGES) -> KernelModel:
     """Ridge regression on the kernel's Nystroem form. texts: in an order of no meaning."""
     import numpy as np
 
     languages = sorted(set(langs))
     parts, ys = [], []
     for k, lang in enumerate(languages):
-        own = [p for t, x in zip(texts, langs) if x == lang for p in passages(t)]
-        # Of more passages, every n-th: all texts of the sample are drawn from.
-        own = own[:: max(1, len(own) // FIT_PASSAGES)]
+        own = _spread([p for t, x in zip(texts, langs) if x == lang for p in passages(t)], most_passages)
         parts += own
         ys += [k] * len(own)
     if not parts:
@@ -118,9 +123,10 @@ def _fit(texts: list[str], langs: list[str]) -> KernelModel:
     return KernelModel(languages, landmarks, weights.astype(np.float32))
 
 
-def fit(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = FIT_ROWS) -> KernelModel:
+def fit(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str = "lang", per_label: int = FIT_ROWS, most_passages: int = FIT_PASSAGES) -> KernelModel:
     """A model from about `per_label` rows of each label, which the driver holds.
 
+    Of more than `most_passages` passages of a label, so many are fitted on, at even distances.
     Rows with a null text or label are left out. Without rows the model knows no language.
     """
     used = labelled.select(
@@ -128,7 +134,7 @@ def fit(labelled: DataFrame, id: str = "doc_id", text: str = "text", label: str
     ).where("text IS NOT NULL AND label IS NOT NULL")
     rows = bounded_sample(used, "label", "id", per_label).collect()
     rows = sorted(rows, key=lambda r: (str(r["id"]), r["text"]))
-    return _fit([r["text"] for r in rows], [r["label"] for r in rows])
+    return _fit([r["text"] for r in rows], [r["label"] for r in rows], most_passages)
 
 
 def _scorer(model: KernelModel):
