@@ -13,6 +13,7 @@ from topiclens.llm import (
     languages,
     main_text,
     near_duplicates,
+    packing,
     quality,
     secrets,
     top_matches,
@@ -104,3 +105,11 @@ def op10_recursive_bpe(spark, folder):
         public_tokenizers.PATTERN,
         digests=True,
     )
+
+
+@query
+def op12_best_fit(spark, folder):
+    """Documents packed into sequences of 2048 tokens."""
+    import public_tokenizers
+
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
