@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder of its own in the shared one, deleted in the end, whatever happens."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    try:
+        yield path
+    finally:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A name that no column of df has."""
     return name + "_" * max((len(c) for c in df.columns), default=0)

@@ -99,3 +99,46 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 10
 """
+
+ORACLE["op13_stripes"] = r"""
+WITH piece AS (
+  SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents
+  )
+),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+every AS (
+  SELECT lang, k, phrase, count(*) AS f
+  FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+      FROM (SELECT *, unnest(range(1, 6)) AS k FROM piece) WHERE len(w) >= k)
+  ) GROUP BY lang, k, phrase HAVING count(*) >= 100
+),
+cut AS (
+  SELECT lang, phrase, f, w, unnest(range(1, k)) AS c
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM every WHERE k > 1)
+),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.f AS a, x.f AS l, y.f AS r, n, c,
+    (1000::HUGEINT * cut.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN every x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:c], ' ')
+  JOIN every y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1:], ' ')
+  JOIN total ON total.lang = cut.lang
+),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS nth FROM scored) WHERE nth = 1
+),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    FROM every e WHERE e.lang = s.lang AND e.f >= s.a AND len(e.phrase) > len(s.phrase)
+      AND contains(' ' || e.phrase || ' ', ' ' || s.phrase || ' ')
+  )
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+WHERE rank <= 2000
+"""

@@ -14,11 +14,13 @@ from topiclens.llm import (
     main_text,
     near_duplicates,
     packing,
+    phrases,
     quality,
     secrets,
     top_matches,
     toxicity,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,9 +109,21 @@ def op10_recursive_bpe(spark, folder):
     )
 
 
+@query
+def op11_householder(spark, folder):
+    """Embeddings on their four leading components, whitened."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 @query
 def op12_best_fit(spark, folder):
     """Documents packed into sequences of 2048 tokens."""
     import public_tokenizers
 
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_stripes(spark, folder):
+    """Phrases of each language."""
+    return phrases.collocations(table(spark, folder, "documents"))
