@@ -66,7 +66,8 @@ def test_against_brute_force(spark, least, longest, top, parts):
 def test_small_chunks_and_parts(spark, monkeypatch):
     # A stripe in many parts, from many chunks, and a filter too small to be of use.
     monkeypatch.setattr(phrases, "CHUNK_WORDS", 50)
-    monkeypatch.setattr(phrases, "PART", 2)
+    monkeypatch.setattr(phrases, "SHARES", 300)
+    monkeypatch.setattr(phrases, "ROW_WORDS", 2)
     monkeypatch.setattr(phrases, "MOST_BITS", 1 << 10)
     assert found(spark, ROWS, least=3) == brute(ROWS, 3, 5, 2000)
 

@@ -8,9 +8,9 @@ as the greatest elements over a phrase's extensions, what subsumes a phrase.
 
 Stripes of longer prefixes are made from frequent parts alone: a phrase is not frequent if one
 of its parts is not. A filter of bits tells tasks which parts may be frequent; it never denies
-one that is, and its size has a fixed bound, so it only saves work. Long stripes are cut by a
-hash of the next word in parts of some PART words, so that those of a very frequent prefix are
-merged in many places.
+one that is, and its size has a fixed bound, so it only saves work. The stripe of a prefix with
+more than one of SHARES shares of all words is cut in as many parts, by a hash of the next word,
+so that no task merges more than about a share; there are SHARES such prefixes at most.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from topiclens.llm.common import cut, scratch
 
 #: Word occurrences whose stripes a task makes at once.
-CHUNK_WORDS = 4 << 20
-#: Next words in a part of a stripe, about.
-PART = 256
-#: Parts of the stripe of the empty prefix, which holds all words.
-FIRST_PARTS = 4096
+CHUNK_WORDS = 2 << 20
+#: Shares of all words that a part of a stripe may hold; so many parts has the empty prefix.
+SHARES = 1 << 12
+#: Next words in a row, at most.
+ROW_WORDS = 512
 #: Bits of the filter, at most: 8 MB. Fewer where 16 for each frequent phrase are less.
 MOST_BITS = 1 << 26
 #: Groups in which a language's phrases are ranked before all of them are.
@@ -71,6 +71,19 @@ def _has(bits, hashes):
     return out
 
 
+def _parts(hashes, large):
+    """How many parts the stripes of the prefixes with these hashes have."""
+    import numpy as np
+
+    known, numbers = large
+    out = np.ones(len(hashes), np.uint64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        same = known[at] == hashes
+        out[same] = numbers[at[same]]
+    return out
+
+
 class _Chunk:
     """Word numbers of some texts, 0 between pieces."""
 
@@ -102,11 +115,15 @@ class _Chunk:
         self.ids.append(np.zeros(1, np.int64))
         self.size += len(found) + 1
 
-    def stripes(self, length: int, bits, parts: int) -> Iterator[pa.RecordBatch]:
-        """Stripes of prefixes of `length` - 1 words, whose phrases pass the filter."""
+    def stripes(self, length: int, bits, large) -> Iterator[pa.RecordBatch]:
+        """Stripes of prefixes of `length` - 1 words, whose phrases pass the filter.
+
+        large: hashes of the prefixes that have several parts, in order, and how many.
+        """
         import numpy as np
 
         ids = np.concatenate([*self.ids, np.zeros(length, np.int64)])
+        self.ids = []
         v = len(self.words)
         words = pa.array(self.words, pa.binary()).cast(pa.string())
         end = len(ids) - length
@@ -131,28 +148,39 @@ class _Chunk:
             return
         # Numbers of the prefixes, and a place where each is.
         if length == 1:
-            prefix, where = np.zeros(len(at), np.int64), at[:1]
+            # The empty prefix is one prefix in each language; its place is of no matter.
+            _, number = np.unique(np.array(self.langs), return_inverse=True)
+            prefix, where = number[ids[at]], None
+            parts = np.full(v, SHARES, np.uint64)
         elif length == 2:
             prefix, where = ids[at], None
+            parts = _parts(hashes, large)
         else:
             prefix = ids[at]
             for j in range(1, length - 1):
                 _, first, prefix = np.unique(prefix * v + ids[at + j], return_index=True, return_inverse=True)
             where = at[first]
+            h = hashes[ids[where]]
+            for j in range(1, length - 1):
+                h = h * np.uint64(_FACTOR) + hashes[ids[where + j]]
+            parts = _parts(h, large)
         key, counts = np.unique(prefix * v + ids[at + length - 1], return_counts=True)
+        del at, whole
         prefix, following = key // v, key % v
-        part = (hashes % np.uint64(parts)).astype(np.int64)[following]
+        del key
+        # Another part of the hash than the filter's.
+        part = ((hashes[following] >> np.uint64(20)) % parts[prefix]).astype(np.int64)
         order = np.lexsort((part, prefix))
         prefix, following, part, counts = prefix[order], following[order], part[order], counts[order]
-        lang_of = np.array(self.langs, object)[following]
+        del order
         new = np.ones(len(prefix), bool)
         new[1:] = (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])
-        if length == 1:
-            # The empty prefix is one prefix in each language.
-            order = np.lexsort((part, lang_of.astype(str)))
-            following, part, counts, lang_of = following[order], part[order], counts[order], lang_of[order]
-            new[1:] = (lang_of[1:] != lang_of[:-1]) | (part[1:] != part[:-1])
+        # Long parts go on in rows of their own.
         starts = np.flatnonzero(new)
+        nth = np.arange(len(prefix)) - np.repeat(starts, np.diff(np.append(starts, len(prefix))))
+        starts = np.flatnonzero(nth % ROW_WORDS == 0)
+        del new, nth
+        langs = np.array(self.langs, object)
         if length == 1:
             prefixes = pa.array([""] * len(starts), pa.string())
         elif length == 2:
@@ -169,7 +197,7 @@ class _Chunk:
             numbers = pa.ListArray.from_arrays(offsets, pa.array(counts[some[0] : stop], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(lang_of[some], pa.string()),
+                    pa.array(langs[following[some]], pa.string()),
                     prefixes.slice(a, len(some)),
                     pa.array(part[some], pa.int64()),
                     pc.binary_join(lists, " "),
@@ -179,7 +207,7 @@ class _Chunk:
             )
 
 
-def _made(texts: DataFrame, length: int, bits: Broadcast | None, parts: int) -> DataFrame:
+def _made(texts: DataFrame, length: int, bits: Broadcast | None, large) -> DataFrame:
     """(lang, prefix, part, following, counts): tasks' stripes; `following` joined by spaces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,9 +219,9 @@ def _made(texts: DataFrame, length: int, bits: Broadcast | None, parts: int) ->
             for lang, text in zip(batch.column(0), batch.column(1)):
                 chunk.add(lang.as_py(), text.as_py())
                 if chunk.size >= CHUNK_WORDS:
-                    yield from chunk.stripes(length, known, parts)
+                    yield from chunk.stripes(length, known, large)
                     chunk = _Chunk()
-        yield from chunk.stripes(length, known, parts)
+        yield from chunk.stripes(length, known, large)
 
     return texts.mapInArrow(run, "lang string, prefix string, part bigint, following string, counts array<bigint>")
 
@@ -270,6 +298,26 @@ def _merged(stripes: DataFrame, least: int, totals: bool) -> DataFrame:
     return dealt.mapInArrow(run, "lang string, prefix string, next string, f bigint")
 
 
+def _hash(lang: str, phrase: str) -> int:
+    h = 0
+    for j, word in enumerate(phrase.encode().split(b" ")):
+        x = _word_hash(lang, word)
+        h = (h * _FACTOR + x) % (1 << 64) if j else x
+    return h
+
+
+def _large(phrases: DataFrame, words: int):
+    """Hashes, in order, of the phrases with more than a share of all words, and how many shares.
+
+    There are SHARES of them at most.
+    """
+    import numpy as np
+
+    share = max(1, words // SHARES)
+    found = {_hash(r["lang"], r["phrase"]): -(-r["f"] // share) for r in phrases.where(F.col("f") > share).collect()}
+    return np.array(sorted(found), np.uint64), np.array([found[h] for h in sorted(found)], np.uint64)
+
+
 def _filter(phrases: DataFrame) -> Broadcast | None:
     """A filter of the phrases' bits, or None if there is no phrase; its size is bounded."""
     n = phrases.count()
@@ -281,13 +329,7 @@ def _filter(phrases: DataFrame) -> Broadcast | None:
         import numpy as np
 
         for batch in batches:
-            hashes = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                h = 0
-                for j, word in enumerate(phrase.encode().split(b" ")):
-                    x = _word_hash(lang, word)
-                    h = (h * _FACTOR + x) % (1 << 64) if j else x
-                hashes.append(h)
+            hashes = [_hash(*r) for r in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             places = np.concatenate(_bits(np.array(hashes, np.uint64), number))
             values = np.left_shift(np.uint64(1), (places & 63).astype(np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -365,17 +407,19 @@ def collocations(
         F.col(f"`{text}`").cast("binary").alias("text"),
     ).where(F.length("text") > 0)
     with scratch(spark, "phrases") as folder:
-        bits, parts, done = None, FIRST_PARTS, []
+        bits, large, done, total = None, None, [], 0
         for length in range(1, longest + 1):
             path = f"{folder}/{length}"
-            _merged(_made(texts, length, bits, parts), least, length == 1).write.parquet(path)
+            _merged(_made(texts, length, bits, large), least, length == 1).write.parquet(path)
             done.append(path)
-            found = spark.read.parquet(path).where("next IS NOT NULL")
+            written = spark.read.parquet(path)
             if length == 1:
-                most = found.groupBy("lang").count().agg(F.max("count")).first()[0]
-                parts = max(1, -(-(most or 0) // PART))
+                total = written.where("next IS NULL").agg(F.sum("f")).first()[0] or 0
+            if length == longest:
+                break
             phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
-            bits = _filter(found.select("lang", phrase.alias("phrase"))) if length < longest else None
+            found = written.where("next IS NOT NULL").select("lang", phrase.alias("phrase"), "f")
+            bits, large = _filter(found), _large(found, total)
             if bits is None:
                 break
         scored = _scored(spark.read.parquet(*done), least)
