@@ -141,6 +141,56 @@ def test_exact_line_is_found(spark):
     assert all(row.r2 == pytest.approx(1.0) and row.days == 10 for row in fits)
 
 
+def fit_of(spark, rows, names):
+    """Coefficients of (x..., y) rows, in two parts so that moments are merged."""
+    schema = "topic int, day int, " + ", ".join(f"{n} double" for n in [*names, "revenue"])
+    df = spark.createDataFrame([(1, d % 60, *r) for d, r in enumerate(rows)], schema).repartition(2)
+    found = regression.revenue_ols(df, names).collect()
+    return {r.variable: r.coefficient for r in found}, found[0].r2
+
+
+@pytest.mark.parametrize(
+    "origin,unit,intercept,slope",
+    [(0, 1, 0, 5), (1e9, 1, 0, 5), (0, 1e-8, 3, 2e8), (-1e9, 1e-1, 7, 1e3), (1e6, 1e6, 1e-3, 1e-9), (0, 1e-150, 1, 1e150)],
+)
+def test_lines_in_any_unit_and_far_from_zero(spark, origin, unit, intercept, slope):
+    xs = [float(origin + d * unit) for d in range(40)]
+    found, r2 = fit_of(spark, [(x, float(intercept + slope * x)) for x in xs], ["x"])
+    large = abs(slope * origin) + abs(slope * unit) + abs(intercept)
+    assert found["x"] == pytest.approx(slope, rel=1e-9)
+    assert found["intercept"] == pytest.approx(intercept, abs=1e-9 * large)
+    assert r2 == pytest.approx(1.0, abs=1e-9)
+
+
+def test_many_regressors_equal_a_library(spark):
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    x = r.normal(size=(200, 5)) * [1, 1e-6, 1e6, 3, 1] + [0, 1, 1e9, -5, 1e3]
+    y = x @ [1, 1e6, 1e-6, 0, -2] + r.normal(size=200)
+    names = [f"x{i}" for i in range(5)]
+    found, r2 = fit_of(spark, [(*map(float, a), float(b)) for a, b in zip(x, y)], names)
+    mean = x.mean(axis=0)
+    scale = x.std(axis=0)
+    wanted = np.linalg.lstsq((x - mean) / scale, y - y.mean(), rcond=None)[0] / scale
+    assert [found[n] for n in names] == pytest.approx(wanted.tolist(), rel=1e-7, abs=1e-12)
+    rest = y - y.mean() - (x - mean) @ wanted
+    assert r2 == pytest.approx(1 - rest.var() / y.var(), rel=1e-9)
+
+
+def test_dependent_and_constant_variables(spark):
+    import math
+
+    rows = [(float(d), 2.0 * d + 1, 0.1 + 0.2, float(d % 3), 4.0 * d + d % 3) for d in range(12)]
+    found, r2 = fit_of(spark, rows, ["a", "twice", "flat", "third"])
+    assert found == pytest.approx({"intercept": 0, "a": 4, "twice": 0, "flat": 0, "third": 1}, abs=1e-9)
+    assert r2 == pytest.approx(1.0)
+    found, r2 = fit_of(spark, [(float(d), 0.3) for d in range(7)], ["a"])
+    assert found == pytest.approx({"intercept": 0.3, "a": 0}) and math.isnan(r2)
+    found, r2 = fit_of(spark, [(5.0, 2.0)], ["a"])
+    assert found == {"intercept": 2.0, "a": 0.0} and math.isnan(r2)
+
+
 def test_residuals_and_r2(spark):
     rows = [(t, d, float((d * 7 + t) % 5), float(d % 4)) for t in (1, 2) for d in range(12)]
     df = spark.createDataFrame(rows, "topic int, day int, revenue double, kim double")

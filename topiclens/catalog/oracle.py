@@ -311,7 +311,8 @@ N = len(REGRESSORS)
 def _least_squares() -> None:
     names = [*REGRESSORS, "revenue"]
     centred = ", ".join(
-        f"CAST({v} AS DOUBLE) - avg({v}) OVER w AS v{i}, avg({v}) OVER w AS m{i}"
+        f"CAST({v} AS DOUBLE) - avg({v}) OVER w AS v{i}, avg({v}) OVER w AS m{i}, "
+        f"var_pop({v}) OVER w * count(*) OVER w AS s{i}"
         for i, v in enumerate(names)
     )
     cte(
@@ -322,7 +323,7 @@ def _least_squares() -> None:
     )
     for i in range(N):
         slopes = ", ".join(
-            f"CASE WHEN sum(v{i} * v{i}) OVER w < 1e-9 THEN 0 "
+            f"CASE WHEN sum(v{i} * v{i}) OVER w <= 1e-10 * s{i} THEN 0 "
             f"ELSE sum(v{i} * v{j}) OVER w / sum(v{i} * v{i}) OVER w END AS a{i}_{j}"
             for j in range(i + 1, N + 1)
         )
