@@ -2,12 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from topiclens import storage
-from topiclens.operators import terms, topics
+from topiclens.operators import clusters, neighbours, terms, topics
 from topiclens.plans import articles_to_topics, testbed
 
 LIMITS = {"min_df": 2, "min_tf": 2, "vocab_size": 300}
@@ -82,7 +82,7 @@ def test_long_form_equals_ml(docs):
     mine = terms.tfidf(counts, vocab, docs, LIMITS["min_tf"])
     shared = {r.term for r in vocab.filter(F.col("corpus_count") > border).collect()}
     features = topics.fit_features(docs, **LIMITS)
-    words = topics.model_vocabulary(features)
+    words = features.stages[0].vocabulary
     ml = {
         (row.post_id, words[i]): x
         for row in features.transform(docs).select("post_id", "tfidf").collect()
@@ -94,38 +94,66 @@ def test_long_form_equals_ml(docs):
     assert all(long[key] == pytest.approx(ml[key]) for key in long)
 
 
+def dense(docs, model):
+    """Each article's vector, in full, as the model has it."""
+    found = {}
+    for row in clusters.vectors(docs, model.vocabulary, model.idf, model.min_tf).collect():
+        found[row.post_id] = v = np.zeros(len(model.vocabulary))
+        v[row.terms] = row.weights
+    return found
+
+
 def test_clusters(docs, model):
-    features = model.transform(docs).select("post_id", "topic", vector_to_array("tfidf").alias("v"))
-    centers = model.stages[-1].clusterCenters()
+    vectors = dense(docs, model)
+    topic = {r.post_id: r.topic for r in topics.assign_topics(model, docs).collect()}
+    assert topic.keys() == vectors.keys() and len(topic) == docs.count()
     cost = 0.0
-    rows = features.collect()
-    assert len({row.post_id for row in rows}) == len(rows) == docs.count()
-    for row in rows:
-        distances = [float(((c - row.v) ** 2).sum()) for c in centers]
-        assert 0 <= row.topic < len(centers)
-        assert distances[row.topic] == pytest.approx(min(distances), abs=1e-6)
-        cost += min(distances)
-    assert topics.model_cost(model) == pytest.approx(cost, rel=1e-6)
+    for post, v in vectors.items():
+        distances = ((model.centers - v) ** 2).sum(axis=1)
+        assert topic[post] == distances.argmin()
+        cost += distances.min()
+    assert topics.model_cost(model) == pytest.approx(cost / clusters.UNIT**2, rel=1e-9)
     sizes = topics.topic_sizes(topics.assign_topics(model, docs))
-    assert sizes.agg(F.sum("articles")).first()[0] == len(rows)
+    assert sizes.agg(F.sum("articles")).first()[0] == len(vectors)
 
 
-def test_long_centroids_equal_the_model(spark, docs, model):
-    """After the last step, each centre is the mean of its articles."""
-    features = topics.fit_features(docs, **LIMITS)
-    final = topics.kmeans(k=3, max_iter=100).fit(features.transform(docs))
-    words = topics.model_vocabulary(features)
-    long = (
-        features.transform(docs)
-        .select("post_id", F.posexplode(vector_to_array("tfidf")).alias("i", "tfidf"))
-        .filter("tfidf > 0")
-        .select("post_id", F.get(F.lit(words), F.col("i")).alias("term"), "tfidf")
-    )
-    assigned = final.transform(features.transform(docs)).select("post_id", "topic")
-    found = {(r.topic, r.term): r.weight for r in topics.centroids(long, assigned).collect()}
-    for topic, center in enumerate(final.clusterCenters()):
-        for i, x in enumerate(center):
-            assert found.get((topic, words[i]), 0.0) == pytest.approx(x, abs=1e-6)
+def test_centers_are_means(docs):
+    model = topics.fit_topics(docs, k=3, max_iter=100, **LIMITS)
+    vectors = dense(docs, model)
+    topic = {r.post_id: r.topic for r in topics.assign_topics(model, docs).collect()}
+    for t, center in enumerate(model.centers):
+        own = np.array([vectors[p] for p, x in topic.items() if x == t])
+        assert np.abs(own.mean(axis=0) - center).max() <= 0.5
+
+
+def test_vectors_equal_the_long_form(docs, model):
+    counts = terms.term_counts(docs)
+    long = terms.tfidf(counts, terms.vocabulary(counts, **LIMITS), docs, LIMITS["min_tf"])
+    vectors = dense(docs, model)
+    number = {t: i for i, t in enumerate(model.vocabulary)}
+    rows = long.collect()
+    assert len(rows) > 100
+    for r in rows:
+        assert vectors[r.post_id][number[r.term]] == pytest.approx(r.tfidf * clusters.UNIT, abs=0.51)
+    assert sum((v > 0).sum() for v in vectors.values()) == sum(r.tfidf * clusters.UNIT >= 0.5 for r in rows)
+
+
+@pytest.mark.parametrize("parts", [3, 17])
+def test_same_centers_on_any_parts(docs, model, parts):
+    again = topics.fit_topics(docs.repartition(parts), k=6, max_iter=20, **LIMITS)
+    assert np.array_equal(again.centers, model.centers)
+    assert again.cost == model.cost and again.vocabulary == model.vocabulary
+
+
+def test_starts_are_distinct(spark):
+    rows = [(i, ["a"] * (1 + i // 30)) for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    model = topics.fit_topics(df, k=25, min_df=1, min_tf=1, vocab_size=9)
+    # Three different articles make three topics, and no cost is left.
+    assert model.k == 3 and model.cost == 0
+    assert clusters.assign(model, df.where("post_id < 0")).count() == 0
+    none = topics.fit_topics(df.where("post_id < 0"), k=2)
+    assert none.k == 0 and [r.topic for r in topics.assign_topics(none, df).collect()] == [0] * 61
 
 
 def test_top_terms_break_ties_by_term(spark):
@@ -178,8 +206,48 @@ def test_lda_terms(docs):
 
 
 def test_synonyms(docs):
-    found = topics.synonyms(docs, "thing", 5, vector_size=8, partitions=2).collect()
+    found = topics.synonyms(docs, "thing", 5, contexts=200, directions=8).collect()
     assert len(found) == 5 and all(r.word != "thing" and abs(r.similarity) <= 1.01 for r in found)
+    again = topics.synonyms(docs.repartition(11), "thing", 5, contexts=200, directions=8).collect()
+    assert again == found
+    assert topics.synonyms(docs, "no such word").collect() == []
+    assert topics.synonyms(docs.limit(0), "thing").collect() == []
+
+
+def test_pairs_are_counted_within_the_window(spark):
+    df = spark.createDataFrame(
+        [(1, ["a", "b", "c", "a"]), (2, ["b"]), (3, None), (4, [None, "a", "b"])], "post_id long, tokens array<string>"
+    )
+    common = spark.createDataFrame([("a",), ("b",)], "term string")
+    found = neighbours.pair_counts(df, common, window=2)
+    # a b c a: b and the last a are two places apart.
+    assert {tuple(r) for r in found.collect()} == {
+        ("a", "b", 3), ("b", "a", 3), ("c", "a", 2), ("c", "b", 1),
+    }
+
+
+def test_directions_keep_what_the_greatest_singular_vectors_do(spark):
+    r = np.random.default_rng(2)
+    matrix = np.maximum(r.normal(size=(80, 6)) @ r.normal(size=(6, 30)) + r.normal(size=(80, 30)) * 0.05, 0)
+    rows = [(str(i), *zip(*[(j, int(x * 1024)) for j, x in enumerate(row) if x > 0])) for i, row in enumerate(matrix)]
+    df = spark.createDataFrame([(w, list(p), list(x)) for w, p, x in rows], "word string, places array<int>, weights array<long>")
+    a = neighbours.directions_of(df.repartition(1), 30, 5, rounds=12)
+    b = neighbours.directions_of(df.repartition(7), 30, 5, rounds=12)
+    assert np.array_equal(a, b)
+    kept = np.linalg.norm(matrix @ (a / 65536))
+    best = np.sqrt((np.linalg.svd(matrix)[1][:5] ** 2).sum())
+    assert kept == pytest.approx(best, rel=1e-3)
+    assert np.abs(a.T @ a / 65536**2 - np.eye(5)).max() < 1e-3
+
+
+def test_words_used_alike_are_near(spark):
+    # cat and dog stand among the same words, sun among others.
+    sentence = {"cat": "the pet {} eats food", "dog": "the pet {} eats food", "sun": "a star {} warms rock"}
+    rows = [(i, text.format(w).split()) for i, (w, text) in enumerate(sentence.items())] * 9
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    found = topics.synonyms(df, "cat", 20, directions=4).collect()
+    assert found[0].word == "dog" and found[0].similarity == pytest.approx(1.0, abs=1e-3)
+    assert {r.word: r.similarity for r in found}["sun"] < 0.2
 
 
 def test_lemma_table(spark):

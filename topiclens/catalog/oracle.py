@@ -882,6 +882,72 @@ oracle(
 
 oracle("model_roundtrip_same", "SELECT doc_id AS post_id, 1 AS same FROM documents")
 oracle("kmeans_gap", "SELECT doc_id AS post_id, 0.0::DOUBLE AS gap FROM documents")
+cte(
+    "whole",
+    """SELECT * FROM (SELECT post_id, term, term_id, CAST(floor(tfidf * 4096 + 0.5) AS BIGINT) AS x
+      FROM weighted JOIN vocab USING (term)) WHERE x > 0""",
+    "weighted",
+    "vocab",
+)
+cte(
+    "starts",
+    """SELECT row_number() OVER (ORDER BY h) - 1 AS topic, split_part(h, ' ', 2)::BIGINT AS post_id
+    FROM (
+      SELECT min(md5(doc_id::VARCHAR) || ' ' || doc_id) AS h
+      FROM (SELECT doc_id, coalesce(string_agg(term_id || ':' || x, ',' ORDER BY term_id), '') AS v
+        FROM documents LEFT JOIN whole ON post_id = doc_id GROUP BY doc_id)
+      GROUP BY v ORDER BY h LIMIT 25)""",
+    "whole",
+)
+cte(
+    "moved",
+    """SELECT post_id, topic FROM (
+      SELECT doc_id AS post_id, s.topic, row_number() OVER (PARTITION BY doc_id
+        ORDER BY coalesce(square, 0) - 2 * coalesce(dot, 0), s.topic) AS nth
+      FROM documents CROSS JOIN starts s
+      LEFT JOIN (SELECT topic, sum(x * x) AS square FROM whole JOIN starts USING (post_id) GROUP BY topic) q
+        ON q.topic = s.topic
+      LEFT JOIN (SELECT w.post_id, topic, sum(w.x * c.x) AS dot
+        FROM whole w JOIN (SELECT topic, term_id, x FROM whole JOIN starts USING (post_id)) c USING (term_id)
+        GROUP BY w.post_id, topic) d ON d.post_id = doc_id AND d.topic = s.topic
+    ) WHERE nth = 1""",
+    "whole",
+    "starts",
+)
+oracle(
+    "kmeans_step",
+    """SELECT CAST(topic AS INTEGER) AS topic, term, CAST(weight AS BIGINT) AS weight FROM (
+      SELECT topic, term, (2 * sum(x) + any_value(n)) // (2 * any_value(n)) AS weight
+      FROM whole JOIN moved USING (post_id)
+      JOIN (SELECT topic, count(*) AS n FROM moved GROUP BY topic) USING (topic)
+      GROUP BY topic, term) WHERE weight > 0""",
+    "whole",
+    "moved",
+)
+cte(
+    "near",
+    """SELECT word, context, count(*) AS n
+    FROM (
+      SELECT tokens[i] AS word, tokens[i + d] AS context
+      FROM (SELECT *, unnest([-5, -4, -3, -2, -1, 1, 2, 3, 4, 5]) AS d
+        FROM (SELECT tokens, unnest(range(1, len(tokens) + 1)) AS i FROM tokens))
+      WHERE i + d BETWEEN 1 AND len(tokens))
+    WHERE context IN (FROM (SELECT term FROM counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 2000))
+    GROUP BY word, context""",
+    "tokens",
+    "counts",
+)
+oracle(
+    "word_pairs",
+    """SELECT word, count(*) AS contexts, CAST(sum(n) AS BIGINT) AS n,
+      round(sum(weight), 4) AS weight, min({'n': -n, 'context': context}).context AS commonest
+    FROM (
+      SELECT word, context, n,
+        ln(n::DOUBLE * sum(n) OVER () / (w::DOUBLE * sum(n) OVER (PARTITION BY context))) AS weight
+      FROM (SELECT *, sum(n) OVER (PARTITION BY word) AS w FROM near) WHERE w >= 5)
+    WHERE weight > 0 GROUP BY word""",
+    "near",
+)
 oracle(
     "k_sweep_falls",
     "SELECT * FROM (VALUES (3, 10, 1), (10, 25, 1)) steps(fewer, k, falls)",

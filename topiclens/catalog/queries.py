@@ -9,18 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclens import schemas, storage
 from topiclens.functions import clock, text
-from topiclens.functions.vectors import squared_distance
 from topiclens.operators import articles as article_ops
-from topiclens.operators import extras
+from topiclens.operators import clusters, extras
 from topiclens.operators import hits as hit_ops
 from topiclens.operators import interest as interest_ops
-from topiclens.operators import regression, series, terms, topics
+from topiclens.operators import neighbours, regression, series, terms, topics
 from topiclens.plans import articles_to_topics, session_report, testbed, trend_report
 from topiclens.session import in_utc
 from topiclens.sources import readers, writers
@@ -33,8 +31,6 @@ KEYWORD = "thing"
 EXCLUDED = ["worthless", "stanea"]
 PLACES = 6
 RATIO_PLACES = 9
-# Parts that fits deal their articles into, so that they give the same on every cluster.
-FIT_PARTS = 16
 
 
 def query(function: Query) -> Query:
@@ -291,14 +287,14 @@ def clustering_cost(spark, folder):
 def topics_kmeans(spark, folder):
     """Sizes of the fitted topics."""
     docs = testbed.tokens(spark, folder)
-    model = topics.fit_topics(docs, partitions=FIT_PARTS)
+    model = topics.fit_topics(docs)
     return topics.topic_sizes(topics.assign_topics(model, docs))
 
 
 @query
 def text_to_topic(spark, folder):
     """All the way from article text to the fitted topics' keywords."""
-    model = topics.fit_topics(testbed.tokens(spark, folder), partitions=FIT_PARTS)
+    model = topics.fit_topics(testbed.tokens(spark, folder))
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
@@ -306,7 +302,7 @@ def text_to_topic(spark, folder):
 def stemmed_topics(spark, folder):
     """From raw text by word stems to three topics and their keywords."""
     docs = testbed.texts(spark, folder)
-    model = articles_to_topics.learn_stemmed_topics(docs, partitions=FIT_PARTS)
+    model = articles_to_topics.learn_stemmed_topics(docs)
     return topics.topic_terms_table(topics.model_centroids(spark, model))
 
 
@@ -319,7 +315,7 @@ def classify_new(spark, folder):
 def _labelled_pages(spark, folder) -> DataFrame:
     lemmas = testbed.lemmas(spark, folder)
     docs = testbed.texts(spark, folder)
-    model = articles_to_topics.learn_topics(docs, lemmas, partitions=FIT_PARTS)
+    model = articles_to_topics.learn_topics(docs, lemmas)
     pages = articles_to_topics.crawl_to_articles(testbed.pages(spark, folder))
     return articles_to_topics.label_articles(model, pages, lemmas)
 
@@ -329,7 +325,7 @@ def model_roundtrip(spark, folder):
     """Topics given by a model that was written and read again."""
     docs = testbed.tokens(spark, folder)
     path = f"{storage.shared_folder(spark)}/model-{uuid4().hex}"
-    topics.save_model(topics.fit_topics(docs, partitions=FIT_PARTS), path)
+    topics.save_model(topics.fit_topics(docs), path)
     model = topics.load_model(path)
     storage.remove(spark, path)
     return topics.assign_topics(model, docs)
@@ -337,12 +333,12 @@ def model_roundtrip(spark, folder):
 
 @query
 def k_sweep(spark, folder):
-    return topics.k_sweep(testbed.tokens(spark, folder), [3, 10, 25], partitions=FIT_PARTS)
+    return topics.k_sweep(testbed.tokens(spark, folder), [3, 10, 25])
 
 
 @query
 def topics_lda(spark, folder):
-    return topics.lda_topics(testbed.tokens(spark, folder), partitions=FIT_PARTS)
+    return topics.lda_topics(testbed.tokens(spark, folder))
 
 
 @query
@@ -775,7 +771,7 @@ def text_lines_file(spark, folder):
 def model_roundtrip_same(spark, folder):
     """Whether each article has the same topic before and after the model was written."""
     docs = testbed.tokens(spark, folder)
-    model = topics.fit_topics(docs, partitions=FIT_PARTS)
+    model = topics.fit_topics(docs)
     path = f"{storage.shared_folder(spark)}/model-{uuid4().hex}"
     topics.save_model(model, path)
     again = topics.load_model(path)
@@ -790,25 +786,69 @@ def model_roundtrip_same(spark, folder):
 def kmeans_gap(spark, folder):
     """How much farther each article's centre is than its nearest one."""
     docs = testbed.tokens(spark, folder)
-    model = topics.fit_topics(docs, partitions=FIT_PARTS)
-    centers = spark.createDataFrame(
-        [(i, [float(x) for x in c]) for i, c in enumerate(model.stages[-1].clusterCenters())],
-        "topic int, center array<double>",
+    model = topics.fit_topics(docs)
+    vectors = clusters.vectors(docs, model.vocabulary, model.idf, model.min_tf)
+    entries = [
+        (t, i, int(x)) for t, center in enumerate(model.centers) for i, x in enumerate(center)
+    ]
+    centers = spark.createDataFrame(entries, "topic int, term int, c long")
+    squares = centers.groupBy("topic").agg(F.sum(F.col("c") * F.col("c")).alias("square"))
+    long = vectors.select("post_id", F.inline(F.arrays_zip("terms", "weights")))
+    dots = (
+        long.join(centers, long["terms"] == centers["term"])
+        .groupBy("post_id", "topic")
+        .agg(F.sum(F.col("weights") * F.col("c")).alias("dot"))
+    )
+    given = topics.assign_topics(model, docs).withColumnRenamed("topic", "given")
+    # Every article with every one of the k topics.
+    topic_list = F.array(*[F.lit(t) for t in range(model.k)])
+    far = (
+        given.withColumn("topic", F.explode(topic_list))
+        .join(dots, ["post_id", "topic"], "left")
+        .join(F.broadcast(squares), "topic")
+        .withColumn("d", F.col("square") - 2 * F.coalesce("dot", F.lit(0)))
     )
-    vectors = model.transform(docs).select(
-        "post_id", F.col("topic").alias("given"), vector_to_array("tfidf").alias("vector")
+    gap = F.max(F.when(F.col("topic") == F.col("given"), F.col("d"))) - F.min("d")
+    return far.groupBy("post_id").agg(F.round(gap / clusters.UNIT**2, 6).alias("gap"))
+
+
+@query
+def kmeans_step(spark, folder):
+    """The centres after one round from the start: means of the nearest articles."""
+    docs = testbed.tokens(spark, folder)
+    vocabulary, idf = clusters.learn_vocabulary(
+        docs, terms.MIN_DF, terms.MIN_TF, terms.VOCAB_SIZE
+    )
+    found = storage.settle(clusters.vectors(docs, vocabulary, idf, terms.MIN_TF))
+    start = clusters.start_centers(found, topics.K, len(vocabulary))
+    moved, _ = clusters.step(found, start)
+    rows = [
+        (t, vocabulary[i], int(x))
+        for t, center in enumerate(moved) for i, x in enumerate(center) if x
+    ]
+    return spark.createDataFrame(rows, "topic int, term string, weight long")
+
+
+@query
+def word_pairs(spark, folder):
+    """Of each word: common words near it, how often, and how much more often than by chance."""
+    docs = testbed.tokens(spark, folder)
+    common = terms.term_totals(terms.term_counts(docs)).orderBy(F.desc("corpus_count"), "term")
+    counts = storage.settle(neighbours.pair_counts(docs, common.limit(terms.VOCAB_SIZE)))
+    weighed = neighbours.weighted_pairs(counts)
+    return weighed.groupBy("word").agg(
+        F.count(F.lit(1)).alias("contexts"),
+        F.sum("n").alias("n"),
+        F.round(F.sum("weight"), 4).alias("weight"),
+        F.min(F.struct(-F.col("n"), "context"))["context"].alias("commonest"),
     )
-    nearest = topics.nearest_centroid(vectors, centers)
-    own = centers.select(F.col("topic").alias("given"), F.col("center").alias("own"))
-    gap = squared_distance(F.col("own"), F.col("vector")) - F.col("distance")
-    return nearest.join(F.broadcast(own), "given").select("post_id", F.round(gap, 6).alias("gap"))
 
 
 @query
 def k_sweep_falls(spark, folder):
     """Whether more topics cost less."""
     ks = [3, 10, 25]
-    costs = topics.k_sweep(testbed.tokens(spark, folder), ks, partitions=FIT_PARTS)
+    costs = topics.k_sweep(testbed.tokens(spark, folder), ks)
     wide = costs.groupBy().pivot("k", ks).agg(F.first("cost"))
     steps = [
         F.struct(
@@ -823,7 +863,7 @@ def k_sweep_falls(spark, folder):
 def lda_known_terms(spark, folder):
     """Terms of each LDA topic that are in the vocabulary."""
     docs = testbed.tokens(spark, folder)
-    found = topics.lda_topics(docs, partitions=FIT_PARTS)
+    found = topics.lda_topics(docs)
     known = terms.vocabulary(terms.term_counts(docs)).select("term")
     return found.join(known, "term").groupBy("topic").agg(F.count(F.lit(1)).alias("terms"))
 

@@ -1,7 +1,8 @@
 """Latent topics: fitting, assigning, describing.
 
-Model fitting uses Spark ML on `post_id, tokens`. The long-form operators below do the
-same steps as joins and aggregates, with an order for ties that ML does not promise.
+Topics are fitted on `post_id, tokens` by `clusters`, whose result does not depend on how the
+articles are dealt out; LDA and its features are Spark ML's. The long-form operators below do
+the same steps as joins and aggregates, with an order for ties that ML does not promise.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from contextlib import contextmanager
 import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import LDA, KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, Word2Vec
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from topiclens import schemas
 from topiclens.functions.vectors import squared_distance
+from topiclens.operators import clusters, neighbours
+from topiclens.operators.clusters import TopicModel
 from topiclens.operators.terms import MIN_DF, MIN_TF, VOCAB_SIZE
 
 # Settings of the topic model.
@@ -41,10 +44,6 @@ def feature_stages(
     return [counts, IDF(inputCol="counts", outputCol="tfidf")]
 
 
-def kmeans(k: int = K, max_iter: int = MAX_ITER, seed: int = SEED) -> KMeans:
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="tfidf", predictionCol="topic")
-
-
 @contextmanager
 def _kept(df: DataFrame):
     """Keep a frame that is read several times; one the caller keeps already stays kept."""
@@ -58,20 +57,23 @@ def _kept(df: DataFrame):
         df.unpersist()
 
 
-def dealt(tokens: DataFrame, partitions: int | None) -> DataFrame:
-    """The articles in `partitions` parts, by id and in its order.
+#: Articles in a part that LDA adds up by itself.
+ARTICLES_IN_PART = 1000
+
+
+def dealt(tokens: DataFrame) -> DataFrame:
+    """The articles in parts of about ARTICLES_IN_PART, by id and in its order.
 
-    Fits start from random articles of each part and add up in the order of the parts; dealt
-    out like this, they give the same on every cluster. None: the parts the table has.
+    LDA adds up in the order of the parts; they come from the number of articles, so it gives
+    the same on every cluster.
     """
-    if partitions is None:
-        return tokens
-    return tokens.repartition(partitions, "post_id").sortWithinPartitions("post_id")
+    parts = max(1, -(-tokens.count() // ARTICLES_IN_PART))
+    return tokens.repartition(parts, "post_id").sortWithinPartitions("post_id")
 
 
-def _fit(stages: list, tokens: DataFrame, partitions: int | None = None) -> PipelineModel:
+def _fit(stages: list, tokens: DataFrame) -> PipelineModel:
     """Fit on kept tokens: every stage reads them again, but text is parsed once."""
-    with _kept(dealt(tokens, partitions)) as kept:
+    with _kept(tokens) as kept:
         return Pipeline(stages=stages).fit(kept)
 
 
@@ -84,17 +86,18 @@ def fit_topics(
     tokens: DataFrame,
     k: int = K,
     max_iter: int = MAX_ITER,
-    seed: int = SEED,
-    partitions: int | None = None,
-    **limits,
-) -> PipelineModel:
+    min_df: float = MIN_DF,
+    min_tf: float = MIN_TF,
+    vocab_size: int = VOCAB_SIZE,
+) -> TopicModel:
     """Tokens to counts, TF-IDF and k-means topics, as one model that can be saved."""
-    return _fit([*feature_stages(**limits), kmeans(k, max_iter, seed)], tokens, partitions)
+    with _kept(tokens) as kept:
+        return clusters.learn(kept, [k], max_iter, min_df, min_tf, vocab_size)[0]
 
 
-def assign_topics(model: PipelineModel, tokens: DataFrame) -> DataFrame:
+def assign_topics(model: TopicModel, tokens: DataFrame) -> DataFrame:
     """`post_id, topic` of articles, also of ones the model was not fitted on."""
-    return model.transform(tokens).select("post_id", "topic")
+    return clusters.assign(model, tokens)
 
 
 def with_any_term(features: DataFrame, column: str = "counts") -> DataFrame:
@@ -102,34 +105,32 @@ def with_any_term(features: DataFrame, column: str = "counts") -> DataFrame:
     return features.filter(F.exists(vector_to_array(column), lambda x: x != 0))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: TopicModel, path: str) -> None:
+    clusters.save(SparkSession.active(), model, path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> TopicModel:
+    return clusters.load(SparkSession.active(), path)
 
 
-def model_cost(model: PipelineModel) -> float:
+def model_cost(model: TopicModel) -> float:
     """Within-cluster cost of the fit: the sum of squared distances."""
-    return model.stages[-1].summary.trainingCost
+    return model.cost
 
 
-def model_vocabulary(model: PipelineModel) -> list[str]:
-    return model.stages[0].vocabulary
+def model_vocabulary(model: TopicModel) -> list[str]:
+    return model.vocabulary
 
 
-def model_centroids(
-    spark: SparkSession, model: PipelineModel, top_k: int = TOP_TERMS
-) -> DataFrame:
+def model_centroids(spark: SparkSession, model: TopicModel, top_k: int = TOP_TERMS) -> DataFrame:
     """`topic, term, weight` of the `top_k` strongest terms of each fitted centre.
 
     Always `top_k` of them, if the vocabulary has as many; some may weigh nothing.
     """
-    terms = np.array(model_vocabulary(model))
+    terms = np.array(model.vocabulary)
     rows = [
         (topic, str(terms[i]), float(center[i]))
-        for topic, center in enumerate(model.stages[-1].clusterCenters())
+        for topic, center in enumerate(model.weights())
         for i in np.lexsort((terms, -center))[:top_k]
     ]
     return spark.createDataFrame(rows, "topic int, term string, weight double")
@@ -139,15 +140,14 @@ def k_sweep(
     tokens: DataFrame,
     ks: list[int],
     max_iter: int = MAX_ITER,
-    partitions: int | None = None,
-    **limits,
+    min_df: float = MIN_DF,
+    min_tf: float = MIN_TF,
+    vocab_size: int = VOCAB_SIZE,
 ) -> DataFrame:
-    """`k, cost, scaled_cost` for several k over one kept feature table."""
-    with _kept(dealt(tokens, partitions)) as tokens:
-        features = fit_features(tokens, **limits).transform(tokens).select("tfidf")
-        with _kept(features) as kept:
-            costs = [(k, kmeans(k, max_iter).fit(kept).summary.trainingCost) for k in ks]
-    rows = [(k, cost, cost / COST_UNIT) for k, cost in costs]
+    """`k, cost, scaled_cost` for several k over one set of vectors."""
+    with _kept(tokens) as kept:
+        models = clusters.learn(kept, ks, max_iter, min_df, min_tf, vocab_size)
+    rows = [(k, m.cost, m.cost / COST_UNIT) for k, m in zip(ks, models)]
     return tokens.sparkSession.createDataFrame(rows, "k int, cost double, scaled_cost double")
 
 
@@ -157,14 +157,13 @@ def lda_topics(
     max_iter: int = LDA_MAX_ITER,
     top_k: int = TOP_TERMS,
     seed: int = SEED,
-    partitions: int | None = None,
     **limits,
 ) -> DataFrame:
     """`topic, term, weight, rank`: the strongest terms of each LDA topic."""
     # Each iteration sees every article, not a sample of them.
     lda = LDA(k=k, maxIter=max_iter, featuresCol="tfidf", seed=seed, subsamplingRate=1.0)
-    model = _fit([*feature_stages(**limits), lda], tokens, partitions)
-    words = F.array(*[F.lit(word) for word in model_vocabulary(model)])
+    model = _fit([*feature_stages(**limits), lda], dealt(tokens))
+    words = F.array(*[F.lit(word) for word in model.stages[0].vocabulary])
     described = model.stages[-1].describeTopics(top_k)
     pairs = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "pair")
     return described.select("topic", pairs).select(
@@ -175,30 +174,9 @@ def lda_topics(
     )
 
 
-def synonyms(
-    tokens: DataFrame,
-    word: str,
-    n: int = TOP_TERMS,
-    vector_size: int = 50,
-    min_count: int = MIN_DF,
-    partitions: int = 1,
-    seed: int = SEED,
-) -> DataFrame:
-    """`word, similarity`: the words nearest to `word` by Word2Vec.
-
-    `partitions` parts of the text are trained side by side and averaged; choose as many as
-    the table's size asks for. The driver holds `vector_size` values for each word that
-    occurs at least `min_count` times.
-    """
-    model = Word2Vec(
-        inputCol="tokens",
-        outputCol="vector",
-        vectorSize=vector_size,
-        minCount=min_count,
-        numPartitions=partitions,
-        seed=seed,
-    ).fit(tokens)
-    return model.findSynonyms(word, n)
+def synonyms(tokens: DataFrame, word: str, n: int = TOP_TERMS, **settings) -> DataFrame:
+    """`word, similarity`: the words used most like `word`; see `neighbours.similar_words`."""
+    return neighbours.similar_words(tokens, word, n, **settings)
 
 
 def topic_sizes(assigned: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from topiclens.functions import text as text_fn
 from topiclens.functions.wordlists import STOP_WORDS
 from topiclens.operators import articles as article_ops
 from topiclens.operators import terms, topics
+from topiclens.operators.clusters import TopicModel
 
 # Fixed value: number of topics of stemmed raw text.
 STEMMED_K = 3
@@ -38,12 +38,12 @@ def lemma_tokens(articles: DataFrame) -> DataFrame:
 
 def learn_topics(
     articles: DataFrame, lemmas: DataFrame | None = None, **settings
-) -> PipelineModel:
+) -> TopicModel:
     return topics.fit_topics(article_ops.with_tokens(articles, lemmas), **settings)
 
 
 def label_articles(
-    model: PipelineModel, articles: DataFrame, lemmas: DataFrame | None = None
+    model: TopicModel, articles: DataFrame, lemmas: DataFrame | None = None
 ) -> DataFrame:
     """`post_id, topic` for old or new articles, with the lemmas the model was learnt with."""
     return topics.assign_topics(model, article_ops.with_tokens(articles, lemmas))
@@ -61,7 +61,7 @@ def stemmed_tokens(articles: DataFrame, stop_words: list[str] = STOP_WORDS) -> D
     return terms.bags(terms.stem(counts), lines)
 
 
-def learn_stemmed_topics(articles: DataFrame, k: int = STEMMED_K, **settings) -> PipelineModel:
+def learn_stemmed_topics(articles: DataFrame, k: int = STEMMED_K, **settings) -> TopicModel:
     """Topics of word stems.
 
     Every term counts, however rare it is, up to the `vocab_size` commonest (262,144 by
