@@ -83,18 +83,26 @@ def _encoder(definition: str) -> Callable[[str], bytes]:
     ascii_words = re.compile(_ASCII_WORDS, re.A).findall
     word = _Remembered(lambda w: packed([t.id for t in model(w)])).__getitem__
 
-    def words(c: str) -> list[str]:
+    space = chr(_AS_LETTERS[32])
+
+    def of_chunk(c: str) -> bytes:
         # As the library splits them; it takes ten times as long for a short text.
         if c.isascii():
-            return [w.translate(_AS_LETTERS) for w in ascii_words(c)]
-        return [w for w, _ in split(c)]
-
-    chunk = _Remembered(lambda c: b"".join(map(word, words(c)))).__getitem__
-    chunks = re.compile(
+            if c[0] == " " and c[1:].isalpha():
+                return word(space + c[1:])
+            return b"".join([word(w.translate(_AS_LETTERS)) for w in ascii_words(c)])
+        return b"".join([word(w) for w, _ in split(c)])
+
+    chunk = _Remembered(of_chunk).__getitem__
+    odd = re.compile(f"[{_ODD}]")
+    plain = re.compile(f"[{_SURE}]*[^{_SURE}]+|[{_SURE}]+")
+    careful = re.compile(
         f"[{_SURE}{_ODD}]*[^{_SURE}{_ODD}]+(?:[{_ODD}][{_SURE}{_ODD}]*[^{_SURE}{_ODD}]*)*|[{_SURE}{_ODD}]+"
     )
 
     def encode(text: str) -> bytes:
+        # The careful pattern finds the same where there is no odd character.
+        chunks = careful if odd.search(text) else plain
         if len(text) < AT_ONCE:
             return b"".join(map(chunk, chunks.findall(text)))
         found, out = chunks.finditer(text), []
