@@ -68,6 +68,7 @@ def test_small_chunks_and_parts(spark, monkeypatch):
     monkeypatch.setattr(phrases, "CHUNK_WORDS", 50)
     monkeypatch.setattr(phrases, "SHARES", 300)
     monkeypatch.setattr(phrases, "ROW_WORDS", 2)
+    monkeypatch.setattr(phrases, "BUNDLE_WORDS", 300)
     monkeypatch.setattr(phrases, "MOST_BITS", 1 << 10)
     assert found(spark, ROWS, least=3) == brute(ROWS, 3, 5, 2000)
 

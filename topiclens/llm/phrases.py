@@ -29,8 +29,10 @@ from topiclens.llm.common import cut, scratch
 CHUNK_WORDS = 2 << 20
 #: Shares of all words that a part of a stripe may hold; so many parts has the empty prefix.
 SHARES = 1 << 12
+#: Stripes travel in bundles, by their prefixes' hashes; a bundle holds about as many words.
+BUNDLE_WORDS = 1 << 18
 #: Next words in a row, at most.
-ROW_WORDS = 512
+ROW_WORDS = 4096
 #: Bits of the filter, at most: 8 MB. Fewer where 16 for each frequent phrase are less.
 MOST_BITS = 1 << 26
 #: Groups in which a language's phrases are ranked before all of them are.
@@ -45,6 +47,11 @@ _END = b"\xff"
 _FACTOR, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
+_BUNDLES = (
+    "lang string, bundle bigint, prefixes array<string>, sizes array<bigint>, following string, counts array<bigint>"
+)
+
+
 def _word_hash(lang: str, word: bytes) -> int:
     import xxhash
 
@@ -115,7 +122,7 @@ class _Chunk:
         self.ids.append(np.zeros(1, np.int64))
         self.size += len(found) + 1
 
-    def stripes(self, length: int, bits, large) -> Iterator[pa.RecordBatch]:
+    def stripes(self, length: int, bits, large, bundles: int) -> Iterator[pa.RecordBatch]:
         """Stripes of prefixes of `length` - 1 words, whose phrases pass the filter.
 
         large: hashes of the prefixes that have several parts, in order, and how many.
@@ -170,17 +177,29 @@ class _Chunk:
         del key
         # Another part of the hash than the filter's.
         part = ((hashes[following] >> np.uint64(20)) % parts[prefix]).astype(np.int64)
-        order = np.lexsort((part, prefix))
-        prefix, following, part, counts = prefix[order], following[order], part[order], counts[order]
-        del order
+        if length == 1:
+            bundle = part
+        else:
+            of_prefix = hashes if length == 2 else h
+            bundle = (of_prefix[prefix] * np.uint64(_SPREAD) >> np.uint64(17)) + part.astype(np.uint64)
+            bundle = (bundle % np.uint64(bundles)).astype(np.int64)
+        spoken = np.unique(np.array(self.langs), return_inverse=True)[1][following]
+        order = np.lexsort((prefix, bundle, spoken))
+        prefix, following, bundle, counts, spoken = (x[order] for x in (prefix, following, bundle, counts, spoken))
+        del order, part
+        # A row is a bundle of one language, or a part of it; it has one or more stripes.
         new = np.ones(len(prefix), bool)
-        new[1:] = (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])
-        # Long parts go on in rows of their own.
+        new[1:] = (bundle[1:] != bundle[:-1]) | (spoken[1:] != spoken[:-1])
+        firsts = np.flatnonzero(new)
+        nth = np.arange(len(prefix)) - np.repeat(firsts, np.diff(np.append(firsts, len(prefix))))
+        new = nth % ROW_WORDS == 0
+        rows = np.flatnonzero(new)
+        new[1:] |= prefix[1:] != prefix[:-1]
         starts = np.flatnonzero(new)
-        nth = np.arange(len(prefix)) - np.repeat(starts, np.diff(np.append(starts, len(prefix))))
-        starts = np.flatnonzero(nth % ROW_WORDS == 0)
-        del new, nth
+        of_row = np.searchsorted(starts, rows)
+        del new, nth, spoken
         langs = np.array(self.langs, object)
+        sizes = np.diff(np.append(starts, len(prefix)))
         if length == 1:
             prefixes = pa.array([""] * len(starts), pa.string())
         elif length == 2:
@@ -189,26 +208,32 @@ class _Chunk:
             places = where[prefix[starts]]
             columns = [words.take(pa.array(ids[places + j])) for j in range(length - 1)]
             prefixes = pc.binary_join_element_wise(*columns, " ")
-        for a in range(0, len(starts), 20_000):
-            some = starts[a : a + 20_000]
-            stop = starts[a + 20_000] if a + 20_000 < len(starts) else len(following)
+        for a in range(0, len(rows), 1000):
+            some, own = rows[a : a + 1000], of_row[a : a + 1000]
+            stop = rows[a + 1000] if a + 1000 < len(rows) else len(following)
+            last = of_row[a + 1000] if a + 1000 < len(rows) else len(starts)
             offsets = pa.array(np.append(some, stop) - some[0], pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, words.take(pa.array(following[some[0] : stop])))
-            numbers = pa.ListArray.from_arrays(offsets, pa.array(counts[some[0] : stop], pa.int64()))
+            places = pa.array(np.append(own, last) - own[0], pa.int32())
+            here = slice(some[0], stop)
+            lists = pa.ListArray.from_arrays(offsets, words.take(pa.array(following[here])))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(langs[following[some]], pa.string()),
-                    prefixes.slice(a, len(some)),
-                    pa.array(part[some], pa.int64()),
+                    pa.array(bundle[some], pa.int64()),
+                    pa.ListArray.from_arrays(places, prefixes.slice(own[0], last - own[0])),
+                    pa.ListArray.from_arrays(places, pa.array(sizes[own[0] : last], pa.int64())),
                     pc.binary_join(lists, " "),
-                    numbers,
+                    pa.ListArray.from_arrays(offsets, pa.array(counts[here], pa.int64())),
                 ],
-                names=["lang", "prefix", "part", "following", "counts"],
+                names=["lang", "bundle", "prefixes", "sizes", "following", "counts"],
             )
 
 
-def _made(texts: DataFrame, length: int, bits: Broadcast | None, large) -> DataFrame:
-    """(lang, prefix, part, following, counts): tasks' stripes; `following` joined by spaces."""
+def _made(texts: DataFrame, length: int, bits: Broadcast | None, large, bundles: int) -> DataFrame:
+    """(lang, bundle, prefixes, sizes, following, counts): tasks' stripes, in bundles.
+
+    sizes: next words of each prefix; `following`: all of them, joined by spaces.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -219,18 +244,18 @@ def _made(texts: DataFrame, length: int, bits: Broadcast | None, large) -> DataF
             for lang, text in zip(batch.column(0), batch.column(1)):
                 chunk.add(lang.as_py(), text.as_py())
                 if chunk.size >= CHUNK_WORDS:
-                    yield from chunk.stripes(length, known, large)
+                    yield from chunk.stripes(length, known, large, bundles)
                     chunk = _Chunk()
-        yield from chunk.stripes(length, known, large)
+        yield from chunk.stripes(length, known, large, bundles)
 
-    return texts.mapInArrow(run, "lang string, prefix string, part bigint, following string, counts array<bigint>")
+    return texts.mapInArrow(run, _BUNDLES)
 
 
 def _merged(stripes: DataFrame, least: int, totals: bool) -> DataFrame:
     """(lang, prefix, next, f): elements of merged stripes that are `least` at least.
 
-    With `totals` also each part's total, with a null `next`. Stripes come sorted, so a task
-    holds one part of a stripe besides a batch.
+    With `totals` also each bundle's total, with a null `next`. Bundles come sorted, so a task
+    holds one of them besides a batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,59 +267,55 @@ def _merged(stripes: DataFrame, least: int, totals: bool) -> DataFrame:
                 names=["lang", "prefix", "next", "f"],
             )
 
-        def told(key, words, numbers):
+        def told(key, prefixes, words, numbers):
             kept = np.flatnonzero(numbers >= least)
-            yield record([key[0]] * len(kept), [key[1]] * len(kept), words.take(pa.array(kept)), numbers[kept])
+            at = pa.array(kept)
+            yield record([key[0]] * len(kept), prefixes.take(at), words.take(at), numbers[kept])
             if totals:
-                yield record([key[0]], [key[1]], [None], [int(numbers.sum())])
+                yield record([key[0]], [""], [None], [int(numbers.sum())])
 
-        key = words = numbers = None
+        key = held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = [batch.column(i) for i in range(3)]
+            names = [batch.column(i) for i in range(2)]
             new = np.ones(batch.num_rows, bool)
             changed = [pc.not_equal(c.slice(1), c.slice(0, len(c) - 1)).to_numpy(zero_copy_only=False) for c in names]
-            new[1:] = changed[0] | changed[1] | changed[2]
+            new[1:] = changed[0] | changed[1]
             group = np.cumsum(new) - 1
             starts = np.flatnonzero(new)
-            lists = pc.split_pattern(batch.column(3), " ")
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            last = int(group[-1])
+            lists = pc.split_pattern(batch.column(4), " ")
+            owner = np.repeat(group, pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             every = pc.list_flatten(lists)
-            counts = pc.list_flatten(batch.column(4)).to_numpy(zero_copy_only=False)
-            owner = np.repeat(group, sizes)
+            counts = pc.list_flatten(batch.column(5)).to_numpy(zero_copy_only=False)
+            sizes = pc.list_flatten(batch.column(3)).to_numpy(zero_copy_only=False)
+            prefixes = pc.list_flatten(batch.column(2)).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
             first = tuple(c[0].as_py() for c in names)
             if key == first:
-                every = pa.concat_arrays([words, every])
-                counts = np.concatenate([numbers, counts])
-                owner = np.concatenate([np.zeros(len(words), np.int64), owner])
+                prefixes, every = pa.concat_arrays([held[0], prefixes]), pa.concat_arrays([held[1], every])
+                counts = np.concatenate([held[2], counts])
+                owner = np.concatenate([np.zeros(len(held[0]), np.int64), owner])
             elif key is not None:
-                yield from told(key, words, numbers)
-            last = int(group[-1])
-            sums = np.bincount(owner, weights=counts, minlength=last + 1)
-            # A part whose total is too small has no element that is large enough.
-            open_groups = sums >= least
-            open_groups[last] = True
-            kept = np.flatnonzero(open_groups[owner])
-            table = pa.table({"g": owner[kept], "w": every.take(pa.array(kept)), "c": counts[kept]})
-            table = table.group_by(["g", "w"]).aggregate([("c", "sum")]).combine_chunks()
-            g = table["g"].to_numpy()
-            w, c = table["w"].combine_chunks(), table["c_sum"].to_numpy()
-            if isinstance(w, pa.ChunkedArray):
-                w = pa.concat_arrays(w.chunks) if w.num_chunks else pa.array([], pa.string())
+                yield from told(key, *held)
+            table = pa.table({"g": owner, "p": prefixes, "w": every, "c": counts})
+            table = table.group_by(["g", "p", "w"]).aggregate([("c", "sum")]).combine_chunks()
+            g, c = table["g"].to_numpy(), table["c_sum"].to_numpy()
+            p, w = (pa.concat_arrays(table[x].chunks) for x in ("p", "w"))
             own = np.flatnonzero(g == last)
-            key = tuple(x[int(starts[last])].as_py() for x in names)
-            words, numbers = w.take(pa.array(own)), c[own]
+            at = pa.array(own)
+            key, held = tuple(x[int(starts[last])].as_py() for x in names), (p.take(at), w.take(at), c[own])
             done = np.flatnonzero((g != last) & (c >= least))
-            at = pa.array(starts[g[done]])
-            yield record(names[0].take(at), names[1].take(at), w.take(pa.array(done)), c[done])
+            at = pa.array(done)
+            yield record(names[0].take(pa.array(starts[g[done]])), p.take(at), w.take(at), c[done])
             if totals and last:
-                at = pa.array(starts[:-1])
-                yield record(names[0].take(at), names[1].take(at), [None] * last, sums[:-1].astype(np.int64))
+                sums = np.zeros(last + 1, np.int64)
+                np.add.at(sums, g, c)
+                yield record(names[0].take(pa.array(starts[:-1])), [""] * last, [None] * last, sums[:-1])
         if key is not None:
-            yield from told(key, words, numbers)
+            yield from told(key, *held)
 
-    dealt = stripes.repartition("lang", "prefix", "part").sortWithinPartitions("lang", "prefix", "part")
+    dealt = stripes.repartition("lang", "bundle").sortWithinPartitions("lang", "bundle")
     return dealt.mapInArrow(run, "lang string, prefix string, next string, f bigint")
 
 
@@ -407,14 +428,15 @@ def collocations(
         F.col(f"`{text}`").cast("binary").alias("text"),
     ).where(F.length("text") > 0)
     with scratch(spark, "phrases") as folder:
-        bits, large, done, total = None, None, [], 0
+        bits, large, bundles, done, total = None, None, 1, [], 0
         for length in range(1, longest + 1):
             path = f"{folder}/{length}"
-            _merged(_made(texts, length, bits, large), least, length == 1).write.parquet(path)
+            _merged(_made(texts, length, bits, large, bundles), least, length == 1).write.parquet(path)
             done.append(path)
             written = spark.read.parquet(path)
             if length == 1:
                 total = written.where("next IS NULL").agg(F.sum("f")).first()[0] or 0
+                bundles = max(1, -(-total // BUNDLE_WORDS))
             if length == longest:
                 break
             phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
