@@ -92,3 +92,24 @@ def test_any_column_function_is_a_step(spark):
     for step in steps:
         df = df.withColumn("text", step(F.col("text")))
     assert df.first().text == "A-B"
+
+
+def test_ranges_of_a_table_with_uneven_keys(spark):
+    # Keys crowd near 0, are negative, far apart and missing; a range is a filter on the key.
+    keys = sorted({(i * 37) % 9001 for i in range(9000)} | {-(2**40), 2**50} | {10**6 * i for i in range(1, 3000)})
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)] * 50, "k long").repartition(5)
+    for start, stop in [(0, 3), (5000, 5200), (len(keys) - 2, len(keys) + 5), (7, 7), (9, 3), (10**6, 10**7), (0, 10**6)]:
+        found = ops.row_range(df, "k", start, stop)
+        assert sorted(r.k for r in found.collect()) == keys[start:stop]
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in text and "Exchange" not in text.replace("Exchange RoundRobin", "")
+    words = spark.createDataFrame([(f"w{i:05d}",) for i in range(20_000)], "k string")
+    assert sorted(r.k for r in ops.row_range(words, "k", 15_000, 15_002).collect()) == ["w15000", "w15001"]
+    assert ops.row_range(df.where("k < -9e15"), "k", 0, 5).count() == 0
+
+
+def test_a_limit_does_not_sort_the_table(spark):
+    df = spark.range(100_000).repartition(7)
+    found = ops.first_rows(df, "id", 4)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in text and [r.id for r in found.collect()] == [0, 1, 2, 3]

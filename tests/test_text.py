@@ -148,7 +148,7 @@ def test_paragraphs(values):
     assert values(PAGES, text.extract_elements) == [
         [],
         ["One bold and more", "Two"],
-        ["open one", "open twox"],
+        ["open one", "open two"],  # as in browsers, a block ends an open paragraph
         ["real"],
         ["UPPER"],
         ['a & b <c> "d" © · &lt;'],
@@ -188,10 +188,58 @@ def test_any_references(values):
 def test_elements_within_one_another(values):
     pages = ["<div>a<div>b</div>c</div><div class=x>d", "</div><p>x</p>", "<div>1</div>2<div>3</div>", "<DIV>&amp;</div>"]
     found = values(pages, lambda x: text.extract_elements(x, "div"))
-    assert found == [["abc", "d"], [], ["1", "3"], ["&"]]
+    assert found == [["abc", "b", "d"], [], ["1", "3"], ["&"]]
     assert values(["<a.b>x</a.b><axb>y</axb>"], lambda x: text.extract_elements(x, "a.b")) == [["x"]]
 
 
+@pytest.mark.parametrize(
+    "tag,page,found",
+    [
+        ("td", "<table><tr><td><div>x</div>y</td><td>z</table>", ["xy", "z"]),
+        ("li", "<ul><li>a<ul><li>b</li></ul>c</li><li>d</ul>", ["abc", "b", "d"]),
+        ("p", "<section><p>a</section><h2>Title</h2><p>b</p>", ["a", "b"]),
+        ("p", '<p title="a>b">c</p>', ["c"]),
+        ("p", "<p title='</p>'>c<br/>d</p>e", ["cd"]),
+        ("h2", "<h2>a <p>b</h2>c", ["a b"]),
+        ("p", "<div><p>a<span>b</div>c</span><p>d", ["ab", "d"]),
+        ("p", "<p>a<table><tr><td><p>b</td><td>c</p></td></tr></table>d</p>", ["a", "b"]),
+        ("dd", "<dl><dt>a<dd>b<dl><dt>c<dd>d</dl>e<dt>f</dl>", ["bcde", "d"]),
+        ("tr", "<table><thead><tr><th>a<tbody><tr><td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ("option", "<select><option>a<option>b</select>c", ["a", "b"]),
+        ("b", "<p>x<b>y<b>z</b></b></p>", ["yz", "z"]),
+        ("p", "</p><p>a</b></i>b</div>c", ["abc"]),
+        ("em", "<em>a</p>b", ["ab"]),
+        ("p", "a < b <p>1 < 2</p>", ["1 < 2"]),
+    ],
+)
+def test_elements_as_a_full_parser_has_them(values, tag, page, found):
+    assert values([page], lambda x: text.extract_elements(x, tag)) == [found]
+
+
+def test_any_tree(values):
+    """Well-formed trees of any tags: the text under each element, in order of the starts."""
+    r = random.Random(8)
+
+    def tree(depth):
+        name, parts, whole, inside = r.choice(["div", "span", "b", "section", "i"]), [], [], []
+        for _ in range(r.randrange(4)):
+            if depth and r.random() < 0.6:
+                markup, words, below = tree(depth - 1)
+                parts.append(markup)
+                whole.append(words)
+                inside += below
+            else:
+                parts.append(r.choice(["x", " y", "z<br>", "<img alt='<div>'>"]))
+                whole.append({"x": "x", " y": " y", "z<br>": "z"}.get(parts[-1], ""))
+        words = "".join(whole)
+        return f'<{name} class="a>b">{"".join(parts)}</{name}>', words, [(name, words), *inside]
+
+    trees = [tree(6) for _ in range(60)]
+    for name in ("div", "b"):
+        found = values([t[0] for t in trees], lambda x: text.extract_elements(x, name))
+        assert found == [[w for n, w in t[2] if n == name] for t in trees]
+
+
 def test_title(values):
     pages = [
         "<head><TITLE>\nA &amp; B</TITLE></head>", "<p>none</p>",

@@ -15,58 +15,129 @@ from topiclens.functions.wordlists import STOP_WORDS
 HIDDEN = (
     r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 )
-# Elements that cannot hold one of their own kind.
-FLAT = ("p", "li", "dt", "dd", "tr", "td", "th", "option", "a", "title", *(f"h{n}" for n in range(1, 7)))
+# A tag; a quoted attribute may hold the sign that ends it.
+_REST = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_TAG = r"</?[a-zA-Z]" + _REST
+_NAME = r"<(/?[a-zA-Z][^\s/>]*+)" + _REST
+# Elements without an end, and those whose start ends an open paragraph.
+_VOID = "area base br col embed hr img input link meta param source track wbr".split()
+_BLOCKS = (
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
+    "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul"
+).split()
+_TABLE = "tbody thead tfoot tr td th caption".split()
+_ALL_BLOCKS = [*_BLOCKS, *_TABLE, "li", "dt", "dd", "option", "select", "body", "html"]
+_CELLS = ["table", "td", "th", "caption", "button"]
+# Names whose start ends elements: of which names, and the names these do not reach beyond.
+_IMPLIED = [
+    (_BLOCKS, ["p"], _CELLS),
+    (["li"], ["li", "p"], ["ul", "ol", "menu", *_CELLS]),
+    (["dt", "dd"], ["dt", "dd", "p"], ["dl", *_CELLS]),
+    (["option"], ["option"], ["select"]),
+    (["td", "th"], ["td", "th", "caption"], ["table"]),
+    (["tr"], ["tr", "td", "th", "caption"], ["table"]),
+    (["tbody", "thead", "tfoot"], ["tbody", "thead", "tfoot", "tr", "td", "th", "caption"], ["table"]),
+    (["body"], ["head"], []),
+]
 NUMERIC_TOKEN = r"^\p{N}+$"
 
 
-def _ends(tag: str) -> str:
-    """Where an element ends at the latest: its end, a new one, or the end of its block."""
-    return rf"(?=</{tag}>|<{tag}[\s>]|</article>|</div>|</body>|<footer|\z)"
+def _names(names: list[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
 
-def _flat_elements(html: Column, tag: str) -> Column:
-    """Content of elements that do not nest, such as paragraphs: a new one ends the open one."""
-    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?){_ends(tag)}"
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+def _marks(html: Column) -> Column:
+    """Each tag's name and number, whether it ends an element, what it ends, and what stops that."""
 
+    def mark(raw: Column, i: Column) -> Column:
+        ends = raw.startswith("/")
+        name = F.when(ends, F.substr(raw, F.lit(2))).otherwise(raw)
+        closes = F.when(ends, F.array(name))
+        stops = F.when(ends & name.isin(*_TABLE), _names(["table"])).when(
+            ends & name.isin("table", "body", "html"), _names([])
+        )
+        stops = stops.when(ends & name.isin(*_ALL_BLOCKS), _names(_CELLS[:-1])).when(ends, _names(_ALL_BLOCKS))
+        for starts, closed, barrier in _IMPLIED:
+            closes = closes.when(name.isin(*starts), _names(closed))
+            stops = stops.when(name.isin(*starts), _names(barrier))
+        return F.struct(
+            name.alias("name"), (i + 1).alias("at"), ends.alias("ends"),
+            closes.otherwise(_names([])).alias("closes"), stops.otherwise(_names([])).alias("stops"),
+        )
 
-def _nested_elements(html: Column, tag: str) -> Column:
-    """Content of the outermost elements, with that of the elements within in its place."""
-    mark = rf"(?is)</?{tag}(?:\s[^>]*)?>"
-    marks = F.regexp_extract_all(html, F.lit(mark), F.lit(0))
-    after = F.split(html, mark, -1)
-    steps = F.arrays_zip(marks.alias("mark"), F.slice(after, 2, F.size(marks)).alias("text"))
-    none = F.array().cast("array<string>")
+    return F.transform(F.transform(F.regexp_extract_all(html, F.lit(_NAME), F.lit(1)), F.lower), mark)
+
+
+def _spans(html: Column, tag: str) -> Column:
+    """Numbers of the tags where each `tag` element starts and ends, in order of the starts.
+
+    One pass over the tags with a stack of the open elements. A start ends what it implies the
+    end of; an end ends all within its element, and is ignored where none is open.
+    """
+    none = F.array().cast("array<struct<name:string,at:int>>")
 
     def step(state: Column, x: Column) -> Column:
-        opens = ~x["mark"].startswith("</")
-        depth = F.when(opens, state["depth"] + 1).otherwise(F.greatest(state["depth"] - 1, F.lit(0)))
-        ends = (state["depth"] == 1) & (depth == 0)
-        kept = F.when(depth == 0, F.lit("")).otherwise(F.concat(state["open"], x["text"]))
-        done = F.when(ends, F.concat(state["done"], F.array(state["open"]))).otherwise(state["done"])
-        return F.struct(depth.alias("depth"), kept.alias("open"), done.alias("done"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), none.alias("done"))
-    return F.aggregate(
-        steps,
-        start,
-        step,
-        lambda s: F.when(s["depth"] > 0, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]),
-    )
+        stack = state["stack"]
+        size = F.size(stack)
+        places = F.sequence(F.lit(0), size - 1)
+        named = lambda names: F.filter(
+            F.when(size > 0, places).otherwise(F.array().cast("array<int>")),
+            lambda i: F.array_contains(names, F.get(stack, i)["name"]),
+        )
+        barrier = F.coalesce(F.array_max(named(x["stops"])), F.lit(-1))
+        closed = F.filter(named(x["closes"]), lambda i: i > barrier)
+        # An end belongs to the innermost element, a start ends the outermost it implies.
+        keep = F.coalesce(F.when(x["ends"], F.array_max(closed)).otherwise(F.array_min(closed)), size)
+        gone = F.filter(F.slice(stack, keep + 1, F.greatest(size - keep, F.lit(0))), lambda e: e["name"] == tag)
+        ended = F.transform(gone, lambda e: F.struct(e["at"].alias("a"), x["at"].alias("b")))
+        kept = F.slice(stack, F.lit(1), keep)
+        opened = F.array(F.struct(x["name"].alias("name"), x["at"].alias("at")))
+        pushed = F.when(x["ends"] | x["name"].isin(*_VOID), kept).otherwise(F.concat(kept, opened))
+        done = F.when(F.size(ended) > 0, F.concat(state["done"], ended)).otherwise(state["done"])
+        return F.struct(pushed.alias("stack"), done.alias("done"))
+
+    start = F.struct(none.alias("stack"), F.array().cast("array<struct<a:int,b:int>>").alias("done"))
+    marks = _marks(html)
+    last = F.size(F.regexp_extract_all(html, F.lit(_NAME), F.lit(1))) + 1
+
+    def finish(state: Column) -> Column:
+        left = F.filter(state["stack"], lambda e: e["name"] == tag)
+        open_ones = F.transform(left, lambda e: F.struct(e["at"].alias("a"), last.alias("b")))
+        return F.array_sort(F.concat(state["done"], open_ones))
+
+    return F.aggregate(marks, start, step, finish)
 
 
 def extract_elements(html: Column, tag: str = "p", text: bool = True) -> Column:
     """The elements of a page as an array: their text, or their markup if not `text`.
 
-    Of elements within one another, such as blocks, the outermost are given, whole.
+    Elements come in the order in which they start, as a full parser lists them; one within
+    another of its kind comes after it, and its text is in both. What has no end tag ends where
+    the next element of its kind or its surrounding element does, as browsers read it.
     """
     shown = F.regexp_replace(html, HIDDEN, "")
-    name = re.escape(tag)
-    found = _flat_elements(shown, name) if tag.lower() in FLAT else _nested_elements(shown, name)
-    if not text:
-        return found
-    return F.transform(found, lambda part: decode_references(F.regexp_replace(part, "<[^>]*>", "")))
+    spans = _spans(shown, tag.lower())
+
+    def bound(value: Column, body) -> Column:
+        # A one-element array binds a value to a name, so that it is computed once.
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    texts = F.split(shown, _TAG, -1)
+    if text:
+        whole = lambda x, s: decode_references(F.array_join(F.slice(x, s["a"] + 1, s["b"] - s["a"]), ""))
+        return bound(texts, lambda x: F.transform(spans, lambda s: whole(x, s)))
+    marks = F.regexp_extract_all(shown, F.lit(_TAG), F.lit(0))
+
+    def markup(x: Column, s: Column) -> Column:
+        following = F.zip_with(
+            F.slice(x["marks"], s["a"] + 1, s["b"] - s["a"] - 1),
+            F.slice(x["texts"], s["a"] + 2, s["b"] - s["a"] - 1),
+            lambda m, t: F.concat(m, t),
+        )
+        return F.concat(F.get(x["texts"], s["a"]), F.array_join(following, ""))
+
+    both = F.struct(marks.alias("marks"), texts.alias("texts"))
+    return bound(both, lambda x: F.transform(spans, lambda s: markup(x, s)))
 
 
 def extract_text(html: Column, tag: str = "p", sep: str = "") -> Column:

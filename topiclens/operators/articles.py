@@ -23,14 +23,56 @@ def replace_column(df: DataFrame, old: str, new: str) -> DataFrame:
     return df.withColumnRenamed(old, new)
 
 
+#: Keys that a look at a table's distribution takes, about, and rows that are put in order at once.
+SAMPLED, ORDERED = 2048, 4096
+
+
+def key_at(df: DataFrame, key: str, position: int):
+    """The unique key at a place, from 0, in its order; None if there are not as many rows.
+
+    The place is narrowed down between sampled keys whose distances are counted; each look
+    reads the keys between two bounds alone, which reach the scan. Only ORDERED rows are ever
+    sorted.
+    """
+    keys = df.select(F.col(f"`{key}`").alias("k")).where("k IS NOT NULL")
+    size = keys.count()
+    if position >= size:
+        return None
+    while size > ORDERED:
+        share = F.pmod(F.xxhash64("k", F.lit("place")), F.lit(size // SAMPLED)) == 0
+        sampled = sorted(r["k"] for r in keys.where(share).select("k").collect())
+        # The first key of each part but the first.
+        bounds = sampled[8::16]
+        if not bounds:
+            break
+        held = F.array(*[F.lit(b) for b in bounds])
+        part = F.size(F.filter(held, lambda b: b <= F.col("k")))
+        sizes = dict(keys.groupBy(part.alias("part")).count().collect())
+        at = 0
+        while position >= sizes.get(at, 0):
+            position -= sizes.get(at, 0)
+            at += 1
+        if at:
+            keys = keys.where(F.col("k") >= F.lit(bounds[at - 1]))
+        if at < len(bounds):
+            keys = keys.where(F.col("k") < F.lit(bounds[at]))
+        size = sizes[at]
+    return keys.orderBy("k").limit(position + 1).agg(F.max("k")).first()[0]
+
+
 def row_range(df: DataFrame, key: str, start: int, stop: int) -> DataFrame:
-    """Rows `start` to `stop` (exclusive) in the order of a unique key.
+    """Rows `start` to `stop` (exclusive) in the order of a unique key, in any order.
 
-    Rows are numbered where they are, so that no range meets in one task. To split a table
-    among jobs in any order, `shard` needs no numbers.
+    The keys at both places are found first; then the range is a filter that reaches the scan.
+    Nothing is sorted or copied. Rows without a key are in no range. To split a table among
+    jobs in any order, `shard` needs no places.
     """
-    position = F.col("position")
-    return with_position(df, key).filter((position >= start) & (position < stop)).drop("position")
+    first = key_at(df, key, start) if stop > start else None
+    if first is None:
+        return df.where(F.lit(False))
+    found = df.where(F.col(f"`{key}`") >= F.lit(first))
+    after = key_at(df, key, stop)
+    return found if after is None else found.where(F.col(f"`{key}`") < F.lit(after))
 
 
 def with_position(df: DataFrame, *order: str | Column) -> DataFrame:
@@ -55,8 +97,11 @@ def shard(df: DataFrame, key: str, shards: int, index: int) -> DataFrame:
 
 
 def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The first `n` rows by a unique key: a sample that is the same in every run."""
-    return row_range(df, key, 0, n)
+    """The first `n` rows by a unique key: a sample that is the same in every run.
+
+    Each task keeps its own first n, so no table is sorted or copied.
+    """
+    return df.orderBy(key).limit(n)
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
