@@ -42,6 +42,11 @@ _IMPLIED = [
 NUMERIC_TOKEN = r"^\p{N}+$"
 
 
+def _bound(value: Column, body) -> Column:
+    """body of a value that is computed once: a one-element array gives it a name."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _names(names: list[str]) -> Column:
     return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
@@ -97,15 +102,16 @@ def _spans(html: Column, tag: str) -> Column:
         return F.struct(pushed.alias("stack"), done.alias("done"))
 
     start = F.struct(none.alias("stack"), F.array().cast("array<struct<a:int,b:int>>").alias("done"))
-    marks = _marks(html)
-    last = F.size(F.regexp_extract_all(html, F.lit(_NAME), F.lit(1))) + 1
 
-    def finish(state: Column) -> Column:
+    def finish(state: Column, last: Column) -> Column:
         left = F.filter(state["stack"], lambda e: e["name"] == tag)
         open_ones = F.transform(left, lambda e: F.struct(e["at"].alias("a"), last.alias("b")))
         return F.array_sort(F.concat(state["done"], open_ones))
 
-    return F.aggregate(marks, start, step, finish)
+    def fold(marks: Column) -> Column:
+        return F.aggregate(marks, start, step, lambda s: finish(s, F.size(marks) + 1))
+
+    return _bound(_marks(html), fold)
 
 
 def extract_elements(html: Column, tag: str = "p", text: bool = True) -> Column:
@@ -115,17 +121,16 @@ def extract_elements(html: Column, tag: str = "p", text: bool = True) -> Column:
     another of its kind comes after it, and its text is in both. What has no end tag ends where
     the next element of its kind or its surrounding element does, as browsers read it.
     """
-    shown = F.regexp_replace(html, HIDDEN, "")
-    spans = _spans(shown, tag.lower())
+    found = _bound(F.regexp_replace(html, HIDDEN, ""), lambda shown: _elements(shown, tag.lower(), text))
+    return F.when(html.isNotNull(), found)
 
-    def bound(value: Column, body) -> Column:
-        # A one-element array binds a value to a name, so that it is computed once.
-        return F.get(F.transform(F.array(value), body), F.lit(0))
 
+def _elements(shown: Column, tag: str, text: bool) -> Column:
+    spans = _spans(shown, tag)
     texts = F.split(shown, _TAG, -1)
     if text:
         whole = lambda x, s: decode_references(F.array_join(F.slice(x, s["a"] + 1, s["b"] - s["a"]), ""))
-        return bound(texts, lambda x: F.transform(spans, lambda s: whole(x, s)))
+        return _bound(texts, lambda x: F.transform(spans, lambda s: whole(x, s)))
     marks = F.regexp_extract_all(shown, F.lit(_TAG), F.lit(0))
 
     def markup(x: Column, s: Column) -> Column:
@@ -137,7 +142,7 @@ def extract_elements(html: Column, tag: str = "p", text: bool = True) -> Column:
         return F.concat(F.get(x["texts"], s["a"]), F.array_join(following, ""))
 
     both = F.struct(marks.alias("marks"), texts.alias("texts"))
-    return bound(both, lambda x: F.transform(spans, lambda s: markup(x, s)))
+    return _bound(both, lambda x: F.transform(spans, lambda s: markup(x, s)))
 
 
 def extract_text(html: Column, tag: str = "p", sep: str = "") -> Column:
