@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from html import unescape
 
 import pytest
@@ -88,6 +89,39 @@ def test_a_long_paragraph_does_not_raise_the_bar(html, text):
     assert main_text.main_text(html) == text
 
 
+SHORT = "".join(f"<p>The story goes on with its part {i}.</p>" for i in range(5))
+SHORT_TEXT = "\n".join(f"The story goes on with its part {i}." for i in range(5))
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        f"<article><svg class=icon/>{SHORT}</article>", f"<article><svg>{SHORT}</article>",
+        f"<article><iframe src='x' />{SHORT}</article><iframe></iframe>", f"<div><script src='x'/>{SHORT}</div><script></script>",
+        f"<div><a name=top>{SHORT}</div>", f"<div><a name=top>{SHORT}</a></div>", f"<a name=top><a name=b>{SHORT}",
+        f"<div><a href='/'>{SHORT.replace('<p>', '<p><b>x</b>', 0)}</div>",
+        f"<form id=page>{SHORT}</form>", f"<form><nav><a href='/'>m</a></nav><div>{SHORT}</div><footer>f</footer></form>",
+        f"<div>Motto</div>{ADS}<form><fieldset><div>{SHORT}</div></fieldset></form>",
+        f"<div class=share-price>{SHORT}</div>{ADS}<div>(c) Us</div>", f"<div id=social-policy>{SHORT}</div>",
+        f"<div class='discussion-paper related-work cookie-recipes'>{SHORT}</div><div class=site-footer>f</div>",
+        f"<div>{SHORT}</div><form><p>Your name</p><input><p>{LONG}</p></form>",
+        f"<div>{SHORT}</div><div class='cookie-notice'>{LONG}</div><div class='social-share-buttons'>{LONG}</div>"
+        f"<div class=xyz-comments>{LONG}</div><div class='related-posts'>{LONG}</div><div class=c-ad-slot-2>{LONG}</div>",
+    ],
+)
+def test_no_story_is_lost(html):
+    assert main_text.main_text(html) == SHORT_TEXT
+
+
+def test_deep_pages_take_linear_time():
+    deep = 100_000
+    start = time.perf_counter()
+    assert main_text.main_text("<div>" * deep + SHORT + "</div>" * deep) == SHORT_TEXT
+    assert main_text.main_text("<div>x " * deep + "</i></div>" * deep).count("x") == deep
+    assert main_text.main_text("<svg><b>" * deep + SHORT) == SHORT_TEXT
+    assert time.perf_counter() - start < 30
+
+
 def test_surges_and_dives():
     assert stretches([0, 0, 0, 5, 0, 7, 0, 0, 0, 9, 0, 0], window=3) == [(3, 6, 12), (9, 10, 9)]
     assert stretches([], window=3) == [] and stretches([0, 0], window=3) == []
@@ -118,6 +152,12 @@ def test_query_against_marked_articles(spark, small):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_pages_without_marks(spark, small):
+    for r in spark.read.parquet(f"{small}/pages.parquet").collect():
+        bare = re.sub(r"(</?)(?:article|main)\b", r"\1div", r.html)
+        assert main_text.main_text(bare) == main_text.main_text(r.html)
+
+
 def sha(text):
     return "sha256:" + hashlib.sha256(text.encode()).hexdigest()
 

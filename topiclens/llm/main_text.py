@@ -5,18 +5,20 @@ empty. The length of the text in a window of lines, taken at each line, is near
 outside the article. It surges where the article begins and dives where it ends; the lines
 between are kept. Marks (`article`, `main`) are believed where the text is: only if what they
 hold has the page's longest window and at least half of its text, is the page read inside them.
+Forms count as empty, unless one is around the page: if forms hold a dense window, the page's
+longest, and more text than is outside of them, they say nothing.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
-from os.path import commonprefix
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topiclens.llm.common import map_texts
-from topiclens.llm.html_lines import Line, read_page
+from topiclens.llm.html_lines import Line, Page, read_page
 
 #: Lines in a window.
 WINDOW = 3
@@ -33,7 +35,7 @@ MOST_LINKED = 0.6
 
 def line_lengths(lines: list[Line], named: bool) -> list[int]:
     """Length of each line's text, 0 for those that are no part of an article."""
-    lengths = [0 if x.outside or (named and x.named) else len(x.text) for x in lines]
+    lengths = [0 if x.outside or x.form or (named and x.named) else len(x.text) for x in lines]
     at = 0
     while at < len(lines):
         end = at
@@ -53,7 +55,7 @@ def marked_lengths(lines: list[Line], lengths: list[int], named: bool) -> list[i
     lines, those that are mostly links count too.
     """
     inside = [
-        len(x.text) if x.body and not x.outside and not (named and x.named) else 0 for x in lines
+        len(x.text) if x.body and not (x.outside or x.form or (named and x.named)) else 0 for x in lines
     ]
     beside = [0 if x.body else n for n, x in zip(lengths, lines)]
     most_inside = max((m for _, _, m in stretches(inside)), default=0)
@@ -83,11 +85,26 @@ def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int,
     return found
 
 
+def forget_wide_forms(lines: list[Line]) -> None:
+    """Lines are in no form if forms hold the page's text rather than fields."""
+    if not any(x.form for x in lines):
+        return
+    text = [0 if x.outside or x.named or x.links > MOST_LINKED * len(x.text) else len(x.text) for x in lines]
+    inside = [n if x.form else 0 for n, x in zip(text, lines)]
+    beside = [0 if x.form else n for n, x in zip(text, lines)]
+    most_inside, most_beside = (max((m for _, _, m in stretches(v)), default=0) for v in (inside, beside))
+    if most_inside >= max(DENSE, most_beside) and sum(inside) > sum(beside):
+        for x in lines:
+            x.form = False
+
+
 def main_text(html: str | None) -> str:
     """A page's article: its blocks, one a line. No page, no text."""
     if not html:
         return ""
-    lines = read_page(html).lines
+    page = read_page(html)
+    lines = page.lines
+    forget_wide_forms(lines)
     # If all was named as something else, the names say nothing.
     for named in (True, False):
         lengths = line_lengths(lines, named)
@@ -100,33 +117,46 @@ def main_text(html: str | None) -> str:
     # Marked parts and the text around them are judged each by itself.
     for first, last in _parts(lines):
         found += [(first + a, first + b, m) for a, b, m in stretches(lengths[first:last])]
-    kept = _kept(lines, lengths, found)
+    kept = _kept(page, lengths, found)
     return "\n".join(lines[i].text for first, last in kept for i in range(first, last) if lengths[i])
 
 
-def _kept(lines: list[Line], lengths: list[int], found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def _kept(page: Page, lengths: list[int], found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """The stretches of an article: dense ones, and lines of others that are in their element.
 
     What cuts a short ending off from its article is then inside the article's element, such
     as adverts between its paragraphs. A line alone in its element counts as the outer one's.
     """
+    lines, parents, lasts = page.lines, page.parents, page.lasts
     bar = min(DENSE, SHARE * max((m for _, _, m in found), default=0))
     alone = Counter(x.place for n, x in zip(lengths, lines) if n)
 
-    def place(i: int) -> tuple[int, ...]:
+    def place(i: int) -> int:
         own = lines[i].place
-        return own[:-1] if len(own) > 1 and alone[own] == 1 else own
+        return parents[own] if parents[own] and alone[own] == 1 else own
 
-    around = {
-        (lines[first].body, tuple(commonprefix([place(i) for i in range(first, last) if lengths[i]])))
-        for first, last, longest in found
-        if longest >= bar
-    }
+    # Elements are numbered in the order of the page, so what is inside one has the numbers up to its last.
+    around: dict[int, set[int]] = {}
+    for first, last, longest in found:
+        if longest >= bar:
+            places = [place(i) for i in range(first, last) if lengths[i]]
+            common, furthest = min(places), max(places)
+            while lasts[common] < furthest:
+                common = parents[common]
+            around.setdefault(lines[first].body, set()).add(common)
+    outermost: dict[int, list[int]] = {}
+    for body, elements in around.items():
+        chosen = outermost[body] = []
+        for x in sorted(elements - {0}):
+            if not chosen or x > lasts[chosen[-1]]:
+                chosen.append(x)
 
     def within(i: int) -> bool:
         # Without an element around the dense ones, only lines that have none either.
-        own = place(i)
-        return any(b == lines[i].body and (own[: len(p)] == p if p else not own) for b, p in around)
+        own, body = place(i), lines[i].body
+        chosen = outermost.get(body, [])
+        at = bisect_right(chosen, own) - 1
+        return (at >= 0 and own <= lasts[chosen[at]]) or (own == 0 and 0 in around.get(body, ()))
 
     kept = []
     for first, last, longest in found:
