@@ -1,13 +1,15 @@
 """Features and topics: long form against ML, and what holds for any clustering."""
 
 import math
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from topiclens import storage
-from topiclens.operators import clusters, neighbours, terms, topics
+from topiclens.operators import articles, clusters, neighbours, terms, topics
 from topiclens.plans import articles_to_topics, testbed
 
 LIMITS = {"min_df": 2, "min_tf": 2, "vocab_size": 300}
@@ -296,3 +298,23 @@ def test_nearest_centroid(spark):
     tied = spark.createDataFrame([(2, [1.0]), (1, [-1.0])], "topic int, center array<double>")
     zero = spark.createDataFrame([(1, [0.0])], "vec_id long, vector array<double>")
     assert topics.nearest_centroid(zero, tied).first().topic == 1
+
+
+def test_terms_are_counted_across_pieces(spark, monkeypatch):
+    rows = [(1, ["b", "a", "b"]), (2, []), (3, None), (1, ["a"]), (4, ["a"] * 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.list_(pa.string()))], ["post_id", "tokens"])
+    assert [(p.num_rows, sizes.tolist()) for p, sizes in terms.pieces(batch, 3)] == [(3, [3, 0, 0]), (1, [1]), (1, [9])]
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    found = terms.term_counts(df)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 1), (1, "a", 1), (1, "b", 2), (4, "a", 9)]
+
+
+def test_lemmas_are_looked_up_where_the_tokens_are(spark):
+    df = spark.createDataFrame([(1, ["cats", "x", "cats"]), (2, []), (3, None)], "post_id long, tokens array<string>")
+    table = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), (None, "y")], "term string, lemma string")
+    found = articles.with_lemmas(df, table)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = [(1, ["cat", "x", "cat"]), (2, []), (3, None)]
+    assert sorted(map(tuple, found.collect())) == expected
+    assert sorted(map(tuple, articles.joined_lemmas(df, table).collect())) == expected
