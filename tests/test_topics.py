@@ -318,3 +318,19 @@ def test_lemmas_are_looked_up_where_the_tokens_are(spark):
     expected = [(1, ["cat", "x", "cat"]), (2, []), (3, None)]
     assert sorted(map(tuple, found.collect())) == expected
     assert sorted(map(tuple, articles.joined_lemmas(df, table).collect())) == expected
+
+
+def test_rounds_have_no_more_tasks_than_they_need(spark, monkeypatch):
+    df = spark.createDataFrame([(i, ["a"] * (i % 3 + 1) + ["b"]) for i in range(90)], "post_id long, tokens array<string>")
+    used = []
+    step = clusters.step
+    monkeypatch.setattr(clusters, "step", lambda found, c: used.append(found.rdd.getNumPartitions()) or step(found, c))
+    clusters.learn(df.repartition(70), [2], 5, 1, 1, 10)
+    assert used and max(used) <= spark.sparkContext.defaultParallelism
+
+
+def test_costs_beyond_64_bits(spark):
+    big = 1 << 31
+    found = spark.createDataFrame([(i, [0], [big]) for i in range(9)], "post_id long, terms array<int>, weights array<long>")
+    moved, cost = clusters.step(found.coalesce(1), np.zeros((1, 1), np.int64))
+    assert cost == 9 * big**2 > 1 << 64 and moved.tolist() == [[big]]

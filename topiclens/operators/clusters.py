@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,11 @@ from topiclens.operators import terms
 
 #: Weights and centres are whole numbers of 1 / UNIT.
 UNIT = 4096
-_COUNT, _COST = -1, -2
+_COUNT, _COST, _COST_HIGH = -1, -2, -3
+# Squared distances are added up in two parts, the higher one in units of _HIGH.
+_HIGH = 1 << 32
+# Entries of vectors that a task adds up in a round, if there are enough for all cores.
+_ENTRIES = 1 << 24
 
 
 @dataclass
@@ -46,21 +51,16 @@ class TopicModel:
         return self.centers / UNIT
 
 
-def _vectorizer(vocabulary: list[str], idf: list[float], min_tf: float):
-    """A function from tokens to term numbers, in order, and weights."""
-    number = {term: i for i, term in enumerate(vocabulary)}
-
-    def vector(tokens: list[str] | None) -> tuple[list[int], list[int]]:
-        counts: dict[int, int] = {}
-        for token in tokens or ():
-            i = number.get(token, -1)
-            counts[i] = counts.get(i, 0) + 1
-        least = min_tf if min_tf >= 1 else min_tf * len(tokens or ())
-        # Weights are rounded half up.
-        kept = [(i, int(n * idf[i] * UNIT + 0.5)) for i, n in sorted(counts.items()) if i >= 0 and n >= least]
-        return [i for i, x in kept if x], [x for _, x in kept if x]
-
-    return vector
+def _weighed(rows: pa.RecordBatch, sizes: np.ndarray, words: pa.Array, idf: np.ndarray, min_tf: float):
+    """Owner, term number and whole weight of what the articles' tokens weigh, in order."""
+    found = pc.index_in(rows.column(1).flatten(), value_set=words, skip_nulls=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)[found.is_valid().to_numpy(zero_copy_only=False)]
+    owner, term, n = terms.counted(owner, found.drop_null().to_numpy().astype(np.int64), len(words))
+    least = min_tf if min_tf >= 1 else min_tf * sizes[owner]
+    # Weights are rounded half up.
+    weight = (n * idf[term] * UNIT + 0.5).astype(np.int64)
+    kept = (n >= least) & (weight != 0)
+    return owner[kept], term[kept], weight[kept]
 
 
 def vectors(tokens: DataFrame, vocabulary: list[str], idf: list[float], min_tf: float) -> DataFrame:
@@ -71,17 +71,20 @@ def vectors(tokens: DataFrame, vocabulary: list[str], idf: list[float], min_tf:
     shared = tokens.sparkSession.sparkContext.broadcast((vocabulary, idf, min_tf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vector = _vectorizer(*shared.value)
+        vocabulary, idf, min_tf = shared.value
+        words, idf = pa.array(vocabulary, pa.string()), np.array(idf, np.float64)
         for batch in batches:
-            made = [vector(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([a for a, _ in made], pa.list_(pa.int32())),
-                    pa.array([b for _, b in made], pa.list_(pa.int64())),
-                ],
-                names=["post_id", "terms", "weights"],
-            )
+            for rows, sizes in terms.pieces(batch):
+                owner, term, weight = _weighed(rows, sizes, words, idf, min_tf)
+                ends = pa.array(np.searchsorted(owner, np.arange(len(sizes) + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column(0),
+                        pa.ListArray.from_arrays(ends, pa.array(term.astype(np.int32))),
+                        pa.ListArray.from_arrays(ends, pa.array(weight)),
+                    ],
+                    names=["post_id", "terms", "weights"],
+                )
 
     kind = tokens.schema["post_id"].dataType.simpleString()
     return tokens.select("post_id", "tokens").mapInArrow(
@@ -112,38 +115,36 @@ def _flat(batch: pa.RecordBatch):
 def sums(found: DataFrame, centers: np.ndarray) -> DataFrame:
     """`topic, term, total`: summed weights of the articles nearest to each centre.
 
-    Term -1 counts the topic's articles, and -2 adds up their squared distances.
+    Term -1 counts the topic's articles; -2 and -3 add up their squared distances, the lower
+    and the higher part of each.
     """
     shared = found.sparkSession.sparkContext.broadcast(centers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import decimal
-
         centers = shared.value
         k, size = centers.shape
         added = np.zeros((k, size), np.int64)
-        count = np.zeros(k, np.int64)
-        cost = [0] * k
+        count, low, high = np.zeros((3, k), np.int64)
         for batch in batches:
             owner, term, weight = _flat(batch)
             topic, distance = _nearest(owner, term, weight, batch.num_rows, centers)
             np.add.at(added, (topic[owner], term), weight)
             count += np.bincount(topic, minlength=k)
-            for t, d in zip(topic.tolist(), distance.tolist()):
-                cost[t] += int(d)
+            whole = distance.astype(np.int64)
+            np.add.at(low, topic, whole & (_HIGH - 1))
+            np.add.at(high, topic, whole // _HIGH)
         at, terms_at = np.nonzero(added)
-        every = range(k)
-        totals = [*added[at, terms_at].tolist(), *count.tolist(), *cost]
+        signs = np.repeat([_COUNT, _COST, _COST_HIGH], k)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([*at.tolist(), *every, *every], pa.int32()),
-                pa.array([*terms_at.tolist(), *[_COUNT] * k, *[_COST] * k], pa.int32()),
-                pa.array([decimal.Decimal(x) for x in totals], pa.decimal128(38, 0)),
+                pa.array(np.concatenate([at, *[np.arange(k)] * 3]).astype(np.int32)),
+                pa.array(np.concatenate([terms_at, signs]).astype(np.int32)),
+                pa.array(np.concatenate([added[at, terms_at], count, low, high])),
             ],
             names=["topic", "term", "total"],
         )
 
-    made = found.select("post_id", "terms", "weights").mapInArrow(run, "topic int, term int, total decimal(38,0)")
+    made = found.select("post_id", "terms", "weights").mapInArrow(run, "topic int, term int, total bigint")
     return made.groupBy("topic", "term").agg(F.sum("total").alias("total"))
 
 
@@ -153,20 +154,15 @@ def step(found: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, int]:
     A centre without articles stays. Means are rounded half up.
     """
     table = sums(found, centers).toArrow()
-    topic, term = table["topic"].to_numpy(), table["term"].to_numpy()
-    total = [int(x) for x in table["total"].to_pylist()]
-    count, cost, moved = [0] * len(centers), 0, centers.copy()
-    for t, j, x in zip(topic, term, total):
-        if j == _COUNT:
-            count[t] = x
-        elif j == _COST:
-            cost += x
-    for t, n in enumerate(count):
-        if n:
-            moved[t] = 0
-    for t, j, x in zip(topic, term, total):
-        if j >= 0:
-            moved[t, j] = (2 * x + count[t]) // (2 * count[t])
+    topic, term, total = (table[name].to_numpy() for name in ("topic", "term", "total"))
+    cost = sum(total[term == _COST].tolist()) + _HIGH * sum(total[term == _COST_HIGH].tolist())
+    count = np.zeros(len(centers), np.int64)
+    count[topic[term == _COUNT]] = total[term == _COUNT]
+    moved = centers.copy()
+    moved[count > 0] = 0
+    means = term >= 0
+    n = count[topic[means]]
+    moved[topic[means], term[means]] = (2 * total[means] + n) // (2 * n)
     return moved, cost
 
 
@@ -220,18 +216,16 @@ def assign(model: TopicModel, tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        vector = _vectorizer(model.vocabulary, model.idf, model.min_tf)
+        words, idf = pa.array(model.vocabulary, pa.string()), np.array(model.idf, np.float64)
         for batch in batches:
-            made = [vector(t) for t in batch.column(1).to_pylist()]
-            owner = np.repeat(np.arange(len(made)), [len(a) for a, _ in made])
-            term = np.array([i for a, _ in made for i in a], np.int64)
-            weight = np.array([x for _, b in made for x in b], np.int64)
-            topic = np.zeros(len(made), np.int64)
-            if model.k and len(made):
-                topic, _ = _nearest(owner, term, weight, len(made), model.centers)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(topic, pa.int32())], names=["post_id", "topic"]
-            )
+            for rows, sizes in terms.pieces(batch):
+                topic = np.zeros(len(sizes), np.int64)
+                if model.k:
+                    owner, term, weight = _weighed(rows, sizes, words, idf, model.min_tf)
+                    topic, _ = _nearest(owner, term, weight, len(sizes), model.centers)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(topic, pa.int32())], names=["post_id", "topic"]
+                )
 
     kind = tokens.schema["post_id"].dataType.simpleString()
     return tokens.select("post_id", "tokens").mapInArrow(run, f"post_id {kind}, topic int")
@@ -265,5 +259,9 @@ def learn(tokens: DataFrame, ks: list[int], max_iter: int, min_df: float, min_tf
     """A model for each k, over one set of vectors, which lie in the shared folder meanwhile."""
     vocabulary, idf = learn_vocabulary(tokens, min_df, min_tf, vocab_size)
     found = storage.settle(vectors(tokens, vocabulary, idf, min_tf))
+    # Rounds read short vectors, so they need no more tasks than cores until these are many.
+    entries = found.agg(F.sum(F.size("terms"))).first()[0] or 0
+    parts = max(found.sparkSession.sparkContext.defaultParallelism, entries // _ENTRIES)
+    found = found.coalesce(parts)
     made = [fit(found, k, len(vocabulary), max_iter) for k in ks]
     return [TopicModel(vocabulary, idf, min_tf, centers, cost) for centers, cost in made]
