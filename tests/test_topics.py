@@ -334,3 +334,10 @@ def test_costs_beyond_64_bits(spark):
     found = spark.createDataFrame([(i, [0], [big]) for i in range(9)], "post_id long, terms array<int>, weights array<long>")
     moved, cost = clusters.step(found.coalesce(1), np.zeros((1, 1), np.int64))
     assert cost == 9 * big**2 > 1 << 64 and moved.tolist() == [[big]]
+
+
+def test_parts_of_lda_grow_before_their_number(spark):
+    def parts(n):
+        return topics.dealt(spark.range(n).withColumnRenamed("id", "post_id")).rdd.getNumPartitions()
+
+    assert [parts(n) for n in (10, 3500, 200_000, 1_600_000)] == [1, 4, 64, 100]

@@ -57,17 +57,19 @@ def _kept(df: DataFrame):
         df.unpersist()
 
 
-#: Articles in a part that LDA adds up by itself.
-ARTICLES_IN_PART = 1000
+#: Articles in a part that LDA adds up by itself: the least, and the most beyond PARTS parts.
+ARTICLES_IN_PART, MOST_IN_PART, PARTS = 1000, 16_000, 64
 
 
 def dealt(tokens: DataFrame) -> DataFrame:
-    """The articles in parts of about ARTICLES_IN_PART, by id and in its order.
+    """The articles in parts of ARTICLES_IN_PART or more, by id and in its order.
 
     LDA adds up in the order of the parts; they come from the number of articles, so it gives
-    the same on every cluster.
+    the same on every cluster. Each part sends something to the driver in each round, so parts
+    grow before their number does: there are PARTS of them up to MOST_IN_PART articles in each.
     """
-    parts = max(1, -(-tokens.count() // ARTICLES_IN_PART))
+    articles = tokens.count()
+    parts = max(1, min(-(-articles // ARTICLES_IN_PART), max(PARTS, -(-articles // MOST_IN_PART))))
     return tokens.repartition(parts, "post_id").sortWithinPartitions("post_id")
 
 
