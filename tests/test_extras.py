@@ -1,8 +1,16 @@
 """Polarity, transitions and shares on hand-made rows."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from topiclens.operators import extras
+from topiclens.plans import testbed
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_longer_phrases_hold_shorter_ones(spark):
@@ -30,3 +38,28 @@ def test_top_share_counts_ties_by_user(spark):
     row = extras.top_share(hits).first()
     assert (row.users, row.top_users, row.revenue, row.top_revenue) == (20, 2, 29.0, 11.0)
     assert row.top_share == pytest.approx(11 / 29)
+
+
+def test_a_copied_lexicon_gives_what_a_joined_one_does(spark, monkeypatch):
+    r = random.Random(5)
+    texts = [[r.choice("abcd") for _ in range(r.randrange(12))] for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "post_id long, tokens array<string>")
+    terms = {" ".join(r.choice("abcd") for _ in range(r.randrange(1, 5))) for _ in range(25)}
+    rows = [(t, r.randrange(-5, 6)) for t in sorted(terms)]
+    lexicon = spark.createDataFrame([*rows, rows[0], ("a b c d a", 9)], "term string, polarity long")
+    copied = extras.polarity(docs, lexicon)
+    # No n-gram travels: the only exchanges are of a row for each article.
+    assert "posexplode" not in plan(copied)
+    got = sorted(map(tuple, copied.collect()))
+    monkeypatch.setattr(extras, "HELD", 3)
+    joined = extras.polarity(docs, lexicon)
+    assert "posexplode" in plan(joined)
+    assert sorted(map(tuple, joined.collect())) == got and any(m for _, _, m in got)
+
+
+def test_texts_meet_labels_before_their_words_travel(spark, small):
+    with_labels = testbed.lexicon(spark, small)
+    shown = plan(with_labels)
+    # The plan is read from its end: words are taken apart above the join.
+    assert shown.index("explode(") < shown.index("Join")
+    assert with_labels.where(F.col("polarity") == 0).count() == 0

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from topiclens import storage
 from topiclens.functions.text import ngrams
 from topiclens.operators.articles import with_position
+from topiclens.operators.terms import pieces
 
 # Fixed value: words in the longest phrase of a lexicon.
 LONGEST = 4
+# Terms of a lexicon up to which every task has a copy of it.
+HELD = 1 << 22
 # Seconds of a session that are ordered together.
 STRETCH = 3600
 
@@ -18,36 +27,128 @@ def polarity(articles: DataFrame, lexicon: DataFrame) -> DataFrame:
     """`post_id, polarity, matches` from `post_id, tokens` and a lexicon `term, polarity`.
 
     Terms are words or phrases of up to four words. A match within a longer one does not
-    count. Articles without a match have polarity 0. The planner broadcasts the lexicon if
-    it is small.
+    count. Articles without a match have polarity 0. A lexicon of up to HELD terms is copied to
+    all tasks and looked up where the tokens are, so no token is shuffled; a larger one is joined.
+    """
+    terms = storage.settle(
+        lexicon.where("term IS NOT NULL").groupBy("term").agg(
+            F.sum("polarity").alias("polarity"), F.count(F.lit(1)).alias("times")
+        )
+    )
+    known = articles.select("post_id", "tokens").where("post_id IS NOT NULL")
+    held = terms.limit(HELD + 1).toArrow()
+    found = _looked_up(known, held) if held.num_rows <= HELD else _joined(known, terms)
+    sums = found.groupBy("post_id").agg(
+        F.sum("polarity").alias("polarity"), F.sum("matches").alias("matches")
+    )
+    none = F.lit(0).cast("long")
+    return articles.select("post_id").join(sums, "post_id", "left").select(
+        "post_id",
+        F.coalesce("polarity", none).alias("polarity"),
+        F.coalesce("matches", none).alias("matches"),
+    )
+
+
+class _Phrases:
+    """Terms as a tree of their words: of each length, its nodes' keys in order and their values.
+
+    A node is a number; its key is that of the node before it and of its last word.
     """
+
+    def __init__(self, held: pa.Table):
+        terms = held["term"].combine_chunks()
+        times = held["times"].to_numpy()
+        value = held["polarity"].fill_null(0).to_numpy()
+        parts = pc.split_pattern(terms, " ")
+        length = pc.list_value_length(parts).to_numpy()
+        coded = parts.flatten().dictionary_encode()
+        self.words = coded.dictionary
+        number = coded.indices.to_numpy().astype(np.int64)
+        first = np.cumsum(length) - length
+        node = np.zeros(len(terms), np.int64)
+        self.levels = []
+        for n in range(1, LONGEST + 1):
+            at = np.flatnonzero(length >= n)
+            key = node[at] * len(self.words) + number[first[at] + n - 1]
+            keys, node[at] = np.unique(key, return_inverse=True)
+            ends = at[length[at] == n]
+            values, counts = np.zeros(len(keys), value.dtype), np.zeros(len(keys), np.int64)
+            values[node[ends]], counts[node[ends]] = value[ends], times[ends]
+            self.levels.append((keys, values, counts))
+
+    def matches(self, owner: np.ndarray, number: np.ndarray):
+        """Place, length, value and count of each match of words' numbers (-1: none), at its first word."""
+        node, at = np.zeros(len(number), np.int64), np.arange(len(number))
+        for n, (keys, values, counts) in enumerate(self.levels, 1):
+            last = at + n - 1
+            inside = last < len(number)
+            at, last = at[inside], last[inside]
+            inside = (owner[last] == owner[at]) & (number[last] >= 0)
+            at, last = at[inside], last[inside]
+            key = node[at] * len(self.words) + number[last]
+            place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+            hit = keys[place] == key if len(keys) else np.zeros(len(key), bool)
+            at, place = at[hit], place[hit]
+            node[at] = place
+            whole = counts[place] > 0
+            yield at[whole], n, values[place][whole], counts[place][whole]
+
+
+def _looked_up(articles: DataFrame, held: pa.Table) -> DataFrame:
+    """`post_id, polarity, matches`, a row for each article."""
+    shared = articles.sparkSession.sparkContext.broadcast(_Phrases(held))
+    whole = pa.types.is_integer(held["polarity"].type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = shared.value
+        for batch in batches:
+            for rows, sizes in pieces(batch):
+                number = pc.index_in(rows.column(1).flatten(), value_set=phrases.words)
+                number = number.fill_null(-1).to_numpy().astype(np.int64)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                found = list(phrases.matches(owner, number))
+                # Of matches that begin at most three words before, one that ends later or is
+                # longer holds this one.
+                reach = np.full(len(number) + LONGEST - 1, -1)
+                for at, n, _, _ in found:
+                    reach[at + LONGEST - 1] = (at + n) * 8 + n
+                most = reach[LONGEST - 1 :].copy()
+                for by in range(1, LONGEST):
+                    before = reach[LONGEST - 1 - by : len(reach) - by].copy()
+                    before[:by] = -1
+                    before[by:][owner[by:] != owner[:-by]] = -1
+                    most = np.maximum(most, before)
+                value = np.zeros(len(sizes), np.int64 if whole else np.float64)
+                count = np.zeros(len(sizes), np.int64)
+                for at, n, values, counts in found:
+                    kept = most[at] == (at + n) * 8 + n
+                    np.add.at(value, owner[at[kept]], values[kept])
+                    np.add.at(count, owner[at[kept]], counts[kept])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(value), pa.array(count)], names=["post_id", "polarity", "matches"]
+                )
+
+    kind = articles.schema["post_id"].dataType.simpleString()
+    value = "bigint" if whole else "double"
+    return articles.mapInArrow(run, f"post_id {kind}, polarity {value}, matches bigint")
+
+
+def _joined(articles: DataFrame, terms: DataFrame) -> DataFrame:
+    """The same with a row for each match that counts; only phrases as long as a term travel."""
+    length = F.size(F.split("term", " ", -1)).alias("n")
+    lengths = sorted(r["n"] for r in terms.select(length).distinct().collect() if r["n"] <= LONGEST)
     runs = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), ngrams(F.col("tokens"), n).alias("terms"))
-            for n in range(1, LONGEST + 1)
-        ]
+        *[F.struct(F.lit(n).alias("n"), ngrams(F.col("tokens"), n).alias("terms")) for n in lengths or [1]]
     )
     found = (
         articles.select("post_id", F.inline(runs))
         .select("post_id", "n", F.posexplode("terms").alias("pos", "term"))
-        .join(lexicon.select("term", "polarity"), "term")
+        .join(terms, "term")
     )
-    # Of matches that begin at most three words before, one that ends later or is longer
-    # holds this one.
     reach = (F.col("pos") + F.col("n")) * 8 + F.col("n")
     near = Window.partitionBy("post_id").orderBy("pos").rangeBetween(1 - LONGEST, 0)
     kept = found.withColumn("_reach", reach).withColumn("_most", F.max("_reach").over(near))
-    sums = (
-        kept.filter("_reach = _most")
-        .groupBy("post_id")
-        .agg(F.sum("polarity").alias("polarity"), F.count(F.lit(1)).alias("matches"))
-    )
-    none = F.lit(0).cast("long")
-    return articles.select("post_id").join(sums, "post_id", "left").select(
-        "post_id",
-        F.coalesce("polarity", none).alias("polarity"),
-        F.coalesce("matches", none).alias("matches"),
-    )
+    return kept.filter("_reach = _most").select("post_id", "polarity", F.col("times").alias("matches"))
 
 
 def metrics_by_polarity(hits: DataFrame, polarities: DataFrame) -> DataFrame:
