@@ -341,3 +341,28 @@ def test_parts_of_lda_grow_before_their_number(spark):
         return topics.dealt(spark.range(n).withColumnRenamed("id", "post_id")).rdd.getNumPartitions()
 
     assert [parts(n) for n in (10, 3500, 200_000, 1_600_000)] == [1, 4, 64, 100]
+
+
+def test_stripes_equal_pairs_counted_one_by_one(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    texts = [[str(x) for x in r.integers(0, 9, r.integers(0, 30))] for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "post_id long, tokens array<string>").repartition(5)
+    common = spark.createDataFrame([("1",), ("4",), ("none",)], "term string")
+    expected = Counter()
+    for t in texts:
+        for i, word in enumerate(t):
+            expected.update((word, c) for c in [*t[max(i - 3, 0) : i], *t[i + 1 : i + 4]] if c in ("1", "4"))
+    assert {(a, b): n for a, b, n in neighbours.pair_counts(df, common, 3).collect()} == expected
+    stripes = neighbours.pair_stripes(df, neighbours.common_words(common), 3)
+    # One exchange of stripes besides the test's own, and none of pairs.
+    assert stripes._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    assert stripes.count() == len({a for a, _ in expected})
+
+
+def test_rare_words_are_no_synonyms(spark):
+    # once stands beside ten words, but occurs only one time.
+    rows = [(i, ["the", "pet", "cat", "eats", "food", "the", "pet", "dog", "eats", "food"]) for i in range(6)]
+    rows.append((9, ["the", "pet", "once", "eats", "food"] * 1 + ["the", "pet"]))
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    words = {r.word for r in topics.synonyms(df, "cat", 20, directions=4).collect()}
+    assert "dog" in words and "once" not in words
