@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topiclens import storage
-from topiclens.operators import articles, clusters, neighbours, terms, topics
+from topiclens.operators import articles, bags, clusters, neighbours, terms, topics
 from topiclens.plans import articles_to_topics, testbed
 
 LIMITS = {"min_df": 2, "min_tf": 2, "vocab_size": 300}
@@ -366,3 +366,64 @@ def test_rare_words_are_no_synonyms(spark):
     df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
     words = {r.word for r in topics.synonyms(df, "cat", 20, directions=4).collect()}
     assert "dog" in words and "once" not in words
+
+
+def _bags(found):
+    """What each article has how often, and the number of pieces."""
+    rows = found.select(*bags.NAMES).coalesce(1).toArrow().combine_chunks().to_batches()
+    pieces = list(bags.opened(iter(rows)))
+    held = []
+    for p in pieces:
+        names, ids = p.words.to_pylist(), p.ids.to_pylist()
+        counts = [Counter() for _ in ids]
+        for owner, number, n in zip(p.owner, p.number, p.n):
+            counts[owner][names[number]] += int(n)
+        held += zip(ids, counts)
+    return held, len(pieces)
+
+
+TEXTS = [
+    "Cats, cats &nbsp 3d 12 1.5 it’s it's rock'n'roll", None, "", "x.y a\nb &nb\nsp End.", "K İ ſ é über <b>5</b> cats",
+    "12 1990s 3.000 ' '' the THE The", "\x00\x85 日本 dogs\tdogs",
+]
+
+
+def test_bags_count_the_tokens(spark, monkeypatch):
+    monkeypatch.setattr(bags, "TEXT_BYTES", 60)
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(TEXTS)], "post_id long, text string").coalesce(1)
+    tokens = articles.with_tokens(df)
+    expected = sorted((r.post_id, sorted(Counter(r.tokens or []).items())) for r in tokens.collect())
+    for made in (bags.of_articles(df), bags.of_tokens(tokens)):
+        held, _ = _bags(made)
+        assert sorted((i, sorted(c.items())) for i, c in held) == expected
+    assert _bags(bags.of_articles(df))[1] > 1
+    assert "Generate" not in bags.of_articles(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_bags_are_replaced_by_lookup_or_join(spark):
+    rows = [(1, ["cats", "cat", "x", "cats"]), (2, []), (None, ["dogs"]), (1, ["cat"])]
+    df = storage.settle(bags.of_tokens(spark.createDataFrame(rows, "post_id long, tokens array<string>").coalesce(2)))
+    table = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("y", "z")], "term string, target string")
+    expected = [(1, {"cat": 3, "x": 1}), (1, {"cat": 1}), (2, {}), (None, {"dog": 1})]
+    for made in (bags.with_terms(df, table, "target"), bags.joined_terms(df, table)):
+        assert sorted(_bags(made)[0], key=str) == sorted(expected, key=str)
+
+
+def test_models_of_a_sweep_share_their_rounds(spark, monkeypatch):
+    rows = [(i, ["a"] * (i % 7) + ["b"] * (i % 5) + ["c"] * (i % 3)) for i in range(90)]
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    alone = [clusters.learn(df, [k], 30, 1, 1, 10)[0] for k in (2, 4, 8)]
+    passes, sums = [], clusters.sums
+    monkeypatch.setattr(clusters, "sums", lambda found, *models: passes.append(len(models)) or sums(found, *models))
+    together = clusters.learn(df, [2, 4, 8], 30, 1, 1, 10)
+    assert passes[0] == 3 and len(passes) < sum(passes)
+    for a, b in zip(alone, together):
+        assert a.cost == b.cost and np.array_equal(a.centers, b.centers)
+
+
+def test_stemmed_bags_equal_stemmed_tokens(spark):
+    # Articles 1 and the nameless one share ids; the others are alone.
+    rows = [(1, "operators operate <i>cats</i>"), (2, "cats and cat"), (1, "operating"), (None, "dogs"), (None, None), (3, "#REDIRECT x")]
+    df = spark.createDataFrame(rows, "post_id long, text string")
+    expected = [(r.post_id, Counter(r.tokens)) for r in articles_to_topics.stemmed_tokens(df).collect()]
+    assert sorted(_bags(articles_to_topics.stemmed_bags(df))[0], key=str) == sorted(expected, key=str)

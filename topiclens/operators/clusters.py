@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topiclens import storage
-from topiclens.operators import terms
+from topiclens.operators import bags, terms
 
 #: Weights and centres are whole numbers of 1 / UNIT.
 UNIT = 4096
@@ -51,50 +51,51 @@ class TopicModel:
         return self.centers / UNIT
 
 
-def _weighed(rows: pa.RecordBatch, sizes: np.ndarray, words: pa.Array, idf: np.ndarray, min_tf: float):
-    """Owner, term number and whole weight of what the articles' tokens weigh, in order."""
-    found = pc.index_in(rows.column(1).flatten(), value_set=words, skip_nulls=True)
-    owner = np.repeat(np.arange(len(sizes)), sizes)[found.is_valid().to_numpy(zero_copy_only=False)]
-    owner, term, n = terms.counted(owner, found.drop_null().to_numpy().astype(np.int64), len(words))
-    least = min_tf if min_tf >= 1 else min_tf * sizes[owner]
+def _weighed(p: bags.Piece, words: pa.Array, idf: np.ndarray, min_tf: float):
+    """Owner, term number and whole weight of what a piece's articles weigh, in order."""
+    found = pc.index_in(p.words, value_set=words, skip_nulls=True)
+    known = found.fill_null(-1).to_numpy().astype(np.int64)
+    term = known[p.number]
+    least = min_tf if min_tf >= 1 else min_tf * np.bincount(p.owner, weights=p.n)[p.owner]
+    kept = (term >= 0) & (p.n >= least)
+    owner, term = p.owner[kept], term[kept]
     # Weights are rounded half up.
-    weight = (n * idf[term] * UNIT + 0.5).astype(np.int64)
-    kept = (n >= least) & (weight != 0)
-    return owner[kept], term[kept], weight[kept]
+    weight = (p.n[kept] * idf[term] * UNIT + 0.5).astype(np.int64)
+    order = np.lexsort((term, owner))
+    order = order[weight[order] != 0]
+    return owner[order], term[order], weight[order]
 
 
 def vectors(tokens: DataFrame, vocabulary: list[str], idf: list[float], min_tf: float) -> DataFrame:
     """`post_id, terms, weights`: numbers of an article's terms, in order, and whole TF-IDF weights.
 
-    One row for each article, made where its tokens are; null tokens count as none.
+    One row for each article of bags or of `post_id, tokens`; null tokens count as none.
     """
-    shared = tokens.sparkSession.sparkContext.broadcast((vocabulary, idf, min_tf))
+    found = bags.of(tokens)
+    shared = found.sparkSession.sparkContext.broadcast((vocabulary, idf, min_tf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, idf, min_tf = shared.value
         words, idf = pa.array(vocabulary, pa.string()), np.array(idf, np.float64)
-        for batch in batches:
-            for rows, sizes in terms.pieces(batch):
-                owner, term, weight = _weighed(rows, sizes, words, idf, min_tf)
-                ends = pa.array(np.searchsorted(owner, np.arange(len(sizes) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(0),
-                        pa.ListArray.from_arrays(ends, pa.array(term.astype(np.int32))),
-                        pa.ListArray.from_arrays(ends, pa.array(weight)),
-                    ],
-                    names=["post_id", "terms", "weights"],
-                )
-
-    kind = tokens.schema["post_id"].dataType.simpleString()
-    return tokens.select("post_id", "tokens").mapInArrow(
-        run, f"post_id {kind}, terms array<int>, weights array<bigint>"
-    )
+        for p in bags.opened(batches):
+            owner, term, weight = _weighed(p, words, idf, min_tf)
+            ends = pa.array(np.searchsorted(owner, np.arange(len(p.ids) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    p.ids,
+                    pa.ListArray.from_arrays(ends, pa.array(term.astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(weight)),
+                ],
+                names=["post_id", "terms", "weights"],
+            )
+
+    return found.mapInArrow(run, f"post_id {bags.kind_of(found)}, terms array<int>, weights array<bigint>")
 
 
 def _nearest(owner, term, weight, rows: int, centers):
     """The nearest centre of each row, the first of equals, and the squared distance."""
-    squares = (centers.astype(np.float64) ** 2).sum(axis=1)
+    centers = centers.astype(np.float64)
+    squares = (centers**2).sum(axis=1)
     w = weight.astype(np.float64)
     distance = np.empty((rows, len(centers)))
     for topic, center in enumerate(centers):
@@ -112,34 +113,39 @@ def _flat(batch: pa.RecordBatch):
     return owner, term, batch.column(2).flatten().to_numpy(zero_copy_only=False)
 
 
-def sums(found: DataFrame, centers: np.ndarray) -> DataFrame:
+def sums(found: DataFrame, *models: np.ndarray) -> DataFrame:
     """`topic, term, total`: summed weights of the articles nearest to each centre.
 
-    Term -1 counts the topic's articles; -2 and -3 add up their squared distances, the lower
-    and the higher part of each.
+    Topics of several models are numbered one after the other. Term -1 counts the topic's
+    articles; -2 and -3 add up their squared distances, the lower and the higher part of each.
     """
-    shared = found.sparkSession.sparkContext.broadcast(centers)
+    shared = found.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centers = shared.value
-        k, size = centers.shape
-        added = np.zeros((k, size), np.int64)
+        models = shared.value
+        k, size = sum(map(len, models)), models[0].shape[1]
+        added = np.zeros(k * size, np.int64)
         count, low, high = np.zeros((3, k), np.int64)
         for batch in batches:
             owner, term, weight = _flat(batch)
-            topic, distance = _nearest(owner, term, weight, batch.num_rows, centers)
-            np.add.at(added, (topic[owner], term), weight)
-            count += np.bincount(topic, minlength=k)
-            whole = distance.astype(np.int64)
-            np.add.at(low, topic, whole & (_HIGH - 1))
-            np.add.at(high, topic, whole // _HIGH)
-        at, terms_at = np.nonzero(added)
+            before = 0
+            for centers in models:
+                topic, distance = _nearest(owner, term, weight, batch.num_rows, centers)
+                topic += before
+                before += len(centers)
+                np.add.at(added, topic[owner] * size + term, weight)
+                count += np.bincount(topic, minlength=k)
+                whole = distance.astype(np.int64)
+                np.add.at(low, topic, whole & (_HIGH - 1))
+                np.add.at(high, topic, whole // _HIGH)
+        full = np.flatnonzero(added)
+        at, terms_at = np.divmod(full, max(size, 1))
         signs = np.repeat([_COUNT, _COST, _COST_HIGH], k)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([at, *[np.arange(k)] * 3]).astype(np.int32)),
                 pa.array(np.concatenate([terms_at, signs]).astype(np.int32)),
-                pa.array(np.concatenate([added[at, terms_at], count, low, high])),
+                pa.array(np.concatenate([added[full], count, low, high])),
             ],
             names=["topic", "term", "total"],
         )
@@ -148,13 +154,11 @@ def sums(found: DataFrame, centers: np.ndarray) -> DataFrame:
     return made.groupBy("topic", "term").agg(F.sum("total").alias("total"))
 
 
-def step(found: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, int]:
-    """The means of the articles nearest to each centre, and their cost before the move.
-
-    A centre without articles stays. Means are rounded half up.
-    """
-    table = sums(found, centers).toArrow()
+def _moved(table: pa.Table, centers: np.ndarray, before: int) -> tuple[np.ndarray, int]:
+    """What `step` returns for the centres whose topics are numbered from `before`."""
     topic, term, total = (table[name].to_numpy() for name in ("topic", "term", "total"))
+    own = (topic >= before) & (topic < before + len(centers))
+    topic, term, total = topic[own] - before, term[own], total[own]
     cost = sum(total[term == _COST].tolist()) + _HIGH * sum(total[term == _COST_HIGH].tolist())
     count = np.zeros(len(centers), np.int64)
     count[topic[term == _COUNT]] = total[term == _COUNT]
@@ -166,6 +170,23 @@ def step(found: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, int]:
     return moved, cost
 
 
+def step(found: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, int]:
+    """The means of the articles nearest to each centre, and their cost before the move.
+
+    A centre without articles stays. Means are rounded half up.
+    """
+    return _moved(sums(found, centers).toArrow(), centers, 0)
+
+
+def steps(found: DataFrame, models: list[np.ndarray]) -> list[tuple[np.ndarray, int]]:
+    """`step` for several models in one pass over the articles."""
+    if len(models) == 1:
+        return [step(found, models[0])]
+    table = sums(found, *models).toArrow()
+    starts = np.cumsum([0, *map(len, models)])
+    return [_moved(table, centers, int(before)) for centers, before in zip(models, starts)]
+
+
 def start_centers(found: DataFrame, k: int, size: int) -> np.ndarray:
     """The first k distinct vectors by the hash of their articles' ids; all, if there are fewer."""
     order = [F.md5(F.col("post_id").cast("string")), "post_id"]
@@ -182,19 +203,26 @@ def start_centers(found: DataFrame, k: int, size: int) -> np.ndarray:
     return centers
 
 
-def fit(found: DataFrame, k: int, size: int, max_iter: int) -> tuple[np.ndarray, float]:
-    """Centres, and the sum of squared distances from them; stops when no centre moves."""
-    centers = start_centers(found, k, size)
-    cost = 0
-    if len(centers):
-        for _ in range(max_iter):
-            moved, cost = step(found, centers)
-            if np.array_equal(moved, centers):
-                break
-            centers = moved
-        else:
-            cost = step(found, centers)[1]
-    return centers, cost / UNIT**2
+def fit(found: DataFrame, ks: list[int], size: int, max_iter: int) -> list[tuple[np.ndarray, float]]:
+    """For each k centres, and the sum of squared distances from them.
+
+    A model stops when none of its centres moves; a round is one for all models that still do.
+    """
+    made = [start_centers(found, k, size) for k in ks]
+    costs = [0] * len(ks)
+    active = [i for i, centers in enumerate(made) if len(centers)]
+    for turn in range(max_iter + 1):
+        if not active:
+            break
+        found_now = zip(active, steps(found, [made[i] for i in active]))
+        active = []
+        for i, (moved, cost) in found_now:
+            costs[i] = cost
+            # The last pass is for the cost of the last move alone.
+            if turn < max_iter and not np.array_equal(moved, made[i]):
+                made[i] = moved
+                active.append(i)
+    return [(centers, cost / UNIT**2) for centers, cost in zip(made, costs)]
 
 
 def learn_vocabulary(tokens: DataFrame, min_df: float, min_tf: float, vocab_size: int):
@@ -202,33 +230,30 @@ def learn_vocabulary(tokens: DataFrame, min_df: float, min_tf: float, vocab_size
 
     A `min_df` below 1 is a share of the articles, as a `min_tf` below 1 is one of an article.
     """
-    n = tokens.count()
+    found = bags.of(tokens)
+    n = bags.articles_in(found)
     least = min_df if min_df >= 1 else min_df * n
-    counts = terms.term_counts(tokens)
-    table = terms.vocabulary(counts, least, vocab_size, min_tf).orderBy("term_id")
+    table = terms.commonest(bags.totals(found, min_tf), least, vocab_size).orderBy("term_id")
     rows = table.select("term", F.log((F.lit(n) + 1) / (F.col("kept_docs") + 1)).alias("idf")).collect()
     return [r["term"] for r in rows], [r["idf"] for r in rows]
 
 
 def assign(model: TopicModel, tokens: DataFrame) -> DataFrame:
     """`post_id, topic`: the nearest centre, the first of equals; 0 without any centre."""
-    shared = tokens.sparkSession.sparkContext.broadcast(model)
+    found = bags.of(tokens)
+    shared = found.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         words, idf = pa.array(model.vocabulary, pa.string()), np.array(model.idf, np.float64)
-        for batch in batches:
-            for rows, sizes in terms.pieces(batch):
-                topic = np.zeros(len(sizes), np.int64)
-                if model.k:
-                    owner, term, weight = _weighed(rows, sizes, words, idf, model.min_tf)
-                    topic, _ = _nearest(owner, term, weight, len(sizes), model.centers)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(topic, pa.int32())], names=["post_id", "topic"]
-                )
+        for p in bags.opened(batches):
+            topic = np.zeros(len(p.ids), np.int64)
+            if model.k:
+                owner, term, weight = _weighed(p, words, idf, model.min_tf)
+                topic, _ = _nearest(owner, term, weight, len(p.ids), model.centers)
+            yield pa.RecordBatch.from_arrays([p.ids, pa.array(topic, pa.int32())], names=["post_id", "topic"])
 
-    kind = tokens.schema["post_id"].dataType.simpleString()
-    return tokens.select("post_id", "tokens").mapInArrow(run, f"post_id {kind}, topic int")
+    return found.mapInArrow(run, f"post_id {bags.kind_of(found)}, topic int")
 
 
 def save(spark: SparkSession, model: TopicModel, path: str) -> None:
@@ -256,12 +281,16 @@ def load(spark: SparkSession, path: str) -> TopicModel:
 
 
 def learn(tokens: DataFrame, ks: list[int], max_iter: int, min_df: float, min_tf: float, vocab_size: int) -> list[TopicModel]:
-    """A model for each k, over one set of vectors, which lie in the shared folder meanwhile."""
+    """A model for each k, over one set of vectors, which lie in the shared folder meanwhile.
+
+    Bags are read more than once; those of `post_id, tokens` are settled here.
+    """
+    if not bags.is_bags(tokens):
+        tokens = storage.settle(bags.of(tokens))
     vocabulary, idf = learn_vocabulary(tokens, min_df, min_tf, vocab_size)
     found = storage.settle(vectors(tokens, vocabulary, idf, min_tf))
     # Rounds read short vectors, so they need no more tasks than cores until these are many.
     entries = found.agg(F.sum(F.size("terms"))).first()[0] or 0
     parts = max(found.sparkSession.sparkContext.defaultParallelism, entries // _ENTRIES)
-    found = found.coalesce(parts)
-    made = [fit(found, k, len(vocabulary), max_iter) for k in ks]
+    made = fit(found.coalesce(parts), ks, len(vocabulary), max_iter)
     return [TopicModel(vocabulary, idf, min_tf, centers, cost) for centers, cost in made]

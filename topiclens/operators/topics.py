@@ -1,6 +1,6 @@
 """Latent topics: fitting, assigning, describing.
 
-Topics are fitted on `post_id, tokens` by `clusters`, whose result does not depend on how the
+Topics are fitted on `post_id, tokens`, or on their `bags`, by `clusters`, whose result does not depend on how the
 articles are dealt out; LDA and its features are Spark ML's. The long-form operators below do
 the same steps as joins and aggregates, with an order for ties that ML does not promise.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA
@@ -92,13 +93,12 @@ def fit_topics(
     min_tf: float = MIN_TF,
     vocab_size: int = VOCAB_SIZE,
 ) -> TopicModel:
-    """Tokens to counts, TF-IDF and k-means topics, as one model that can be saved."""
-    with _kept(tokens) as kept:
-        return clusters.learn(kept, [k], max_iter, min_df, min_tf, vocab_size)[0]
+    """Tokens or settled bags to TF-IDF and k-means topics, as one model that can be saved."""
+    return clusters.learn(tokens, [k], max_iter, min_df, min_tf, vocab_size)[0]
 
 
 def assign_topics(model: TopicModel, tokens: DataFrame) -> DataFrame:
-    """`post_id, topic` of articles, also of ones the model was not fitted on."""
+    """`post_id, topic` of articles' tokens or bags, also of ones the model was not fitted on."""
     return clusters.assign(model, tokens)
 
 
@@ -147,10 +147,10 @@ def k_sweep(
     vocab_size: int = VOCAB_SIZE,
 ) -> DataFrame:
     """`k, cost, scaled_cost` for several k over one set of vectors."""
-    with _kept(tokens) as kept:
-        models = clusters.learn(kept, ks, max_iter, min_df, min_tf, vocab_size)
-    rows = [(k, m.cost, m.cost / COST_UNIT) for k, m in zip(ks, models)]
-    return tokens.sparkSession.createDataFrame(rows, "k int, cost double, scaled_cost double")
+    models = clusters.learn(tokens, ks, max_iter, min_df, min_tf, vocab_size)
+    costs = [float(m.cost) for m in models]
+    rows = {"k": pa.array(ks, pa.int32()), "cost": costs, "scaled_cost": [c / COST_UNIT for c in costs]}
+    return tokens.sparkSession.createDataFrame(pa.table(rows))
 
 
 def lda_topics(
