@@ -137,3 +137,32 @@ def test_same_pieces_in_any_partitions(spark):
     docs = documents(spark, ROWS[:9], extra=False)
     a, b = (packing.pieces(docs.repartition(n), PATH) for n in (1, 5))
     assert rows_of(a) == rows_of(b)
+
+
+def test_latin_words_are_split_without_the_library(monkeypatch):
+    import tokenizers
+
+    class Watched:
+        """The library's tokenizer, and the short texts that its splitter is given."""
+
+        given = []
+
+        @classmethod
+        def from_str(cls, definition):
+            made = cls()
+            made.model = Tokenizer.from_str(definition).model
+            splitter = Tokenizer.from_str(definition).pre_tokenizer
+            made.pre_tokenizer = made
+            made.pre_tokenize_str = lambda text: cls.given.append(text) or splitter.pre_tokenize_str(text)
+            return made
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Watched)
+    encode, whole = packing._encoder(open(PATH, encoding="utf-8").read()), known()
+    r = random.Random(1)
+    parts = [*"aéßĀɏɐÿ×÷ª² '1.\n\t\x1c\x7f日Ł\u01c1\xa0\xad", "'s", "'re", " Straße", "été,"]
+    for _ in range(2000):
+        t = "".join(r.choices(parts, k=r.randrange(1, 12)))
+        assert encode(t) == whole(t)[:-1].tobytes(), repr(t)
+    Watched.given.clear()
+    encode(" Łódź, naïve Größe's (élan) 12 déjà-vu\n")
+    assert not Watched.given

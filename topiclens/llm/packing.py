@@ -35,9 +35,11 @@ _GROUP_BIT = 40
 _SURE = r" \t\n\r"
 _ODD = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff"
 
-# How byte-level tokenizers split ASCII texts into words, and how they write bytes.
-_ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
-_AS_LETTERS = {b: 256 + n for n, b in enumerate([*range(33), 127])}
+# How byte-level tokenizers split texts of ASCII and Latin letters into words, and how
+# they write bytes. These letters are the same in all versions of Unicode that libraries have.
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LATIN_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+"
+_AS_LETTERS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class _Remembered(dict):
@@ -80,7 +82,8 @@ def _encoder(definition: str) -> Callable[[str], bytes]:
     if not by_bytes or made.get("normalizer") or made["model"]["type"] != "BPE":
         return lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids)
     model, split = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
-    ascii_words = re.compile(_ASCII_WORDS, re.A).findall
+    latin_words = re.compile(_LATIN_WORDS, re.A).findall
+    latin = re.compile(rf"[\x00-\x7f{_LATIN}]*").fullmatch
     word = _Remembered(lambda w: packed([t.id for t in model(w)])).__getitem__
 
     space = chr(_AS_LETTERS[32])
@@ -90,7 +93,9 @@ def _encoder(definition: str) -> Callable[[str], bytes]:
         if c.isascii():
             if c[0] == " " and c[1:].isalpha():
                 return word(space + c[1:])
-            return b"".join([word(w.translate(_AS_LETTERS)) for w in ascii_words(c)])
+            return b"".join([word(w.translate(_AS_LETTERS)) for w in latin_words(c)])
+        if latin(c):
+            return b"".join([word(w.encode().decode("latin-1").translate(_AS_LETTERS)) for w in latin_words(c)])
         return b"".join([word(w) for w, _ in split(c)])
 
     chunk = _Remembered(of_chunk).__getitem__
