@@ -113,3 +113,12 @@ def test_a_limit_does_not_sort_the_table(spark):
     found = ops.first_rows(df, "id", 4)
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in text and [r.id for r in found.collect()] == [0, 1, 2, 3]
+
+
+def test_pages_are_parsed_once(spark):
+    rows = [(1, "u", 200, "<p>Fine text</p>"), (2, "u", 200, "<p></p>"), (3, "u", 200, None), (4, "u", 200, "<b>x</b>")]
+    crawl = spark.createDataFrame(rows, "post_id long, post_url string, status int, html string")
+    found = ops.page_articles(crawl)
+    # Filters on the text would have the whole parser in them.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("<script") == 1
+    assert [tuple(r) for r in found.collect()] == [(1, "fine text")]

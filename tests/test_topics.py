@@ -427,3 +427,16 @@ def test_stemmed_bags_equal_stemmed_tokens(spark):
     df = spark.createDataFrame(rows, "post_id long, text string")
     expected = [(r.post_id, Counter(r.tokens)) for r in articles_to_topics.stemmed_tokens(df).collect()]
     assert sorted(_bags(articles_to_topics.stemmed_bags(df))[0], key=str) == sorted(expected, key=str)
+
+
+def test_topics_are_learnt_from_bags_that_gave_the_lemmas(spark, monkeypatch):
+    rows = [(i, "cats and a cat " * 5 if i % 2 else "dogs bark " * (5 + i % 3)) for i in range(12)]
+    df = spark.createDataFrame(rows, "post_id long, text string")
+    held = storage.settle(bags.of_articles(df))
+    lemmas = storage.settle(articles_to_topics.corpus_lemmas(held))
+    limits = {"k": 2, "min_df": 1, "min_tf": 1}
+    expected = articles_to_topics.learn_topics(df, lemmas, **limits)
+    monkeypatch.setattr(bags, "of_articles", None)  # no text is parsed again
+    model = articles_to_topics.learn_topics(held, lemmas, **limits)
+    assert "cats" not in model.vocabulary and model.vocabulary == expected.vocabulary
+    assert model.cost == expected.cost and np.array_equal(model.centers, expected.centers)
