@@ -440,3 +440,22 @@ def test_topics_are_learnt_from_bags_that_gave_the_lemmas(spark, monkeypatch):
     model = articles_to_topics.learn_topics(held, lemmas, **limits)
     assert "cats" not in model.vocabulary and model.vocabulary == expected.vocabulary
     assert model.cost == expected.cost and np.array_equal(model.centers, expected.centers)
+
+
+def test_rounds_read_and_send_bytes(spark, monkeypatch):
+    rows = [(i, ["a"] * (i % 7) + ["b"] * (i % 5) + ["c"] * (i % 3)) for i in range(90)] + [(None, ["a"]), (91, None)]
+    df = storage.settle(bags.of_tokens(spark.createDataFrame(rows, "post_id long, tokens array<string>").coalesce(3)))
+    assert not any("array<int>" in kind for _, kind in df.dtypes)
+    args = (["a", "b", "c"], [0.5, 1.5, 2.5], 1)
+    held, plain = clusters.blocks(df, *args), clusters.vectors(df, *args)
+    assert [kind for _, kind in held.dtypes] == ["array<bigint>", "binary", "binary", "binary"]
+    assert sorted(map(str, clusters.opened(held).collect())) == sorted(map(str, plain.collect()))
+    centers = clusters.start_centers(held, 4, 3)
+    assert np.array_equal(centers, clusters.start_centers(plain, 4, 3))
+    monkeypatch.setattr(clusters, "SPAN", 4)
+    found = clusters.sums(held, centers).collect()
+    # A row for each part of a topic, not for each term.
+    assert found and len(found) <= 8 and sorted(found) == sorted(clusters.sums(plain, centers).collect())
+    (moved, cost), (again, same) = clusters.step(held, centers), clusters.step(plain, centers)
+    assert np.array_equal(moved, again) and cost == same
+    assert clusters.blocks(df.limit(0), *args).count() == 0
