@@ -166,3 +166,15 @@ def test_latin_words_are_split_without_the_library(monkeypatch):
     Watched.given.clear()
     encode(" Łódź, naïve Größe's (élan) 12 déjà-vu\n")
     assert not Watched.given
+
+
+def test_texts_split_at_spaces_have_the_librarys_ids():
+    # Spaces begin chunks in the first two; in the others, one that began before holds a space.
+    with open(PATH, encoding="utf-8") as file:
+        encode = packing._encoder(file.read())
+    library = Tokenizer.from_file(PATH)
+    texts = ["It's 5 words.\nÉté 'll don't", " a b\tc ", "a  b", "a\n b", "a \nb", "'s  's", " ", "", "a\r b\t c", "日 本 x"]
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert encode(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
+    assert not any(w in t for w in packing._WIDER for t in texts[:2])
