@@ -178,3 +178,29 @@ def test_texts_split_at_spaces_have_the_librarys_ids():
         ids = library.encode(text, add_special_tokens=False).ids
         assert encode(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
     assert not any(w in t for w in packing._WIDER for t in texts[:2])
+
+
+def test_new_words_of_texts_go_to_the_library_in_one_call(monkeypatch):
+    given, one = [], packing._words_encoder
+    monkeypatch.setattr(packing, "_words_encoder", lambda model: lambda words: given.append(words) or one(model)(words))
+    with open(PATH, encoding="utf-8") as file:
+        encode = packing._texts_encoder(file.read())
+    library = known()
+    texts = ["Some words, été twice", "", "some new words", " 日本 words\n", "words\0 twice", "twice  \xff \u0120a", " "]
+    for _ in range(2):
+        assert encode(texts) == [library(t)[:-1].tobytes() for t in texts]
+    # One call for the texts that are split at spaces, one for each of the two others.
+    assert len(given) == 3
+    of_all = " ".join(given).split(" ")
+    assert len(of_all) == len({*of_all})
+
+
+def test_texts_encoded_together_have_the_librarys_ids(monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        encode = packing._texts_encoder(file.read())
+    library, r = known(), random.Random(5)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    parts = [*"aéĠ漢🎉 '1.\n\t\r\0\x1c\xa0\xadÿ\u3000", "the ", " of", ", and ", "'s ", " ", " "]
+    for n in [0, 1, *range(2, 60)]:
+        texts = ["".join(r.choices(parts, k=r.randrange(30))) for _ in range(n)]
+        assert encode(texts) == [library(t)[:-1].tobytes() for t in texts]

@@ -12,11 +12,16 @@ task does not grow with the table, whatever ids or texts repeat.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.models import Model
+from tokenizers.pre_tokenizers import CharDelimiterSplit
 
 from topiclens.llm.common import free_name, map_texts
 
@@ -26,8 +31,10 @@ GROUP = 1 << 14
 MOST_LACKING = 1 / 64
 #: Words and chunks of text whose ids a task remembers; when there are more, it starts anew.
 REMEMBERED = 600_000
-#: Chunks whose ids are joined at once.
+#: Chunks of a long text whose ids are joined at once.
 AT_ONCE = 1 << 16
+#: Bytes of texts that are encoded at once; more of them share more chunks.
+TEXT_BYTES = 8 << 20
 #: Group number's place in a sequence id.
 _GROUP_BIT = 40
 
@@ -37,6 +44,7 @@ _ODD = r"\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\
 
 # What makes a space part of a chunk that began before it.
 _WIDER = ("  ", "\t ", "\n ", "\r ")
+_MARK = "\0"
 
 # How byte-level tokenizers split texts of ASCII and Latin letters into words, and how
 # they write bytes. These letters are the same in all versions of Unicode that libraries have.
@@ -45,99 +53,132 @@ _LATIN_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0
 _AS_LETTERS = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
-class _Remembered(dict):
-    """Results of a function by its argument."""
+def _words_encoder(model: Model) -> Callable[[str], list[int]]:
+    """A function from words parted by spaces to their ids, by a tokenizer's model alone."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are parallel
+    alone = Tokenizer(model)
+    alone.pre_tokenizer = CharDelimiterSplit(" ")
+    return lambda words: alone.encode_batch_fast([words], add_special_tokens=False)[0].ids
 
-    def __init__(self, function: Callable):
-        super().__init__()
-        self.function = function
 
-    def __missing__(self, x):
-        if len(self) > REMEMBERED:
-            self.clear()
-        made = self[x] = self.function(x)
-        return made
-
-
-def _encoder(definition: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids, four bytes each; `definition`: a tokenizer as JSON.
+def _texts_encoder(definition: str) -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids, four bytes each; `definition`: a tokenizer as JSON.
 
     A byte-level tokenizer's words never reach over a place where white space begins, so such
-    texts are encoded chunk by chunk, and each chunk and word once: long texts need no more
-    memory than their ids. Others are encoded whole. Special tokens' strings are ordinary text.
+    texts are cut into chunks there, and each of their chunks and words is encoded once. New
+    words go to the library in one call; their letters tell where each one's ids end. Others
+    are encoded whole. Special tokens' strings are ordinary text.
     """
     import json
     import re
     import struct
+    from codecs import charmap_build, charmap_decode, charmap_encode
     from itertools import islice
 
-    from tokenizers import Tokenizer
+    import numpy as np
+    import tokenizers
 
-    tokenizer = Tokenizer.from_str(definition)
+    tokenizer = tokenizers.Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = True
     made = json.loads(definition)
-    how = made.get("pre_tokenizer") or {}
-
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
+    how, model = made.get("pre_tokenizer") or {}, made["model"]
     by_bytes = how.get("type") == "ByteLevel" and how.get("use_regex", True) and not how.get("add_prefix_space")
-    if not by_bytes or made.get("normalizer") or made["model"]["type"] != "BPE":
-        return lambda text: packed(tokenizer.encode(text, add_special_tokens=False).ids)
-    model, split = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+    letters = "".join(chr(_AS_LETTERS.get(b, b)) for b in range(256))
+    if (
+        not by_bytes or made.get("normalizer") or model["type"] != "BPE"
+        or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix")
+        or not all(x in model["vocab"] for x in letters)
+    ):
+
+        def whole(text: str) -> bytes:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+
+        return lambda texts: [whole(t) for t in texts]
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
     latin_words = re.compile(_LATIN_WORDS, re.A).findall
     latin = re.compile(rf"[\x00-\x7f{_LATIN}]*").fullmatch
-    space = chr(_AS_LETTERS[32])
-
-    def word(w: str) -> bytes:
-        return packed([t.id for t in model(w)])
-
-    def of_chunk(c: str) -> bytes:
-        # As the library splits them; it takes ten times as long for a short text.
-        if c.isascii():
-            words = latin_words(c)
-            if len(words) == 1:
-                return word(c.translate(_AS_LETTERS))
-        elif latin(c):
-            words = latin_words(c)
-            if len(words) == 1:
-                return word(c.encode().decode("latin-1").translate(_AS_LETTERS))
-        else:
-            return b"".join([word(w) for w, _ in split(c)])
-        # A word by itself is split no further.
-        return b"".join([after_space(w[1:]) if w[0] == " " else chunk(w) for w in words])
-
-    def of_piece(p: str) -> bytes:
-        if p.isascii() and p.isalpha():
-            return word(space + p)
-        found = plain.findall(" " + p)
-        return of_chunk(found[0]) if len(found) == 1 else b"".join(map(chunk, found))
-
-    chunk = _Remembered(of_chunk).__getitem__
-    after_space = _Remembered(of_piece).__getitem__
+    as_bytes = charmap_build(letters)
+    # No UTF-8 has this byte, and no byte is written as a space.
+    apart, parted = b"\xff", letters[:255] + " "
+    ids_of = _words_encoder(tokenizer.model)
+    length = np.zeros(max(model["vocab"].values()) + 1, np.int64)
+    for token, i in model["vocab"].items():
+        length[i] = len(token)
+    known: dict[bytes, bytes] = {}
+
+    def split_words(c: str) -> list[bytes]:
+        return [charmap_encode(w, "strict", as_bytes)[0] for w, _ in split(c)]
+
+    def learn(words: list[bytes]) -> None:
+        if len(known) > REMEMBERED:
+            known.clear()
+        new = [w for w in words if w not in known]
+        if not new:
+            return
+        ids = np.array(ids_of(charmap_decode(apart.join(new), "strict", parted)[0]), "<u4")
+        ends = length[ids].cumsum().searchsorted(np.cumsum([len(w) for w in new])) + 1
+        held, start = ids.tobytes(), 0
+        for w, end in zip(new, (4 * ends).tolist()):
+            known[w] = held[start:end]
+            start = end
+
+    def encoded(chunks: pa.Array, places: np.ndarray) -> list[bytes]:
+        """The ids of the chunks from each of these places to the next."""
+        found = chunks.dictionary_encode()
+        words, ends = [], [0]
+        for c in found.dictionary.to_numpy(zero_copy_only=False):
+            # As the library splits them; it takes ten times as long for a short text.
+            words += latin_words(c) if c.isascii() or latin(c) else split_words(c)
+            ends.append(len(words))
+        some = pa.array(words, pa.large_binary()).dictionary_encode()
+        distinct = some.dictionary.to_numpy(zero_copy_only=False).tolist()
+        learn(distinct)
+        ids = pa.array([known[w] for w in distinct], pa.large_binary()).take(some.indices)
+        # The words' ids lie one after the other, so they are the chunks' ids, too.
+        _, offsets, held = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[ends] if words else np.zeros(len(ends), np.int64)
+        of_chunks = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), held or pa.py_buffer(b"")]
+        )
+        _, offsets, held = of_chunks.take(found.indices).buffers()
+        at, held = np.frombuffer(offsets, np.int64)[places].tolist(), memoryview(held or b"")
+        return [bytes(held[a:b]) for a, b in zip(at, at[1:])]
+
     odd = re.compile(f"[{_ODD}]")
     plain = re.compile(f"[{_SURE}]*[^{_SURE}]+|[{_SURE}]+")
     careful = re.compile(
         f"[{_SURE}{_ODD}]*[^{_SURE}{_ODD}]+(?:[{_ODD}][{_SURE}{_ODD}]*[^{_SURE}{_ODD}]*)*|[{_SURE}{_ODD}]+"
     )
 
-    def encode(text: str) -> bytes:
+    def by_spaces(texts: list[str]) -> list[bytes]:
+        # The mark is in none of them.
+        marked = (t.replace(" ", _MARK + " ") for t in texts)
+        parts = pc.split_pattern(pa.array(marked, pa.large_string()), _MARK)
+        return encoded(parts.flatten(), parts.offsets.to_numpy())
+
+    def by_chunks(text: str) -> bytes:
         # The careful pattern finds the same where there is no odd character.
-        chunks = careful if odd.search(text) else plain
-        if len(text) < AT_ONCE:
-            # Where each space begins a chunk, splitting at spaces is faster.
-            if chunks is plain and not any(x in text for x in _WIDER):
-                first, *rest = text.split(" ")
-                return b"".join([*map(chunk, plain.findall(first)), *map(after_space, rest)])
-            return b"".join(map(chunk, chunks.findall(text)))
-        found, out = chunks.finditer(text), []
-        while some := [chunk(m.group()) for m in islice(found, AT_ONCE)]:
-            out.append(b"".join(some))
+        found, out = (careful if odd.search(text) else plain).finditer(text), []
+        while some := [m.group() for m in islice(found, AT_ONCE)]:
+            out += encoded(pa.array(some, pa.large_string()), np.array([0, len(some)]))
         return b"".join(out)
 
+    def encode(texts: list[str]) -> list[bytes]:
+        # Where each space begins a chunk, splitting at spaces is faster.
+        easy = [len(t) < AT_ONCE and not any(x in t for x in (_MARK, *_WIDER)) and not odd.search(t) for t in texts]
+        ready = iter(by_spaces([t for t, x in zip(texts, easy) if x]) if any(easy) else ())
+        return [next(ready) if x else by_chunks(t) for t, x in zip(texts, easy)]
+
     return encode
 
 
+def _encoder(definition: str) -> Callable[[str], bytes]:
+    """_texts_encoder() for one text at a time."""
+    encode = _texts_encoder(definition)
+    return lambda text: encode([text])[0]
+
+
 def _powers(n: int) -> list[int]:
     """The powers of two that add up to n, from the greatest."""
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
@@ -162,13 +203,13 @@ def pieces(
         import struct
         from zlib import crc32
 
-        encode = _encoder(shared.value)
+        encode = _texts_encoder(shared.value)
         last = struct.pack("<I", end)
 
         def apply(ids, texts):
             rows = []
-            for i, t in zip(ids, texts):
-                held = memoryview(encode(t or "") + last)
+            for i, held in zip(ids, encode([t or "" for t in texts])):
+                held = memoryview(held + last)
                 whole = len(held) // 4
                 for start in range(0, whole, size):
                     part = held[4 * start : 4 * (start + size)]
@@ -183,7 +224,7 @@ def pieces(
         return apply
 
     schema = f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, parts_crc32 array<bigint>"
-    return map_texts(docs, [id, text], make, schema).withColumnRenamed("id", id)
+    return map_texts(docs, [id, text], make, schema, most=TEXT_BYTES).withColumnRenamed("id", id)
 
 
 class _Windows:
