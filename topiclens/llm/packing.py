@@ -29,7 +29,7 @@ from topiclens.llm.common import free_name, map_texts
 GROUP = 1 << 14
 #: A window that lacks more than this share of its length is packed anew, its rests cut.
 MOST_LACKING = 1 / 64
-#: Words and chunks of text whose ids a task remembers; when there are more, it starts anew.
+#: Words whose ids a task remembers; when there are more, it starts anew.
 REMEMBERED = 600_000
 #: Chunks of a long text whose ids are joined at once.
 AT_ONCE = 1 << 16
@@ -193,7 +193,8 @@ def pieces(
     Pieces are full windows of `size` ids and a shorter rest, if there is one. parts_crc32: of
     a rest cut at the powers of two that add up to its length, from the greatest; it lets a rest
     be cut later, without its ids. Null texts count as empty, so every row has a piece; repeated
-    rows are documents of their own. A task holds one text's ids and what it remembers.
+    rows are documents of their own. A task holds the ids and chunks of
+    TEXT_BYTES of texts, or of the longest, and what it remembers.
     """
     with open(tokenizer, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())  # bounded by the vocabulary
