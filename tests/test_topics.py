@@ -207,6 +207,22 @@ def test_lda_terms(docs):
     assert {r["rank"] for r in found} == {1, 2, 3, 4}
 
 
+def test_lda_deals_out_numbers_and_no_words(docs, monkeypatch):
+    seen, deal = [], topics.dealt
+    monkeypatch.setattr(topics, "dealt", lambda df, *rest: seen.append(df) or deal(df, *rest))
+    found = topics.lda_topics(docs, k=3, max_iter=5, top_k=4, **LIMITS).collect()
+    (dealt,) = seen
+    assert dealt.columns == ["post_id", "tfidf"]
+    # The vectors are Spark ML's, by its vocabulary, but for the order of terms that are equally common.
+    features = topics.fit_features(docs, **LIMITS)
+    counts, idf = features.stages
+    made = topics.tfidf_vectors(storage.settle(bags.of(docs)), counts.vocabulary, idf.idf.toArray().tolist(), counts.getMinTF())
+    expected = {r.post_id: r.tfidf for r in features.transform(docs).collect()}
+    assert {r.post_id: r.tfidf for r in made.collect()} == expected
+    again = topics.lda_topics(storage.settle(bags.of(docs.repartition(5))), k=3, max_iter=5, top_k=4, **LIMITS).collect()
+    assert [tuple(r) for r in again] == [tuple(r) for r in found]
+
+
 def test_synonyms(docs):
     found = topics.synonyms(docs, "thing", 5, contexts=200, directions=8).collect()
     assert len(found) == 5 and all(r.word != "thing" and abs(r.similarity) <= 1.01 for r in found)

@@ -56,19 +56,25 @@ class TopicModel:
         return self.centers / UNIT
 
 
-def _weighed(p: bags.Piece, words: pa.Array, idf: np.ndarray, min_tf: float):
-    """Owner, term number and whole weight of what a piece's articles weigh, in order."""
+def entries(p: bags.Piece, words: pa.Array, min_tf: float):
+    """Owner, term number and count of the vocabulary's terms that a piece's articles keep, in order."""
     found = pc.index_in(p.words, value_set=words, skip_nulls=True)
     known = found.fill_null(-1).to_numpy().astype(np.int64)
     term = known[p.number]
     least = min_tf if min_tf >= 1 else min_tf * np.bincount(p.owner, weights=p.n)[p.owner]
     kept = (term >= 0) & (p.n >= least)
-    owner, term = p.owner[kept], term[kept]
-    # Weights are rounded half up.
-    weight = (p.n[kept] * idf[term] * UNIT + 0.5).astype(np.int64)
+    owner, term, n = p.owner[kept], term[kept], p.n[kept]
     order = np.lexsort((term, owner))
-    order = order[weight[order] != 0]
-    return owner[order], term[order], weight[order]
+    return owner[order], term[order], n[order]
+
+
+def _weighed(p: bags.Piece, words: pa.Array, idf: np.ndarray, min_tf: float):
+    """Owner, term number and whole weight of what a piece's articles weigh, in order."""
+    owner, term, n = entries(p, words, min_tf)
+    # Weights are rounded half up.
+    weight = (n * idf[term] * UNIT + 0.5).astype(np.int64)
+    some = weight != 0
+    return owner[some], term[some], weight[some]
 
 
 def vectors(tokens: DataFrame, vocabulary: list[str], idf: list[float], min_tf: float) -> DataFrame:

@@ -1,12 +1,13 @@
 """Latent topics: fitting, assigning, describing.
 
 Topics are fitted on `post_id, tokens`, or on their `bags`, by `clusters`, whose result does not depend on how the
-articles are dealt out; LDA and its features are Spark ML's. The long-form operators below do
+articles are dealt out; LDA is Spark ML's, on vectors made from bags. The long-form operators below do
 the same steps as joins and aggregates, with an order for ties that ML does not promise.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -16,13 +17,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IDF, CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from topiclens import schemas
+from topiclens import schemas, storage
 from topiclens.functions.vectors import squared_distance
-from topiclens.operators import clusters, neighbours
+from topiclens.operators import bags, clusters, neighbours
 from topiclens.operators.clusters import TopicModel
 from topiclens.operators.terms import MIN_DF, MIN_TF, VOCAB_SIZE
 
@@ -62,16 +65,39 @@ def _kept(df: DataFrame):
 ARTICLES_IN_PART, MOST_IN_PART, PARTS = 1000, 16_000, 64
 
 
-def dealt(tokens: DataFrame) -> DataFrame:
-    """The articles in parts of ARTICLES_IN_PART or more, by id and in its order.
+def dealt(found: DataFrame, articles: int | None = None) -> DataFrame:
+    """The rows, one for each of the articles, in parts of ARTICLES_IN_PART or more, by id and in its order.
 
     LDA adds up in the order of the parts; they come from the number of articles, so it gives
     the same on every cluster. Each part sends something to the driver in each round, so parts
     grow before their number does: there are PARTS of them up to MOST_IN_PART articles in each.
     """
-    articles = tokens.count()
+    articles = found.count() if articles is None else articles
     parts = max(1, min(-(-articles // ARTICLES_IN_PART), max(PARTS, -(-articles // MOST_IN_PART))))
-    return tokens.repartition(parts, "post_id").sortWithinPartitions("post_id")
+    return found.repartition(parts, "post_id").sortWithinPartitions("post_id")
+
+
+def tfidf_vectors(found: DataFrame, vocabulary: list[str], idf: list[float], min_tf: float) -> DataFrame:
+    """`post_id, tfidf` of bags, a sparse ML vector for each article, as of `feature_stages`."""
+    shared = found.sparkSession.sparkContext.broadcast((vocabulary, idf))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, idf = shared.value
+        words, idf = pa.array(vocabulary, pa.string()), np.array(idf, np.float64)
+        for p in bags.opened(batches):
+            owner, term, n = clusters.entries(p, words, min_tf)
+            ends = pa.array(np.searchsorted(owner, np.arange(len(p.ids) + 1)).astype(np.int32))
+            fields = {
+                "type": pa.array(np.zeros(len(p.ids), np.int8)),  # sparse
+                "size": pa.array(np.full(len(p.ids), len(words), np.int32)),
+                "indices": pa.ListArray.from_arrays(ends, pa.array(term.astype(np.int32))),
+                "values": pa.ListArray.from_arrays(ends, pa.array(n * idf[term])),
+            }
+            vectors = pa.StructArray.from_arrays([*fields.values()], [*fields])
+            yield pa.RecordBatch.from_arrays([p.ids, vectors], names=["post_id", "tfidf"])
+
+    kind = found.schema["post_ids"].dataType.elementType
+    return found.mapInArrow(run, T.StructType().add("post_id", kind).add("tfidf", VectorUDT()))
 
 
 def _fit(stages: list, tokens: DataFrame) -> PipelineModel:
@@ -159,14 +185,21 @@ def lda_topics(
     max_iter: int = LDA_MAX_ITER,
     top_k: int = TOP_TERMS,
     seed: int = SEED,
-    **limits,
+    min_df: float = MIN_DF,
+    min_tf: float = MIN_TF,
+    vocab_size: int = VOCAB_SIZE,
 ) -> DataFrame:
-    """`topic, term, weight, rank`: the strongest terms of each LDA topic."""
+    """`topic, term, weight, rank`: the strongest terms of each LDA topic, of tokens or settled bags.
+
+    What is dealt out and kept for the iterations are the articles' vectors, not their words.
+    """
+    found = tokens if bags.is_bags(tokens) else storage.settle(bags.of(tokens))
+    vocabulary, idf = clusters.learn_vocabulary(found, min_df, min_tf, vocab_size)
+    vectors = dealt(tfidf_vectors(found, vocabulary, idf, min_tf), bags.articles_in(found))
     # Each iteration sees every article, not a sample of them.
     lda = LDA(k=k, maxIter=max_iter, featuresCol="tfidf", seed=seed, subsamplingRate=1.0)
-    model = _fit([*feature_stages(**limits), lda], dealt(tokens))
-    words = F.array(*[F.lit(word) for word in model.stages[0].vocabulary])
-    described = model.stages[-1].describeTopics(top_k)
+    described = lda.fit(vectors).describeTopics(top_k)
+    words = F.array(*[F.lit(word) for word in vocabulary])
     pairs = F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "pair")
     return described.select("topic", pairs).select(
         "topic",
