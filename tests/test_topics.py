@@ -223,6 +223,14 @@ def test_lda_deals_out_numbers_and_no_words(docs, monkeypatch):
     assert [tuple(r) for r in again] == [tuple(r) for r in found]
 
 
+def test_bags_are_counted_as_tokens_are(spark):
+    rows = [(1, ["a", "b", "a", None]), (2, []), (3, None), (2, ["c", "a"]), (None, ["b"])]
+    df = spark.createDataFrame(rows, "post_id long, tokens array<string>")
+    counted = Counter(map(tuple, terms.term_counts(df).collect()))
+    assert Counter(map(tuple, terms.term_counts(bags.of(df)).collect())) == counted
+    assert counted[(1, "a", 2)] == counted[(2, "c", 1)] == counted[(None, "b", 1)] == 1
+
+
 def test_synonyms(docs):
     found = topics.synonyms(docs, "thing", 5, contexts=200, directions=8).collect()
     assert len(found) == 5 and all(r.word != "thing" and abs(r.similarity) <= 1.01 for r in found)
