@@ -57,6 +57,40 @@ def test_a_copied_lexicon_gives_what_a_joined_one_does(spark, monkeypatch):
     assert sorted(map(tuple, joined.collect())) == got and any(m for _, _, m in got)
 
 
+def test_a_lexicon_is_held_as_numbers(spark):
+    r = random.Random(7)
+    words = [f"word{i}" for i in range(300)]
+    terms = {" ".join(r.choice(words) for _ in range(n)) for n in (1, 2, 2, 2, 2, 3, 4) for _ in range(900)}
+    rows = [(t, r.randrange(-5, 6)) for t in sorted(terms)]
+    lexicon = spark.createDataFrame([*rows, rows[0], (None, 3), ("one of five words here", 2)], "term string, polarity long")
+    settled = lexicon.where("term IS NOT NULL").groupBy("term").agg(
+        F.sum("polarity").alias("polarity"), F.count("*").alias("times")
+    )
+    held = extras._phrases(settled)
+    size = sum(len(keys) for keys, _, _ in held.levels)
+    assert sum(x.nbytes for level in held.levels for x in level) == 10 * size and size >= len(terms)
+    texts = [[r.choice([*words, "other"]) for _ in range(r.randrange(60))] for _ in range(40)]
+    texts += [t.split(" ") for t, _ in rows[:300]]
+    docs = spark.createDataFrame([*enumerate(texts), (9999, [None, *words[:1]])], "post_id long, tokens array<string>")
+    looked, joined = (
+        {x.post_id: (x.polarity, x.matches) for x in df.groupBy("post_id").agg(
+            F.sum("polarity").alias("polarity"), F.sum("matches").alias("matches")
+        ).collect() if x.matches}
+        for df in (extras._looked_up(docs, held), extras._joined(docs, settled))
+    )
+    assert looked == joined and len(looked) > 250
+
+
+def test_texts_are_not_shuffled_to_their_labels(spark, small):
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        shown = plan(testbed.lexicon(spark, small))
+    finally:
+        spark.conf.set(key, before)
+    assert shown.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in shown
+
+
 def test_texts_meet_labels_before_their_words_travel(spark, small):
     with_labels = testbed.lexicon(spark, small)
     shown = plan(with_labels)

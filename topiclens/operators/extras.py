@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topiclens import storage
 from topiclens.functions.text import ngrams
@@ -17,8 +18,10 @@ from topiclens.operators.terms import pieces
 
 # Fixed value: words in the longest phrase of a lexicon.
 LONGEST = 4
-# Terms of a lexicon up to which every task has a copy of it.
-HELD = 1 << 22
+# Terms of a lexicon, and words in them, up to which every task has a copy of it: some 10 bytes a term.
+HELD, WORDS = 1 << 24, 1 << 22
+# Tokens, and terms, that are looked up together inside a task.
+TOGETHER, TERMS = 1 << 20, 1 << 18
 # Seconds of a session that are ordered together.
 STRETCH = 3600
 
@@ -28,7 +31,8 @@ def polarity(articles: DataFrame, lexicon: DataFrame) -> DataFrame:
 
     Terms are words or phrases of up to four words. A match within a longer one does not
     count. Articles without a match have polarity 0. A lexicon of up to HELD terms is copied to
-    all tasks and looked up where the tokens are, so no token is shuffled; a larger one is joined.
+    all tasks, as numbers, and looked up where the tokens are, so no token is shuffled; a larger
+    one is joined.
     """
     terms = storage.settle(
         lexicon.where("term IS NOT NULL").groupBy("term").agg(
@@ -36,8 +40,8 @@ def polarity(articles: DataFrame, lexicon: DataFrame) -> DataFrame:
         )
     )
     known = articles.select("post_id", "tokens").where("post_id IS NOT NULL")
-    held = terms.limit(HELD + 1).toArrow()
-    found = _looked_up(known, held) if held.num_rows <= HELD else _joined(known, terms)
+    phrases = _phrases(terms)
+    found = _joined(known, terms) if phrases is None else _looked_up(known, phrases)
     sums = found.groupBy("post_id").agg(
         F.sum("polarity").alias("polarity"), F.sum("matches").alias("matches")
     )
@@ -52,59 +56,161 @@ def polarity(articles: DataFrame, lexicon: DataFrame) -> DataFrame:
 class _Phrases:
     """Terms as a tree of their words: of each length, its nodes' keys in order and their values.
 
-    A node is a number; its key is that of the node before it and of its last word.
+    A node is a number; its key is that of the node before it and of its last word. Values and
+    counts are of the least kind that holds them.
     """
 
-    def __init__(self, held: pa.Table):
-        terms = held["term"].combine_chunks()
-        times = held["times"].to_numpy()
-        value = held["polarity"].fill_null(0).to_numpy()
-        parts = pc.split_pattern(terms, " ")
-        length = pc.list_value_length(parts).to_numpy()
-        coded = parts.flatten().dictionary_encode()
-        self.words = coded.dictionary
-        number = coded.indices.to_numpy().astype(np.int64)
-        first = np.cumsum(length) - length
-        node = np.zeros(len(terms), np.int64)
+    def __init__(self, words: pa.Array, whole: bool):
+        self.words = words
+        self.whole = whole  # whether values are whole numbers
         self.levels = []
-        for n in range(1, LONGEST + 1):
-            at = np.flatnonzero(length >= n)
-            key = node[at] * len(self.words) + number[first[at] + n - 1]
-            keys, node[at] = np.unique(key, return_inverse=True)
-            ends = at[length[at] == n]
-            values, counts = np.zeros(len(keys), value.dtype), np.zeros(len(keys), np.int64)
-            values[node[ends]], counts[node[ends]] = value[ends], times[ends]
-            self.levels.append((keys, values, counts))
+        self.first = None  # a word's node of the first length, or -1
+
+    def add(self, keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> None:
+        if not self.levels:
+            self.first = np.full(len(self.words), -1)
+            self.first[keys] = np.arange(len(keys))
+        self.levels.append((keys, values, counts))
+
+    def places(self, n: int, keys: np.ndarray) -> np.ndarray:
+        """The nodes of length n with these keys, or -1."""
+        if n == 1:
+            return self.first[keys]
+        known = self.levels[n - 1][0]
+        if not len(known):
+            return np.full(len(keys), -1)
+        # In order, so that neighbours are looked up near each other.
+        order = np.argsort(keys)
+        place = np.minimum(np.searchsorted(known, keys[order]), len(known) - 1)
+        place[known[place] != keys[order]] = -1
+        found = np.empty(len(keys), np.int64)
+        found[order] = place
+        return found
+
+    def numbers(self, tokens: pa.Array) -> np.ndarray:
+        """The words' numbers, -1 for others."""
+        coded = tokens.dictionary_encode()
+        # The words are looked up among the tokens', which are fewer than what a table of the words would hold.
+        at = pc.index_in(self.words, value_set=coded.dictionary, skip_nulls=True)
+        known = np.full(len(coded.dictionary) + 1, -1)
+        known[at.drop_null().to_numpy()] = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+        return known[coded.indices.fill_null(len(coded.dictionary)).to_numpy()]
+
+    def beginnings(self, terms: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of terms of n words or more: their places, the key of their first n, and whether that is all."""
+        parts = pc.split_pattern(terms, " ")
+        length = pc.list_value_length(parts).to_numpy().astype(np.int64)
+        number = self.numbers(parts.flatten())
+        at = np.flatnonzero(length >= n)
+        start = (np.cumsum(length) - length)[at]
+        key = number[start]
+        for k in range(1, n):
+            key = self.places(k, key) * len(self.words) + number[start + k]
+        return at, key, length[at] == n
 
     def matches(self, owner: np.ndarray, number: np.ndarray):
         """Place, length, value and count of each match of words' numbers (-1: none), at its first word."""
-        node, at = np.zeros(len(number), np.int64), np.arange(len(number))
-        for n, (keys, values, counts) in enumerate(self.levels, 1):
-            last = at + n - 1
-            inside = last < len(number)
-            at, last = at[inside], last[inside]
-            inside = (owner[last] == owner[at]) & (number[last] >= 0)
-            at, last = at[inside], last[inside]
-            key = node[at] * len(self.words) + number[last]
-            place = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
-            hit = keys[place] == key if len(keys) else np.zeros(len(key), bool)
-            at, place = at[hit], place[hit]
-            node[at] = place
-            whole = counts[place] > 0
-            yield at[whole], n, values[place][whole], counts[place][whole]
-
-
-def _looked_up(articles: DataFrame, held: pa.Table) -> DataFrame:
+        at = np.flatnonzero(number >= 0)
+        key = number[at]
+        for n, (_, values, counts) in enumerate(self.levels, 1):
+            if n > 1:
+                last = at + n - 1
+                inside = last < len(number)
+                at, node, last = at[inside], node[inside], last[inside]
+                inside = (owner[last] == owner[at]) & (number[last] >= 0)
+                at = at[inside]
+                key = node[inside] * len(self.words) + number[last[inside]]
+            node = self.places(n, key)
+            hit = node >= 0
+            at, node = at[hit], node[hit]
+            whole = counts[node] > 0
+            yield at[whole], n, values[node[whole]], counts[node[whole]]
+
+
+def _kind(low: int, high: int) -> type:
+    """The least kind of whole number that holds both."""
+    kinds = (np.int8, np.int16, np.int32)
+    return next((k for k in kinds if np.iinfo(k).min <= low and high <= np.iinfo(k).max), np.int64)
+
+
+def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _phrases(terms: DataFrame) -> _Phrases | None:
+    """The tree of a settled table `term, polarity, times`, or none if it is too large to be held.
+
+    Terms become numbers where they are: the driver gets the words, and each length's keys and values.
+    """
+    whole = isinstance(terms.schema["polarity"].dataType, T.IntegralType)
+    kind = "bigint" if whole else "double"
+    parts = F.split("term", " ", -1)
+    value = F.coalesce(F.col("polarity").cast(kind), F.lit(0).cast(kind)).alias("polarity")
+    short = terms.where(F.size(parts) <= LONGEST).select("term", value, "times")
+    found = short.agg(
+        F.count(F.lit(1)), F.max(F.size(parts)), F.min("polarity"), F.max("polarity"), F.max("times")
+    ).first()
+    if found[0] > HELD:
+        return None
+    words = short.select(F.explode(parts).alias("word")).distinct().limit(WORDS + 1).toArrow()["word"]
+    if len(words) > WORDS:
+        return None
+    made = _Phrases(words.cast(pa.string()).combine_chunks(), whole)
+    kinds = (np.int64, _kind(found[2] or 0, found[3] or 0) if whole else np.float64, _kind(0, found[4] or 0))
+    for n in range(1, (found[1] or 0) + 1):
+        made.add(*_level(short, made, n, kind, kinds))
+    return made
+
+
+def _level(terms: DataFrame, phrases: _Phrases, n: int, kind: str, kinds: tuple) -> list[np.ndarray]:
+    """Keys in order, values and counts of the nodes of length n; one that no term ends at has the count 0."""
+    shared = terms.sparkSession.sparkContext.broadcast(phrases)
+    names = ["key", "polarity", "times"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _together(batches, TERMS):
+            at, key, ends = shared.value.beginnings(table["term"].combine_chunks(), n)
+            value, times = (table[name].to_numpy()[at] for name in names[1:])
+            columns = [key, np.where(ends, value, value.dtype.type(0)), np.where(ends, times, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=names)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _together(batches, TERMS):
+            columns = [pa.array([table[c].to_numpy().astype(k).tobytes()], pa.binary()) for c, k in zip(names, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    keyed = terms.mapInArrow(run, f"key bigint, polarity {kind}, times bigint").groupBy("key")
+    nodes = keyed.agg(F.sum("polarity").alias("polarity"), F.sum("times").alias("times")).orderBy("key")
+    table = nodes.mapInArrow(packed, "key binary, polarity binary, times binary").toArrow()
+    none = [np.empty(0, k) for k in kinds]
+    made = [
+        np.concatenate([empty, *(np.frombuffer(x.as_buffer(), empty.dtype) for x in table[c])])
+        for c, empty in zip(names, none)
+    ]
+    if (made[0][1:] < made[0][:-1]).any():  # parts came in another order
+        order = np.argsort(made[0])
+        made = [x[order] for x in made]
+    return made
+
+
+def _looked_up(articles: DataFrame, phrases: _Phrases) -> DataFrame:
     """`post_id, polarity, matches`, a row for each article."""
-    shared = articles.sparkSession.sparkContext.broadcast(_Phrases(held))
-    whole = pa.types.is_integer(held["polarity"].type)
+    shared = articles.sparkSession.sparkContext.broadcast(phrases)
+    whole = phrases.whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shared.value
         for batch in batches:
-            for rows, sizes in pieces(batch):
-                number = pc.index_in(rows.column(1).flatten(), value_set=phrases.words)
-                number = number.fill_null(-1).to_numpy().astype(np.int64)
+            for rows, sizes in pieces(batch, TOGETHER):
+                number = phrases.numbers(rows.column(1).flatten())
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 found = list(phrases.matches(owner, number))
                 # Of matches that begin at most three words before, one that ends later or is
